@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import token_counts
+from foliospark.llm import language_id, token_counts, toxicity
 
-_MODULES = [token_counts]
+_MODULES = [token_counts, language_id, toxicity]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -31,10 +31,12 @@ from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 TOXIC_ROWS, CANDIDATES, TERMS, LINEAR_ROWS = 10_000, 40_000, 6_000, 20_000
 #: A term must be in so many toxic rows (or this share of them), and so many
 #: times as frequent in toxic as in clean rows.
-LEAST_ROWS, LEAST_SHARE, LEAST_LIFT, STRONG_LIFT = 3, 0.001, 6.0, 25.0
+LEAST_ROWS, LEAST_SHARE, LEAST_LIFT, STRONG_LIFT = 3, 0.001, 12.0, 50.0
+#: And so many standard deviations more often than clean rows make likely.
+LEAST_Z = 10.0
 #: Plain English insults.
 INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "clown", "imbecile", "dumb", "retard", "vermin", "filth", "bastard", "bitch", "asshole")
-#: Features: the whole word, and its first so many bytes if it is longer.
+#: Features: the whole word, and its first so many bytes (a shorter word whole).
 PREFIXES = (4, 5, 6, 8)
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[ord(c) for c in ".,;:!?\"'()[]{}<>*_~`"]] = True
@@ -57,8 +59,7 @@ def term_hashes(batch: WordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
     doc = batch.doc
     out = [(doc, batch.span_hash(starts, ends))]
     for k, size in enumerate(PREFIXES, 1):
-        at = np.flatnonzero(ends - starts > size)
-        out.append((doc[at], batch.span_hash(starts[at], starts[at] + size) + np.uint64(k * 0x51_7C_C1_B7)))
+        out.append((doc, batch.span_hash(starts, np.minimum(ends, starts + size)) + np.uint64(k * 0x51_7C_C1_B7)))
     return out
 
 
@@ -181,7 +182,9 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
     lift[counted["k"].to_numpy()] = (c1 / n1) / ((c0 + 0.5) / (n0 + 1))
     support = np.zeros(len(order))
     support[counted["k"].to_numpy()] = c1
-    keep = np.flatnonzero((lift >= LEAST_LIFT) & (support >= LEAST_ROWS))
+    expected = np.zeros(len(order))
+    expected[counted["k"].to_numpy()] = (c0 + 0.5) * n1 / (n0 + 1)
+    keep = np.flatnonzero((lift >= LEAST_LIFT) & (support >= LEAST_ROWS) & (support - expected >= LEAST_Z * np.sqrt(expected + 0.5)))
     keep = np.sort(keep[np.argsort(-lift[keep] * np.sqrt(support[keep]), kind="stable")[:TERMS]])
     return Terms(candidates.hashes[keep], candidates.kinds[keep], lift[keep]), n1 / (n1 + n0)
 
@@ -220,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     patterns = voted[voted["terms"].isna()]
     width = 2 * (1 + len(PREFIXES)) + 3
     votes = np.array(patterns["votes"].tolist(), np.int64).reshape(-1, width)
-    model = fit_label_model(votes, patterns["n"].to_numpy(np.float64), share, correlated=True)
+    model = fit_label_model(votes, patterns["n"].to_numpy(np.float64), share, correlated=True, fixed_prior=True)
     sample = voted[voted["terms"].notna()]
     weight = -sample["n"].to_numpy(np.int64)
     target = model.posterior(np.array(sample["votes"].tolist(), np.int64).reshape(-1, width))

@@ -26,7 +26,9 @@ class LabelModel:
         """P(class 1) for rows of votes."""
         logs = np.zeros((len(votes), 2)) + np.log([1 - self.prior, self.prior])
         for v in range(votes.shape[1]):
-            logs += self.weight[v] * np.log(self.tables[v][:, votes[:, v]]).T
+            says = np.log(self.tables[v] / self.tables[v][:, 1:].sum(axis=1, keepdims=True))
+            says[:, 0] = 0  # to abstain is no evidence
+            logs += self.weight[v] * says[:, votes[:, v]].T
         return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -60, 60)))
 
     def accuracy(self) -> np.ndarray:
@@ -60,12 +62,14 @@ def _weights(votes: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarray
     return 1 / (1 + corr.sum(axis=1))
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correlated: bool = False, start: float = 0.8, fixed_prior: bool = False) -> LabelModel:
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correlated: bool = False, start: float = 0.8, fixed_prior: bool = False, least_miss: float = 0.0) -> LabelModel:
     """EM over counted patterns, from voters that are right ``start`` of the time.
 
     With ``correlated``, correlations within the classes are estimated from the
     posteriors and discount voters that repeat each other; EM then goes on
-    with those weights. No pattern at all gives the starting model.
+    with those weights. ``least_miss`` is the least share of class 0 that each
+    voter is taken to call class 1: voters that look for one kind of fault say
+    little about the others. No pattern at all gives the starting model.
     """
     n_voters = votes.shape[1]
     tables = np.tile(np.array([[[0.2, 0.8 * start, 0.8 * (1 - start)], [0.2, 0.8 * (1 - start), 0.8 * start]]]), (n_voters, 1, 1))
@@ -77,6 +81,9 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correla
         if correlated and k % 10 == 9:
             model.weight = _weights(votes, counts, q)
         model.tables = _maximise(votes, counts, q)
+        miss = np.maximum(model.tables[:, 0, 2], least_miss)
+        model.tables[:, 0, :2] *= ((1 - miss) / (1 - model.tables[:, 0, 2]))[:, None]
+        model.tables[:, 0, 2] = miss
         if not fixed_prior:
             model.prior = float(np.clip((counts * q).sum() / counts.sum(), 1e-3, 1 - 1e-3))
     return model

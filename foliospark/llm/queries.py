@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import language_id, token_counts, toxicity
+from foliospark.llm import language_id, quality, token_counts, toxicity
 
-_MODULES = [token_counts, language_id, toxicity]
+_MODULES = [token_counts, language_id, toxicity, quality]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bucket, table, unit_hash
+from foliospark.llm.common import bucket, table, text_chunks, unit_hash
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -39,8 +39,10 @@ EM_ROUNDS = 3
 PRIOR = 0.05
 #: Probability of a character that the vocabulary lacks, in every language.
 UNKNOWN = 1e-7
-#: Words that a worker remembers (about 200 bytes each) before it starts anew.
-MEMO_WORDS = 250_000
+#: Words that a worker remembers (about 150 bytes each) before it starts anew.
+MEMO_WORDS = 600_000
+#: Words shorter than this go through the lattice together, so many at once.
+SHORT, STEP_WORDS = 32, 20_000
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -102,6 +104,42 @@ class Lattice:
             alpha[j] = x if alpha[j] is None else alpha[j] + x
         return log + np.log(alpha[n])
 
+    def forward_all(self, words: list[str], probs: np.ndarray) -> np.ndarray:
+        """``forward`` of many words at once: edges between the same two
+        positions are added in one step for all words that have them."""
+        out = np.empty((len(words), probs.shape[1]))
+        short = [k for k, w in enumerate(words) if len(w) < SHORT]
+        for k in set(range(len(words))).difference(short) if len(short) < len(words) else ():
+            out[k] = self.forward(words[k], probs)
+        if not short:
+            return out
+        pieces, longest, flat = self.pieces, self.longest, []
+        add = flat.append
+        for at, k in enumerate(short):
+            s = MARK + words[k]
+            n = len(s)
+            for i in range(n):
+                single = False
+                for j in range(i + 1, min(n, i + longest) + 1):
+                    piece = s[i:j]
+                    if piece in pieces:
+                        add((j << 54) | (i << 48) | (at << 16) | pieces[piece])
+                        single |= j == i + 1
+                if not single:
+                    add(((i + 1) << 54) | (i << 48) | (at << 16) | 0xFFFF)
+        edges = np.sort(np.array(flat, np.int64))
+        step, row, piece = edges >> 48, (edges >> 16) & 0xFFFFFFFF, edges & 0xFFFF
+        factor = np.where((piece == 0xFFFF)[:, None], UNKNOWN, probs[np.minimum(piece, len(probs) - 1)])
+        alpha = np.zeros((SHORT + 1, len(short), probs.shape[1]))
+        alpha[0] = 1.0
+        cuts = np.flatnonzero(np.diff(step, prepend=-1, append=-1))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            i, j = int(step[lo]) & 63, int(step[lo]) >> 6
+            alpha[j, row[lo:hi]] += alpha[i, row[lo:hi]] * factor[lo:hi]
+        ends = np.array([len(words[k]) + 1 for k in short])
+        out[short] = np.log(alpha[ends, np.arange(len(short))])
+        return out
+
     def expected(self, word: str, weight: float, p: np.ndarray, counts: np.ndarray) -> None:
         """Add the word's expected piece counts under one language."""
         n, edges = len(word) + 1, self.edges(word)
@@ -138,20 +176,30 @@ class Scorer:
         self.rows = np.zeros((1024, len(lm.langs)))
 
     def index(self, words: list[str]) -> np.ndarray:
+        memo = self.memo
+        return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+
+    def learn(self, words: set[str]) -> None:
+        """Put all of ``words`` into the memo; if it is full, it starts anew."""
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
-        memo = self.memo
-        for w in set(words).difference(memo):
-            k = memo[w] = len(memo)
-            if k == len(self.rows):
+        fresh = list(words.difference(self.memo))
+        for lo in range(0, len(fresh), STEP_WORDS):
+            part, k = fresh[lo : lo + STEP_WORDS], len(self.memo)
+            while k + len(part) > len(self.rows):
                 self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.rows[k] = self.lattice.forward(w, self.lm.probs)
-        return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+            self.rows[k : k + len(part)] = self.lattice.forward_all(part, self.lm.probs)
+            self.memo.update(zip(part, range(k, k + len(part)), strict=True))
 
-    def score(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.lm.langs or not LETTER.search(text):
+    def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        lists = [words_of(t) if t and self.lm.langs and LETTER.search(t) else None for t in texts]
+        self.learn(set().union(*(x for x in lists if x)))
+        return [self.score(x) for x in lists]
+
+    def score(self, words: list[str] | None) -> tuple[str, float]:
+        if words is None:
             return "und", 0.0
-        index = self.index(words_of(text))
+        index = self.index(words)
         total = self.lm.prior + self.rows[index].sum(axis=0)
         best = int(total.argmax())
         return self.lm.langs[best], float(1.0 / np.exp(total - total[best]).sum())
@@ -218,9 +266,9 @@ def identify(docs: DataFrame, lm: LanguageModel, id_col: str = "doc_id", text_co
         if key not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[key] = shared.value.scorer()
-        score = _SCORERS[key].score
-        for batch in batches:
-            found = [score(t) for t in batch.column(2).to_pylist()]
+        score_all = _SCORERS[key].score_all
+        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in text_chunks(b.column(2))):
+            found = score_all(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (bucket(F.col(id_col), 4) == 2).alias("held_out"), F.col(text_col).cast("string").alias("t"))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import decontamination, language_id, ngram_join, pii, quality, token_counts, toxicity
+from foliospark.llm import decontamination, language_id, mixing, ngram_join, pii, quality, token_counts, toxicity
 
-_MODULES = [token_counts, language_id, pii, decontamination, toxicity, quality, ngram_join]
+_MODULES = [token_counts, language_id, pii, decontamination, mixing, toxicity, quality, ngram_join]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

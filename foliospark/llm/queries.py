@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import decontamination, edit_fingerprint, language_id, mixing, ngram_join, pii, quality, token_counts, toxicity
+from foliospark.llm import decontamination, edit_fingerprint, language_id, licenses, mixing, ngram_join, pii, quality, token_counts, toxicity
 
-_MODULES = [token_counts, language_id, pii, decontamination, mixing, toxicity, edit_fingerprint, quality, ngram_join]
+_MODULES = [token_counts, licenses, language_id, pii, decontamination, mixing, toxicity, edit_fingerprint, quality, ngram_join]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,9 +1,14 @@
 """Registered queries of the document-processing operators."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from foliospark.plans import text_queries  # noqa: F401
+from foliospark.plans.registry import ORACLES, QUERIES, Query
 
 
-def oracle_sql():
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(ORACLES)

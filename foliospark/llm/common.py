@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 #: dozen MB as a hash relation); beyond it the same join shuffles instead.
 BROADCAST_IDS = 1_000_000
 
-#: Bytes of text that ``text_chunks`` puts into one numpy working set.
-CHUNK_BYTES = 2_000_000
+#: Bytes and rows of text that ``text_chunks`` puts into one numpy working set.
+CHUNK_BYTES, CHUNK_ROWS = 1_000_000, 2_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,7 +112,7 @@ def text_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int,
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     total, first = 0, 0
     for k, size in enumerate(sizes.tolist()):
-        if total and total + size > most:
+        if total and total + size > most or k - first >= CHUNK_ROWS:
             yield first, k
             first, total = k, 0
         total += size

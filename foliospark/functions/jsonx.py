@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,34 +27,30 @@ def parse_strict(text: Column) -> Column:
     The parser alone would accept text after the value; inside brackets that
     text makes the array invalid or longer than one.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(F.size(F.try_variant_get(wrapped, "$", "array<variant>")) == 1, F.try_variant_get(wrapped, "$[0]", "variant"))
+    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return let(wrapped, lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
 
 
 def extract_json(raw: Column) -> Column:
-    return parse_strict(json_candidate(raw))
+    return let(raw, lambda x: parse_strict(json_candidate(x)))
 
 
 def get(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$.{key}", "variant")
 
 
-def kind(v: Column) -> Column:
-    """``object array string number boolean null``, or null if absent."""
-    name = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(name.startswith("OBJECT"), "object")
-        .when(name.startswith("ARRAY"), "array")
-        .when(name == "STRING", "string")
-        .when(name == "BOOLEAN", "boolean")
-        .when(name == "VOID", "null")
-        .otherwise("number")
-    )
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is named once: the expression's size stays
+    linear however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+_KINDS = {"object": "^OBJECT", "array": "^ARRAY", "string": "^STRING$", "boolean": "^BOOLEAN$", "null": "^VOID$", "number": "^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"}
 
 
 def is_kind(v: Column, name: str) -> Column:
-    return F.coalesce(kind(v) == name, F.lit(False))
+    """Whether a value is an ``object array string number boolean null``."""
+    return F.coalesce(F.schema_of_variant(v), F.lit("")).rlike(_KINDS[name])
 
 
 def text(v: Column) -> Column:
@@ -65,13 +63,12 @@ def number(v: Column) -> Column:
 
 def items(v: Column) -> Column:
     """The elements of an array value, else an empty array."""
-    return F.when(is_kind(v, "array"), F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array().cast("array<variant>"))
+    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))
 
 
 def falsy(v: Column) -> Column:
     """Absent, null, '', 0 or false."""
-    k = kind(v)
-    return F.coalesce((k == "null") | ((k == "string") & (text(v) == "")) | ((k == "number") & (number(v) == 0)) | ((k == "boolean") & ~F.try_variant_get(v, "$", "boolean")), k.isNull())
+    return F.coalesce(F.to_json(v), F.lit("null")).rlike(r'^(null|""|-?0(\.0*)?(E.*)?|false)$')
 
 
 def blank(v: Column) -> Column:

@@ -69,7 +69,7 @@ def is_share(data: Column) -> Column:
 
 
 def _top(v: Column, date: str) -> list[Column]:
-    meta, hero, top = J.get(v, "metadata"), J.get(v, "hero"), J.get(v, "top_block")
+    meta, hero, top = v["metadata"], v["hero"], v["top_block"]
     created, slug, published = J.get(meta, "date_created"), J.get(meta, "filename_slug"), J.get(hero, "publication_date")
     in_meta, in_hero, in_top = ~J.falsy(meta), ~J.falsy(hero), ~J.falsy(top)
     pills, n_pills = J.get(top, "pills"), F.size(J.items(J.get(top, "pills")))
@@ -83,7 +83,7 @@ def _top(v: Column, date: str) -> list[Column]:
         return F.when(J.is_kind(p, "object"), inside).otherwise(F.array(_at("top_block.pills[{}] is not an object.", i)))
 
     head = _when_all(
-        _issue(~F.coalesce(J.number(J.get(v, "version")) == 1, F.lit(False)), "Missing or incorrect version field (expected 1)."),
+        _issue(~F.coalesce(J.number(v["version"]) == 1, F.lit(False)), "Missing or incorrect version field (expected 1)."),
         _issue(~in_meta, "Missing metadata object."),
         _issue(in_meta & J.falsy(J.get(meta, "title")), "Missing metadata.title."),
         _issue(in_meta & J.falsy(slug), "Missing metadata.filename_slug."),
@@ -105,7 +105,7 @@ def _top(v: Column, date: str) -> list[Column]:
 
 
 def _sections(v: Column) -> list[Column]:
-    sections = J.items(J.get(v, "sections"))
+    sections = J.items(v["sections"])
 
     def item(x: Column, i: Column, k: Column) -> Column:
         bad = F.when(~J.is_kind(x, "object"), _at("sections[{}].list.items[{}] is not an object.", i, k)).when(J.blank(J.get(x, "body")), _at("sections[{}].list.items[{}].body is empty.", i, k))
@@ -126,7 +126,7 @@ def _sections(v: Column) -> list[Column]:
         full = F.concat(inside, F.when(has_list, _each(entries, lambda x, k: item(x, i, k))).otherwise(F.array().cast(NONE)))
         return F.when(J.is_kind(s, "object"), full).otherwise(F.array(_at("sections[{}] is not an object.", i)))
 
-    top, end = J.get(v, "top_block"), J.get(v, "end_takeaway")
+    top, end = v["top_block"], v["end_takeaway"]
     kind = F.when(J.is_kind(top, "object"), J.text(J.get(top, "kind")))
     ends = _when_all(
         _issue((kind == "takeaway") & ~J.falsy(end), 'end_takeaway must be omitted when top_block.kind is "takeaway".'),
@@ -136,20 +136,21 @@ def _sections(v: Column) -> list[Column]:
 
 
 def _charts(v: Column) -> list[Column]:
-    listed, single, image = J.get(v, "charts"), J.get(v, "chart"), J.get(v, "image")
+    listed, single, image = v["charts"], v["chart"], v["image"]
     objects = F.filter(J.items(listed), lambda c: J.is_kind(c, "object"))
     charts = F.when(F.size(objects) > 0, objects).when(J.is_kind(single, "object"), F.array(single)).otherwise(F.array().cast("array<variant>"))
 
     def dataset(raw: Column, d: Column, i: Column) -> Column:
-        data = F.transform(raw, lambda x: F.try_variant_get(x, "$", "double"))
-        shown = F.to_json(raw)
+        return J.let(F.transform(raw, lambda x: F.try_variant_get(x, "$", "double")), lambda data: told(data, F.to_json(raw), d, i))
+
+    def told(data: Column, shown: Column, d: Column, i: Column) -> Column:
         total = F.get(data, F.lit(0)) + F.get(data, F.lit(1))
         ordinal = F.concat(_at("charts[{}].datasets[{}].data is an ordinal sequence (", i, d), shown, F.lit(") - bar height is encoding rank order, not magnitude. Move to a numbered list or prose, or replace with measured values."))
         share = F.concat(_at("charts[{}].datasets[{}].data is a two-value share-of-whole (", i, d), shown, F.format_string(" sums to ~%.2f). Move to top_block.pills - a proportion is not a chart.", total))
         return _when_all(_issue(is_ordinal(data), ordinal), _issue(is_share(data), share))
 
     def chart(c: Column, i: Column) -> Column:
-        sets = J.items(J.get(J.get(J.get(c, "config_json"), "data"), "datasets"))
+        sets = J.items(F.try_variant_get(c, "$.config_json.data.datasets", "variant"))
         numbers = F.filter(F.transform(sets, lambda s: F.filter(J.items(J.get(s, "data")), lambda x: J.is_kind(x, "number"))), lambda a: F.size(a) > 0)
         own = _when_all(
             _issue(J.blank(J.get(c, "title")), _at("charts[{}].title is empty.", i)),
@@ -178,7 +179,7 @@ def reference_issues(ref: Column, blank: Column, i: Column) -> Column:
 
 
 def _references(v: Column) -> list[Column]:
-    refs = J.get(v, "references")
+    refs = v["references"]
     is_list = J.is_kind(refs, "array")
     before = _when_all(_issue(~is_list, "Missing references array."), _issue(is_list & (F.size(J.items(refs)) == 0), "references must contain the primary source citation."))
     return [before, _each(J.items(refs), lambda r, i: reference_issues(J.text(r), J.blank(r), i))]
@@ -186,14 +187,18 @@ def _references(v: Column) -> list[Column]:
 
 def issues(v: Column, expected_date: str) -> Column:
     """All issues of a parsed record (VARIANT), as an array of texts."""
-    found = F.concat(*_top(v, expected_date), *_sections(v), *_charts(v), *_references(v))
-    return F.when(J.is_kind(v, "object"), found).otherwise(F.array(F.lit("Output is not a JSON object.")))
+    def parts(x: Column) -> Column:
+        return F.concat(F.concat(*_top(x, expected_date)), F.concat(*_sections(x)), F.concat(*_charts(x)), F.concat(*_references(x)))
+
+    keys = ("version", "metadata", "hero", "top_block", "sections", "end_takeaway", "charts", "chart", "image", "references")
+    fields = F.struct(*(J.get(v, k).alias(k) for k in keys))
+    return F.when(J.is_kind(v, "object"), J.let(fields, parts)).otherwise(F.array(F.lit("Output is not a JSON object.")))
 
 
 def validation(v: Column, expected_date: str) -> Column:
     """Struct (ok, issues)."""
-    found = issues(v, expected_date)
-    return F.struct((F.size(found) == 0).alias("ok"), found.alias("issues"))
+    found = J.let(v, lambda x: issues(x, expected_date))
+    return J.let(found, lambda x: F.struct((F.size(x) == 0).alias("ok"), x.alias("issues")))
 
 
 def repair_instruction(found: Column, expected_date: str) -> Column:

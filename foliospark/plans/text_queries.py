@@ -160,7 +160,7 @@ _RAW = "CASE doc_id % 6 " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(
 
 @query(f"""SELECT doc_id, doc_id % 6 NOT IN (2, 3) AS ok, CASE WHEN doc_id % 6 NOT IN (2, 3) THEN doc_id END::BIGINT AS id, CASE WHEN doc_id % 6 NOT IN (2, 3) THEN n_chars END::BIGINT AS chars FROM documents""")
 def extract_json(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "documents").select("doc_id", F.expr(f"(SELECT 1)").isNotNull().alias("_") if False else F.lit(1).alias("_"), F.expr(_RECORD).alias("j"), "n_chars").withColumn("raw", F.expr(_RAW))
+    raw = table(spark, d, "documents").select("doc_id", F.expr(_RECORD).alias("j"), "n_chars").withColumn("raw", F.expr(_RAW))
     v = raw.select("doc_id", J.extract_json(F.col("raw")).alias("v"))
     return v.select("doc_id", F.col("v").isNotNull().alias("ok"), F.try_variant_get("v", "$.id", "bigint").alias("id"), F.try_variant_get("v", "$.n.chars", "bigint").alias("chars"))
 

@@ -128,7 +128,8 @@ def caption_words(words: DataFrame, keys: list[str], seq: str, text: str, token:
     """The first ``Figure <token>`` pair of adjacent words per page."""
     order = Window.partitionBy(*keys).orderBy(seq)
     paired = words.withColumn("_next", F.lead(text).over(order)).withColumn("_token", token)
-    follows = F.col("_next").rlike("^[0-9a-zA-Z.]+[.:,]?$") & (F.lower(F.regexp_replace("_next", "[.:,].*$", "")) == F.lower("_token"))
+    rest = F.substring(F.col("_next"), F.length("_token") + 1, F.length("_next"))
+    follows = F.startswith(F.lower("_next"), F.lower("_token")) & rest.rlike("^([.:,]|$)")
     hits = paired.filter(F.col(text).rlike(r"(?i)^(figure|fig\.?)$") & follows)
     return hits.groupBy(*keys).agg(F.min(seq).alias(seq))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliospark.plans import record_queries, text_queries  # noqa: F401
+from foliospark.plans import ledger_queries, record_queries, text_queries  # noqa: F401
 from foliospark.plans.registry import ORACLES, QUERIES, Query
 
 

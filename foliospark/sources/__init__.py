@@ -1 +1 @@
-"""See the package README section."""
+"""Readers and writers of documents, word boxes, ledgers and results."""

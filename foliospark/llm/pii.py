@@ -40,12 +40,16 @@ PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[P
 REACH, LEAST_LETTERS = 5, 4
 #: Least disclosure, and different surroundings on each side, of a term.
 DISCLOSURE, LEAST_CONTEXTS = 0.8, 3
+#: Least share of different words in an entity's surroundings; near copies of one
+#: passage stay below it.
+LEAST_VARIETY = 0.5
 WORD = r"[\p{L}\p{N}_]+"
 
 
-def _located(text: Column, pattern: str, keep=lambda value: F.lit(True)) -> Column:
+def _located(text: Column, pattern: str | Column, keep=lambda value: F.lit(True)) -> Column:
     """Matches of ``pattern`` as an array of (start, end, value)."""
-    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    matches, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -116,8 +120,9 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     contexts = near.groupBy("e", "before", "after").agg(F.count("*").alias("n"))
     sides = contexts.select("e", F.xxhash64("before").alias("b"), F.xxhash64("after").alias("a"), "n", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
-    pairs = sides.groupBy("e", "term").agg(F.count_distinct("b").alias("nb"), F.count_distinct("a").alias("na"), F.sum("n").alias("n_te"))
-    pairs = materialize(pairs.filter(F.least("nb", "na") >= LEAST_CONTEXTS), "pii-pairs")
+    beside = materialize(sides.groupBy("e", "term").agg(F.count_distinct("b").alias("nb"), F.count_distinct("a").alias("na"), F.sum("n").alias("n_te"), F.count("*").alias("k")), "pii-beside")
+    varied = beside.groupBy("e").agg(F.sum("k").alias("all"), F.count("*").alias("different")).filter(F.col("different") >= LEAST_VARIETY * F.col("all")).select("e")
+    pairs = materialize(beside.filter(F.least("nb", "na") >= LEAST_CONTEXTS).join(varied, "e").drop("k"), "pii-pairs")
     empty = docs.sparkSession.createDataFrame([], "term string, disclosure double")
     if pairs.isEmpty():
         return empty
@@ -143,7 +148,9 @@ def with_all_spans(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str
     words = docs.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(_terms(F.col(text_col)))).alias("term"))
     listed = materialize(words.join((F.broadcast(terms) if small else terms).select("term"), "term").groupBy("_id").agg(F.collect_set("term").alias("_terms")), "pii-listed")
     marked = based.join(F.broadcast(listed) if listed.count() <= BROADCAST_IDS // 10 else listed, based[id_col].eqNullSafe(listed["_id"]), "left").drop("_id")
-    located = F.transform(F.filter(_located(F.col(text_col), WORD), lambda x: F.array_contains("_terms", F.lower(x["value"]))), lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), x["end"].alias("end"), F.lit("term").alias("kind"), x["value"].alias("value")))
+    # terms are letters only, so they need no escape; only they are located
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_])(?:"), F.array_join("_terms", "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    located = F.transform(_located(F.col(text_col), pattern), lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), x["end"].alias("end"), F.lit("term").alias("kind"), x["value"].alias("value")))
     return marked.withColumn("_all", F.when(F.col("_terms").isNotNull(), F.array_sort(F.concat("_base", located))).otherwise(F.col("_base"))).drop("_terms")
 
 

@@ -1 +1 @@
-"""See the package README section."""
+"""Operators over DataFrames."""

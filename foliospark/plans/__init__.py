@@ -1 +1 @@
-"""See the package README section."""
+"""Registered queries and the document workflow."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions import jsonx as J
-from foliospark.operators import validate
+from foliospark.operators import lanes, prompts, validate
 
 #: Fixed value: repairs of a record at most.
 MOST_REPAIRS = 2
@@ -70,3 +70,18 @@ def repair(records: DataFrame, expected_date: str, model: Model, store: Callable
         done = state.filter("ok or not parsed")
         state = done.unionByName(checked(answers).withColumn("repairs", F.lit(attempt)))
     return state
+
+
+def synthesise(docs: DataFrame, model: Model, expected_date: str, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Two rounds of model calls: four lanes a document, then one synthesis.
+
+    ``docs`` has ``custom_id, text``. Lane answers are stored before the second
+    round starts. Gives ``custom_id, missing, text, input_tokens,
+    output_tokens, error``; documents without any lane answer are absent.
+    """
+    requests = lanes.fan_out(docs).select("lane_id", prompts.lane_instruction(F.col("lane")).alias("system"), F.concat_ws("\n\n", prompts.lane_prompt(F.col("lane")), "text").alias("prompt"))
+    answers = store(call_model(requests, model, ["lane_id"])).filter("error is null")
+    gathered = lanes.fan_in(answers, "output_tokens")
+    hint = F.concat(F.lit("Use these extracted lane notes as your factual substrate:\n\n"), "body")
+    second = gathered.select(F.col("base").alias("custom_id"), "missing", F.lit("").alias("system"), F.concat_ws("\n\n", prompts.user_instruction(F.lit(expected_date), F.lit(None).cast("string")), hint).alias("prompt"))
+    return store(call_model(second, model, ["custom_id", "missing"]))

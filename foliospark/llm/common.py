@@ -1,15 +1,13 @@
 """Helpers shared by the training-data operators.
 
-* ``materialize`` cuts lineage by writing a Parquet table in the shared
-  checkpoint folder, so a lost executor costs a re-read and not a re-run.
+* ``materialize`` (from the library) cuts lineage by writing a Parquet table in
+  the shared checkpoint folder: a lost executor costs a re-read, not a re-run.
 * ``WordBatch`` turns an Arrow batch of texts into numpy arrays of words and
   64-bit word hashes without a Python loop over words.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.session import materialize  # noqa: F401  (its users import it from here)
+
 #: Ids are sent to every task only up to this count (8 bytes each, a few
 #: dozen MB as a hash relation); beyond it the same join shuffles instead.
 BROADCAST_IDS = 1_000_000
@@ -30,28 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    ``spark.checkpoint.dir`` decides; a folder of our own is made only where
-    the setting is missing and Spark runs in a single process.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="foliospark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliospark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most 1000 rows in this session: a Python worker
+    holds two of them, and texts can be long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > 1000:
+        spark.conf.set(key, "1000")
 
 
 def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str = "inner") -> DataFrame:

@@ -3,7 +3,7 @@
 A document's set holds its distinct five-word shingles (64-bit hashes). Two
 documents link when 100 * intersection >= 80 * union.
 
-1. Rare-first order: shingles that repeat within chunks of the corpus are
+1. Rare-first order: shingles that repeat within pieces of the corpus are
    summed up over all documents; the most frequent come last in every
    document's order. The summary is bounded and only speeds the join up: any
    order gives the same links.
@@ -32,15 +32,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, join_ids, materialize, mix, table, text_chunks, window_hash
+from foliospark.llm.common import WordBatch, join_ids, materialize, mix, small_batches, table, text_chunks, window_hash
 from foliospark.llm.components import connected_components
 
 WIDTH, PERCENT = 5, 80
-#: Entries of the frequent-shingle summary that tasks get (16 bytes each), and
-#: the least count in it. Neither changes the result.
-FREQUENT, LEAST_COUNT = 200_000, 6
+#: Entries of the frequent-shingle summary that tasks get (16 bytes each), the
+#: least count in it, and shingles that are counted together. None of them
+#: changes the result.
+FREQUENT, LEAST_COUNT, COUNTED = 500_000, 6, 4_000_000
 #: Shared shingles that tasks get (8 bytes each); beyond it they are joined.
 BROADCAST_SHINGLES = 1_500_000
+#: Bits of the bitmap that rules out pairs before whole sets travel.
+BITS = 2048
 
 
 class Shingles:
@@ -60,7 +63,11 @@ class Shingles:
                 part = words.first[few][:, None] + np.arange(n)
                 own = np.concatenate([own, few])
                 h = np.concatenate([h, mix(window_hash(hashes[part].ravel(), n)[::n] + np.uint64(n))])
-        order = np.lexsort((h, own))
+        key = (own.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
+        order = np.argsort(key)
+        key = key[order]
+        if ((key[1:] == key[:-1]) & (h[order[1:]] != h[order[:-1]])).any() or self.rows >= 1 << 20:
+            order = np.lexsort((h, own))  # two hashes share the bits in the key
         own, h = own[order], h[order]
         fresh = np.ones(len(h), bool)
         fresh[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
@@ -76,7 +83,7 @@ class Shingles:
         if len(frequent) and len(self.hash):
             at = np.minimum(np.searchsorted(frequent, self.hash), len(frequent) - 1)
             weight = np.where(frequent[at] == self.hash, counts[at], 0)
-        order = np.lexsort((self.hash, weight, self.own))
+        order = np.argsort((self.own << 40) + np.minimum(weight, (1 << 40) - 1), kind="stable")  # already by row and hash
         h = self.hash[order]
         position = np.arange(len(h)) - self.first[self.own] + 1
         keep = np.flatnonzero(position <= prefix_length(self.n)[self.own])
@@ -108,18 +115,30 @@ def _i64(x: np.ndarray) -> pa.Array:
 
 def describe(docs: DataFrame) -> DataFrame:
     """Rows (doc_id, n, sig) of documents and (null, count, shingle) of
-    shingles that occur in several sets of a chunk."""
+    shingles that occur in several sets counted together."""
+
+    def repeated(held: list, seen: set) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        seen.clear()
+        h, n = h[n > 1], n[n > 1]
+        return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.array(n.astype(np.int64)), _i64(h), pa.array(np.zeros(len(h), bool))], ["doc_id", "n", "key", "is_doc"])
 
     def run(batches):
+        held, seen = [], set()
         for batch in _chunks(batches, 1):
             s = Shingles(batch.column(1))
-            _, once = np.unique(s.signature, return_index=True)
             one = np.zeros(s.rows, bool)
-            one[once] = True
-            h, n = np.unique(s.hash[one[s.own]], return_counts=True)
-            h, n = h[n > 1], n[n > 1]
+            for k, x in enumerate(s.signature.tolist()):
+                if x not in seen:
+                    seen.add(x)
+                    one[k] = True
+            held.append(s.hash[one[s.own]])
+            if sum(map(len, held)) > COUNTED:
+                yield repeated(held, seen)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.n.astype(np.int64)), _i64(s.signature), pa.array(np.ones(s.rows, bool))], ["doc_id", "n", "key", "is_doc"])
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.array(n.astype(np.int64)), _i64(h), pa.array(np.zeros(len(h), bool))], ["doc_id", "n", "key", "is_doc"])
+        if held:
+            yield repeated(held, seen)
 
     return docs.mapInArrow(run, "doc_id long, n long, key long, is_doc boolean")
 
@@ -170,20 +189,46 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "sig long, s array<long>")
 
 
+def bitmaps_of(docs: DataFrame) -> DataFrame:
+    """``sig, bits``: parity bitmaps. Every shingle flips one bit, so two bitmaps
+    differ in at most as many bits as the sets have shingles not in common."""
+
+    def run(batches):
+        for batch in _chunks(batches, 1):
+            s = Shingles(batch.column(1))
+            bit = (mix(s.hash ^ np.uint64(0x5EED)) % np.uint64(BITS)).astype(np.int64)
+            flips = np.bincount(s.own * BITS + bit, minlength=s.rows * BITS) & 1
+            packed = np.packbits(flips.astype(np.uint8).reshape(s.rows, BITS), axis=1)
+            words = pa.FixedSizeListArray.from_arrays(pa.array(packed.view(np.int64).ravel()), BITS // 64)
+            yield pa.RecordBatch.from_arrays([_i64(s.signature), words.cast(pa.list_(pa.int64()))], ["sig", "bits"])
+
+    return docs.mapInArrow(run, "sig long, bits array<long>")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return materialize(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The linked ones of ``pairs`` (a, b: node ids) as edges (a, b).
 
-    Sets are made again from the texts of the nodes in question only.
+    Bitmaps of 256 bytes a node rule out most pairs that cannot link; whole
+    sets travel for the rest only. Both are made again from the texts.
     """
     pairs = materialize(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    wanted = materialize(wanted, "wanted")
-    sets = sets_of(join_ids(docs, wanted, "doc_id")).dropDuplicates(["sig"])
+    maps = bitmaps_of(join_ids(docs, _ends(pairs), "doc_id")).join(nodes.select("sig", "node", "n"), "sig").dropDuplicates(["node", "sig"]).select("node", "n", "bits")
+    maps = materialize(maps, "bitmaps")
+    both = pairs.join(maps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a").join(maps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
+    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, k: total + k)
+    total = F.col("na") + F.col("nb")
+    # 2 * intersection <= total - apart, and a link needs 180 * intersection >= 80 * total
+    hopeful = materialize(both.filter(F.lit(100 + PERCENT) * (total - apart) >= F.lit(2 * PERCENT) * total).select("a", "b").distinct(), "hopeful")
+    sets = sets_of(join_ids(docs, _ends(hopeful), "doc_id")).dropDuplicates(["sig"])
     sets = materialize(sets.join(nodes.select("sig", "node"), "sig").select("node", "s"), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+    both = hopeful.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     linked = both.filter(F.lit(100) * shared >= F.lit(PERCENT) * (F.size("sa") + F.size("sb") - shared))
-    return materialize(linked.select("a", "b"), "links")
+    return materialize(linked.select("a", "b").distinct(), "links")
 
 
 def _sized(pairs: DataFrame) -> DataFrame:
@@ -196,6 +241,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``doc_id, n_shingles, component_id`` for every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     sc = docs.sparkSession.sparkContext
+    small_batches(docs.sparkSession)
     first = materialize(describe(docs), "describe")
     rows = first.filter("is_doc").select("doc_id", "n", F.col("key").alias("sig"))
     top = first.filter("not is_doc").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT).orderBy(F.desc("n"), "key").limit(FREQUENT).toPandas()
@@ -259,4 +305,17 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(table(spark, sf_dir, "documents"))
 
 
+#: The same by brute force: all pairs that share a shingle, then reachability.
+_ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS h FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+both_ AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, both_.b FROM r JOIN both_ ON r.b = both_.a)
+SELECT doc_id, n AS n_shingles, (SELECT min(b) FROM r WHERE r.a = doc_id) AS component_id FROM n
+"""
 QUERIES = {"op10_ngram_jaccard_join": op10_ngram_jaccard_join}
+ORACLES = {"op10_ngram_jaccard_join": _ORACLE}

@@ -124,14 +124,15 @@ def plan_copies(docs: DataFrame, weights=None, budget_parts: int = BUDGET_PARTS,
 
 
 def select_rows(docs: DataFrame, **params) -> DataFrame:
-    """The selected documents with all their columns and ``n_copies``.
+    """The selected documents with all their columns and ``n_copies`` (which
+    takes the place of a column of that name).
 
     Rows that share an id share the larger number of copies.
     """
     id_col = params.get("id_col", "doc_id")
     chosen = plan_copies(docs, **params).filter("n_copies > 0").groupBy("doc_id").agg(F.max("n_copies").alias("n_copies"))
     chosen = chosen.withColumnRenamed("doc_id", "_key")
-    return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_key"])).select(*(docs[c] for c in docs.columns), "n_copies")
+    return docs.join(chosen, docs[id_col].eqNullSafe(chosen["_key"])).select(*(docs[c] for c in docs.columns if c != "n_copies"), chosen["n_copies"])
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

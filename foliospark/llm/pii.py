@@ -172,10 +172,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Of overlapping spans the first decides and covers the others.
     """
-    columns = docs.columns
     terms = revealing_terms(docs, id_col, text_col)
-    rows = docs.withColumn("_t", text_or_empty(text_col))
-    found = with_all_spans(rows, terms, id_col, "_t")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_key"), text_or_empty(text_col).alias("_t"))
+    found = with_all_spans(rows, terms, "_key", "_t")
     text = F.col("_t")
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -188,8 +187,8 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         return F.struct(F.greatest(x["end"], acc["at"]).alias("at"), F.when(inside, acc["out"]).otherwise(grown).alias("out"))
 
     clean = F.aggregate("_all", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    changed = F.when(F.size("_all") > 0, clean).otherwise(F.col(text_col))
-    return found.withColumn(text_col, changed).select(*columns)
+    changed = F.when(F.size("_all") > 0, clean).otherwise(F.col("_row")[text_col])
+    return found.select(*((changed if c == text_col else F.col("_row")[c]).alias(c) for c in docs.columns))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

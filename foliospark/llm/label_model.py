@@ -48,7 +48,8 @@ def _maximise(votes: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarra
 
 
 def _weights(votes: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """1 / (1 + sum of a voter's correlations with the others within classes)."""
+    """1 / (1 + sum of a voter's correlations with the others within classes),
+    in parts of the largest."""
     signs, total = np.array([0.0, -1.0, 1.0])[votes], np.zeros((votes.shape[1],) * 2)
     for weight in (counts * (1 - q), counts * q):
         if weight.sum() < 2:
@@ -59,31 +60,36 @@ def _weights(votes: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarray
         total += weight.sum() * np.abs(cov / np.outer(sd, sd))
     corr = total / max(counts.sum(), 1e-9)
     np.fill_diagonal(corr, 0)
-    return 1 / (1 + corr.sum(axis=1))
+    weight = 1 / (1 + corr.sum(axis=1))
+    return weight / weight.max()
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correlated: bool = False, start: float = 0.8, fixed_prior: bool = False, least_miss: float = 0.0) -> LabelModel:
-    """EM over counted patterns, from voters that are right ``start`` of the time.
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correlated: bool = False, start: tuple[float, float] = (0.8, 0.8), fixed_prior: bool = False, bounds: tuple[tuple[float, float], tuple[float, float]] = ((0, 1), (0, 1))) -> LabelModel:
+    """EM over counted patterns. It starts from voters that give class 0 and
+    class 1 their votes with the two probabilities of ``start``.
 
-    With ``correlated``, correlations within the classes are estimated from the
-    posteriors and discount voters that repeat each other; EM then goes on
-    with those weights. ``least_miss`` is the least share of class 0 that each
-    voter is taken to call class 1: voters that look for one kind of fault say
-    little about the others. No pattern at all gives the starting model.
+    With ``correlated``, all voters count for less at first; then correlations
+    within the classes are estimated from the posteriors and discount voters
+    that repeat each other, and EM goes on with those weights. ``bounds`` limits the share of their votes that voters
+    give to class 0, on documents of class 0 and of class 1: what is known of
+    voters that each look for one kind of fault. No pattern at all gives the
+    starting model.
     """
     n_voters = votes.shape[1]
-    tables = np.tile(np.array([[[0.2, 0.8 * start, 0.8 * (1 - start)], [0.2, 0.8 * (1 - start), 0.8 * start]]]), (n_voters, 1, 1))
+    of_zero, of_one = start
+    tables = np.tile(np.array([[[0.2, 0.8 * of_zero, 0.8 * (1 - of_zero)], [0.2, 0.8 * (1 - of_one), 0.8 * of_one]]]), (n_voters, 1, 1))
     model = LabelModel(min(max(prior, 1e-3), 1 - 1e-3), tables, np.full(n_voters, 1 / np.sqrt(n_voters)) if correlated else np.ones(n_voters))
     if not len(votes) or not counts.sum():
         return model
     for k in range(EM_ROUNDS):
         q = model.posterior(votes)
-        if correlated and k % 10 == 9:
+        if correlated and k == EM_ROUNDS * 2 // 3:
             model.weight = _weights(votes, counts, q)
         model.tables = _maximise(votes, counts, q)
-        miss = np.maximum(model.tables[:, 0, 2], least_miss)
-        model.tables[:, 0, :2] *= ((1 - miss) / (1 - model.tables[:, 0, 2]))[:, None]
-        model.tables[:, 0, 2] = miss
+        for c, (low, high) in enumerate(bounds):
+            voting = model.tables[:, c, 1:].sum(axis=1)
+            zero = np.clip(model.tables[:, c, 1] / voting, low, high)
+            model.tables[:, c, 1], model.tables[:, c, 2] = np.maximum(voting * zero, 1e-9), np.maximum(voting * (1 - zero), 1e-9)
         if not fixed_prior:
             model.prior = float(np.clip((counts * q).sum() / counts.sum(), 1e-3, 1 - 1e-3))
     return model

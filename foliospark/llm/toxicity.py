@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, bucket, table, text_chunks, unit_hash
+from foliospark.llm.common import WordBatch, bucket, small_batches, table, text_chunks, unit_hash
 from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
 #: Bounds of the training: about so many toxic rows propose terms, so many
@@ -34,6 +34,11 @@ TOXIC_ROWS, CANDIDATES, TERMS, LINEAR_ROWS = 10_000, 40_000, 6_000, 20_000
 LEAST_ROWS, LEAST_SHARE, LEAST_LIFT, STRONG_LIFT = 3, 0.001, 12.0, 50.0
 #: And so many standard deviations more often than clean rows make likely.
 LEAST_Z = 10.0
+#: And after so many different words, as a share of its toxic rows.
+LEAST_CONTEXTS = 0.25
+#: Voters from which EM starts: quiet on 95 % of the clean rows, loud on half of
+#: the toxic ones.
+START_VOTES = (0.95, 0.5)
 #: Plain English insults.
 INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "pathetic", "disgusting", "clown", "imbecile", "dumb", "retard", "vermin", "filth", "bastard", "bitch", "asshole")
 #: Features: the whole word, and its first so many bytes (a shorter word whole).
@@ -150,19 +155,25 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
     def propose(batches):
         for batch in batches:
             for _, _, words in _batches(batch, 0):
-                for kind, (row, h) in enumerate(term_hashes(words)):
-                    order = np.lexsort((row, h))
-                    h, row = h[order], row[order]
+                hashes = term_hashes(words)
+                doc, own = hashes[0]
+                before = np.zeros(len(own), np.uint64)
+                before[1:] = np.where(doc[1:] == doc[:-1], own[:-1], 0)
+                for kind, (_, h) in enumerate(hashes):
+                    order = np.lexsort((before, h))
+                    h, p = h[order], before[order]
                     fresh = np.ones(len(h), bool)
-                    fresh[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                    h, n = np.unique(h[fresh], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), kind, np.int32)), pa.array(n.astype(np.int64))], ["h", "kind", "n"])
+                    fresh[1:] = (h[1:] != h[:-1]) | (p[1:] != p[:-1])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array(np.full(fresh.sum(), kind, np.int32)), pa.array(p[fresh].view(np.int64))], ["h", "kind", "p"])
 
-    proposed = toxic.select("t").mapInArrow(propose, "h long, kind int, n long").groupBy("h", "kind").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(CANDIDATES).toPandas()
+    # a term's support is the number of different words before it: copies of a
+    # passage are no evidence
+    proposed = toxic.select("t").mapInArrow(propose, "h long, kind int, p long").distinct().groupBy("h", "kind").agg(F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(CANDIDATES).toPandas()
     if proposed.empty:
         return none, n1 / (n1 + n0)
     order = np.argsort(proposed["h"].to_numpy().view(np.uint64))
     candidates = Terms(proposed["h"].to_numpy().view(np.uint64)[order], proposed["kind"].to_numpy()[order].astype(np.int64), np.zeros(len(order)))
+    contexts = proposed["n"].to_numpy()[order] / fraction
     shared = labelled.sparkSession.sparkContext.broadcast(candidates)
 
     def count(batches):
@@ -184,7 +195,7 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
     support[counted["k"].to_numpy()] = c1
     expected = np.zeros(len(order))
     expected[counted["k"].to_numpy()] = (c0 + 0.5) * n1 / (n0 + 1)
-    keep = np.flatnonzero((lift >= LEAST_LIFT) & (support >= LEAST_ROWS) & (support - expected >= LEAST_Z * np.sqrt(expected + 0.5)))
+    keep = np.flatnonzero((lift >= LEAST_LIFT) & (support >= LEAST_ROWS) & (contexts >= LEAST_CONTEXTS * support) & (support - expected >= LEAST_Z * np.sqrt(expected + 0.5)))
     keep = np.sort(keep[np.argsort(-lift[keep] * np.sqrt(support[keep]), kind="stable")[:TERMS]])
     return Terms(candidates.hashes[keep], candidates.kinds[keep], lift[keep]), n1 / (n1 + n0)
 
@@ -192,6 +203,7 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Learn from the rows of ``labels`` joined with ``docs``; ``docs`` without
     a label still vote. The caller holds rows out of both."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("i"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     marks = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("i")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
     n = marks.count()
@@ -223,7 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     patterns = voted[voted["terms"].isna()]
     width = 2 * (1 + len(PREFIXES)) + 3
     votes = np.array(patterns["votes"].tolist(), np.int64).reshape(-1, width)
-    model = fit_label_model(votes, patterns["n"].to_numpy(np.float64), share, correlated=True, fixed_prior=True)
+    model = fit_label_model(votes, patterns["n"].to_numpy(np.float64), share, correlated=True, start=START_VOTES, fixed_prior=True)
     sample = voted[voted["terms"].notna()]
     weight = -sample["n"].to_numpy(np.int64)
     target = model.posterior(np.array(sample["votes"].tolist(), np.int64).reshape(-1, width))
@@ -235,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         cols_.append(lists[i])
     r = np.concatenate(rows_).astype(np.int64) if rows_ else np.empty(0, np.int64)
     c = np.concatenate(cols_).astype(np.int64) if cols_ else np.empty(0, np.int64)
-    w, bias = fit_linear(r, c, np.ones(len(r)), target[copies], len(terms.hashes))
+    w, bias = fit_linear(r, c, np.ones(len(r)), target[copies], len(terms.hashes), rounds=1500)
     return ToxicityModel(terms, w, bias, model)
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, join_ids, mix, table, text_chunks, window_hash
+from foliospark.llm.common import WordBatch, join_ids, mix, small_batches, table, text_chunks, window_hash
 from foliospark.llm.toxicity import trimmed
 
 WINDOW, LEAST_WORDS = 5, 3
@@ -138,6 +138,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     shuffled is hits; hits are summed up per document and item with a
     map-side combine.
     """
+    small_batches(docs.sparkSession)
     windows = item_windows(items, item_col, item_text_col)
     distinct = windows.select("w", "width").distinct()
     if distinct.count() <= BROADCAST_WINDOWS:

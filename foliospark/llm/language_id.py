@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bucket, table, text_chunks, unit_hash
+from foliospark.llm.common import bucket, small_batches, table, text_chunks, unit_hash
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -259,6 +259,7 @@ _SCORERS: dict[int, Scorer] = {}
 def identify(docs: DataFrame, lm: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, lang_pred, score``; the model (vocabulary size x
     languages numbers) goes to each executor once as a broadcast variable."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lm)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,18 +22,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, mix, table, text_chunks, unit_hash, window_hash
+from foliospark.llm.common import WordBatch, mix, small_batches, table, text_chunks, unit_hash, window_hash
 from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
 #: About so many documents, chosen by a hash of the id, train the scorer.
 TRAIN_ROWS = 10_000
 #: Dimensions of the hashed feature space.
 DIMENSIONS = 1 << 14
-#: Share of bad documents from which EM starts.
-START_BAD = 0.15
-#: Share of bad documents that a labeller is taken to miss at least: each looks
-#: for one kind of fault only.
-LEAST_MISS = 0.4
+#: Share of bad documents from which EM starts, and labellers that call 30 % of
+#: the bad documents bad and 98 % of the good ones good.
+START_BAD, START_VOTES = 0.15, (0.3, 0.98)
+#: Each labeller looks for one kind of fault: it is taken to call bad between a
+#: tenth and four tenths of the bad documents, and at most 1 % of the good ones.
+BOUNDS = ((0.1, 0.4), (0.0, 0.01))
 THRESHOLD = 0.5
 
 _CLASS = np.full(256, ord("a"), np.uint8)
@@ -174,6 +175,7 @@ class QualityModel:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> QualityModel:
     """Vote patterns over all documents; features of the sampled ones."""
+    small_batches(docs.sparkSession)
     total = docs.count()
     fraction = min(1.0, train_rows / max(total, 1))
     rows = docs.select(F.col(text_col).cast("string").alias("t"), (unit_hash(F.col(id_col), seed=13) < fraction).alias("s"))
@@ -201,7 +203,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
     found = rows.mapInArrow(vote, "votes array<long>, cols array<long>, vals array<double>, n long").toArrow()
     votes = np.array(found["votes"].to_pylist(), np.int64).reshape(-1, len(LABELLERS))
     sampled = np.asarray(found["cols"].is_valid())
-    model = fit_label_model(votes[~sampled], np.asarray(found["n"]).astype(float)[~sampled], 1 - START_BAD, least_miss=LEAST_MISS)
+    model = fit_label_model(votes[~sampled], np.asarray(found["n"]).astype(float)[~sampled], 1 - START_BAD, start=START_VOTES, bounds=BOUNDS)
     part = found.filter(found["cols"].is_valid())
     target = model.posterior(votes[sampled])
     cols, values = part["cols"].combine_chunks(), part["vals"].combine_chunks()
@@ -211,24 +213,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
     return QualityModel(w, bias, model)
 
 
-def _scored(docs: DataFrame, model: QualityModel, text_col: str, kept: DataFrame, schema: str) -> DataFrame:
+def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, score, good`` for every row; no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            last = batch.num_columns - 1
-            for lo, hi in text_chunks(batch.column(last)):
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[:last], pa.array(shared.value.scores(part.column(last)))], [*part.schema.names[:last], "_score"])
-
-    return kept.mapInArrow(run, schema)
+            for lo, hi in text_chunks(batch.column(1)):
+                s = shared.value.scores(batch.column(1).slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(s), pa.array(s >= THRESHOLD)], ["doc_id", "score", "good"])
 
-
-def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score, good`` for every row; no shuffle."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    out = _scored(docs, model, text_col, rows, "doc_id long, _score double")
-    return out.select("doc_id", F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).alias("good"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
+    return rows.mapInArrow(run, "doc_id long, score double, good boolean")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import table, text_or_empty
+from foliospark.llm.common import small_batches, table, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -129,6 +129,7 @@ def count_tokens(docs: DataFrame, model: str = MODEL, limit: int = LIMIT, id_col
             n = [count(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
+    small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text_or_empty(text_col)).cast("long").alias("n_bytes"), text_or_empty(text_col).alias("text"))
     return picked.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 

@@ -10,10 +10,11 @@ from foliospark.functions.text import trim_all
 #: The lane prompt and instruction, with {} for the lane.
 LANE_PROMPT = 'Extract the "{}" lane from this paper.\nWrite 4-8 short bullets as plain text.\nPrioritize empirical evidence and key results where relevant.'
 LANE_INSTRUCTION = "You are extracting structured evidence from one research paper.\nFocus lane: {}.\nReturn concise plain text only. Include direct quantitative findings when available.\nDo not produce HTML."
-#: The user instruction, with {} for the date, and the emphasis.
+#: The user instruction, with {} for the date and GUIDE for the
+#: name of the style guide, and the emphasis.
 USER_INSTRUCTION = (
     "Create a JSON explainer for this paper following the skill instructions.",
-    "Read the figures and tables as well as the prose. Put value grids (metric × system breakdowns) in `table` blocks; reserve Chart.js charts for genuine trends, relationships, or capability profiles per skill.md, and prefer a table over a bar chart when in doubt. If the paper has a single standout conceptual figure (visual abstract, architecture overview, taxonomy), emit it as an `image` block per skill.md; otherwise omit `image`. Never invent figure content.",
+    "Read the figures and tables as well as the prose. Put value grids (metric × system breakdowns) in `table` blocks; reserve Chart.js charts for genuine trends, relationships, or capability profiles per GUIDE, and prefer a table over a bar chart when in doubt. If the paper has a single standout conceptual figure (visual abstract, architecture overview, taxonomy), emit it as an `image` block per GUIDE; otherwise omit `image`. Never invent figure content.",
     "When a visual detail is unclear, state the uncertainty or omit it rather than guessing.",
     "Use {} as metadata.date_created and as the YYYY-MM-DD prefix of metadata.filename_slug (slug format: YYYY-MM-DD_authorsurname_short-title_explainer).",
     'hero.publication_date must use the format "Published Month Year".',
@@ -35,8 +36,9 @@ def lane_instruction(lane: Column) -> Column:
     return _filled(LANE_INSTRUCTION, lane)
 
 
-def user_instruction(date: Column, hint: Column) -> Column:
+def user_instruction(date: Column, hint: Column, guide: str = "the guide") -> Column:
     """The instruction, with an emphasis block if there is a hint."""
-    parts = [_filled(x, date) if "{}" in x else F.lit(x) for x in USER_INSTRUCTION]
+    texts = [x.replace("GUIDE", guide) for x in USER_INSTRUCTION]
+    parts = [_filled(x, date) if "{}" in x else F.lit(x) for x in texts]
     base, note = F.concat_ws(" ", *parts), trim_all(hint)
     return F.when(F.length(note) > 0, F.concat(base, F.lit(EMPHASIS[0]), note, F.lit(EMPHASIS[1]))).otherwise(base)

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 
 from foliospark.session import materialize  # noqa: F401  (its users import it from here)
 
-#: Ids are sent to every task only up to this count (8 bytes each, a few
-#: dozen MB as a hash relation); beyond it the same join shuffles instead.
-BROADCAST_IDS = 1_000_000
+#: Ids are sent to every executor only up to this count (about 100 MB as a hash
+#: relation of longs); beyond it the same join shuffles instead.
+BROADCAST_IDS = 4_000_000
 
 #: Bytes and rows of text that ``text_chunks`` puts into one numpy working set.
 CHUNK_BYTES, CHUNK_ROWS = 1_000_000, 2_000

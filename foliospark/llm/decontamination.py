@@ -11,8 +11,8 @@ without a slot count.
 
 Defined results: null or empty texts, of documents or items, match nothing; an
 item of fewer than five words is one window of its own length, if it has at
-least three words; rows of one id count as one document; an empty table gives
-an empty table; other columns are ignored by ``find_leaks`` and kept by
+least three words; rows of one id count as one document; rows with a null id are
+not searched and stay; an empty table gives an empty table; other columns are ignored by ``find_leaks`` and kept by
 ``drop_leaks``.
 """
 

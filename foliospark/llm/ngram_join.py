@@ -161,7 +161,8 @@ def prefix_rows(docs: DataFrame, summary) -> DataFrame:
 
 
 def postings_of(docs: DataFrame, summary, known) -> DataFrame:
-    """``h, g, n, pos`` of prefix shingles; only those in ``known`` if given."""
+    """``h, g, n, pos`` of prefix shingles; only those in ``known`` if given.
+    Rows of one group repeat."""
 
     def run(batches):
         frequent, counts = summary.value
@@ -174,7 +175,7 @@ def postings_of(docs: DataFrame, summary, known) -> DataFrame:
                 row, position, h = row[hit], position[hit], h[hit]
             yield pa.RecordBatch.from_arrays([_i64(h), _i64(group[row]), pa.array(s.n[row].astype(np.int32)), pa.array(position.astype(np.int32))], ["h", "g", "n", "pos"])
 
-    return docs.mapInArrow(run, "h long, g long, n int, pos int").groupBy("h", "g", "n", "pos").agg(F.lit(1).alias("one")).drop("one")
+    return docs.mapInArrow(run, "h long, g long, n int, pos int")
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -261,7 +262,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         postings = postings_of(whole, summary, sc.broadcast(found)) if len(found) else postings_of(whole.limit(0), summary, sc.broadcast(None))
     else:
         postings = postings_of(whole, summary, sc.broadcast(None)).join(many, "h", "left_semi")
-    postings = materialize(postings, "postings")
+    postings = materialize(postings.groupBy("h", "g", "n", "pos").agg(F.lit(1).alias("one")).drop("one"), "postings")
 
     central = postings.join(postings.groupBy("g").agg(F.count("*").alias("w")), "g").groupBy("h").agg(F.max(F.struct("w", "g")).alias("top")).select("h", F.col("top.g").alias("g1"))
     groups = shared.filter("c = 2").select(F.col("lo").alias("g1"), F.col("hi").alias("g2")).unionAll(postings.select("h", "g").join(central, "h").select("g1", F.col("g").alias("g2"))).filter("g1 <> g2").distinct()

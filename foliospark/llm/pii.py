@@ -129,7 +129,7 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     total = docs.count()
     entities = materialize(contexts.join(pairs.select("e").distinct(), "e", "left_semi").groupBy("e").agg(F.sum("n").alias("n_e")), "pii-entities")
     candidates = materialize(pairs.select("term").distinct(), "pii-candidates")
-    small = candidates.count() <= BROADCAST_IDS
+    small = candidates.count() <= BROADCAST_IDS // 4
     words = texts.select(F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
     counts = words.join(F.broadcast(candidates) if small else candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(max(total, 2)))
@@ -144,10 +144,10 @@ def with_all_spans(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str
     based = with_spans(docs, text_col)
     if terms.isEmpty():
         return based.withColumn("_all", F.col("_base"))
-    small = terms.count() <= BROADCAST_IDS
+    small = terms.count() <= BROADCAST_IDS // 4
     words = docs.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(_terms(F.col(text_col)))).alias("term"))
     listed = materialize(words.join((F.broadcast(terms) if small else terms).select("term"), "term").groupBy("_id").agg(F.collect_set("term").alias("_terms")), "pii-listed")
-    marked = based.join(F.broadcast(listed) if listed.count() <= BROADCAST_IDS // 10 else listed, based[id_col].eqNullSafe(listed["_id"]), "left").drop("_id")
+    marked = based.join(F.broadcast(listed) if listed.count() <= BROADCAST_IDS // 40 else listed, based[id_col].eqNullSafe(listed["_id"]), "left").drop("_id")
     # terms are letters only, so they need no escape; only they are located
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_])(?:"), F.array_join("_terms", "|"), F.lit(r")(?![\p{L}\p{N}_])"))
     located = F.transform(_located(F.col(text_col), pattern), lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), x["end"].alias("end"), F.lit("term").alias("kind"), x["value"].alias("value")))

@@ -2,9 +2,10 @@
 
 Words become template tokens: numbers, units after a number and capitalised
 words inside a sentence turn into typed placeholders, all else is lower-cased
-and stripped of outer punctuation. Windows of five template tokens of documents
+and stripped of outer punctuation; windows with a capitalised word also count with
+that word itself. Windows of five template tokens of documents
 and benchmark items are hash-joined. A pair counts as a leak if windows with at
-least half of the item's distinct template windows are in the document and the
+least half of the item's windows are in the document and the
 slots agree: equal fillers (``verbatim``), or one consistent substitution
 (``reparameterised``). Where fillers contradict each other, only windows
 without a slot count.
@@ -53,7 +54,8 @@ class Templates:
         self.words = words = WordBatch(texts)
         self.kind = np.zeros(len(words.starts), np.int64)
         if not len(words.starts):
-            self.hash, self.starts, self.ends = np.empty(0, np.uint64), words.starts, words.ends
+            self.hash = self.plain = np.empty(0, np.uint64)
+            self.starts, self.ends = words.starts, words.ends
             return
         data, raw = words.data, words.raw
         self.starts, self.ends = starts, ends = trimmed(words)
@@ -72,22 +74,36 @@ class Templates:
         after[1:] = number[:-1] & ~first[1:]
         listed = after & np.isin(self.hash, _unit_hashes())
         self.kind[number], self.kind[name], self.kind[listed] = 1, 3, 2
-        self.hash = np.where(number, NUMBER, np.where(listed, UNIT, np.where(name, NAME, self.hash)))
+        self.plain = np.where(number, NUMBER, np.where(listed, UNIT, self.hash))
+        self.hash = np.where(name, NAME, self.plain)
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """First word and hash of every usable window inside one text."""
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First word and hash of every usable window inside one text, and
+        whether its names stand as words: windows with a name come twice, so
+        that capitals alone hide nothing."""
         doc, n = self.words.doc, len(self.hash) - width + 1
         if n <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        literal = np.concatenate([[0], np.cumsum(self.kind == 0)])
-        enough = literal[width:] - literal[:-width] >= min(LEAST_LITERALS, max(1, width - 1))
-        at = np.flatnonzero((doc[:n] == doc[width - 1 :]) & enough)
-        return at, mix(window_hash(self.hash, width)[at] + np.uint64(width))
-
-    def slots(self, at: int, width: int) -> list[str]:
+            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
+        least, inside = min(LEAST_LITERALS, max(1, width - 1)), doc[:n] == doc[width - 1 :]
+        named = self._held(self.kind == 3, width)
+        template = np.flatnonzero(inside & (self._held(self.kind == 0, width) >= least))
+        worded = np.flatnonzero(inside & (named > 0) & (self._held((self.kind == 0) | (self.kind == 3), width) >= least))
+        h = np.concatenate([window_hash(self.hash, width)[template], window_hash(self.plain, width)[worded]])
+        return np.concatenate([template, worded]), mix(h + np.uint64(width)), np.arange(len(h)) >= len(template)
+
+    @staticmethod
+    def _held(mask: np.ndarray, width: int) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(mask)])
+        return total[width:] - total[:-width]
+
+    def slots(self, at: int, width: int, worded: bool) -> list[str]:
         """``offset:kind:filler`` of the placeholders in a window."""
         data = self.words.data
-        return [f"{k}:{self.kind[at + k]}:{data[self.starts[at + k] : self.ends[at + k]].tobytes().decode('utf8', 'replace')}" for k in range(width) if self.kind[at + k]]
+        shown = (1, 2) if worded else (1, 2, 3)
+        return [f"{k}:{self.kind[at + k]}:{data[self.starts[at + k] : self.ends[at + k]].tobytes().decode('utf8', 'replace')}" for k in range(width) if self.kind[at + k] in shown]
+
+    def all_slots(self, at: np.ndarray, width: int, worded: np.ndarray) -> pa.Array:
+        return pa.array([self.slots(x, width, y) for x, y in zip(at.tolist(), worded.tolist(), strict=True)], pa.list_(pa.string()))
 
 
 def _unit_hashes() -> np.ndarray:
@@ -104,8 +120,8 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 width = min(WINDOW, len(t.hash))
                 if width < LEAST_WORDS:
                     continue
-                at, h = t.windows(width)
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(at), pa.int64()), pa.array(at.astype(np.int64)), pa.array(h.view(np.int64)), pa.array([width] * len(at), pa.int32()), pa.array([t.slots(x, width) for x in at.tolist()], pa.list_(pa.string()))], ["item_id", "item_pos", "w", "width", "item_slots"])
+                at, h, worded = t.windows(width)
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(at), pa.int64()), pa.array(at.astype(np.int64)), pa.array(h.view(np.int64)), pa.array([width] * len(at), pa.int32()), t.all_slots(at, width, worded)], ["item_id", "item_pos", "w", "width", "item_slots"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("t")).filter("item_id is not null and t is not null")
     return rows.mapInArrow(run, "item_id long, item_pos long, w long, width int, item_slots array<string>")
@@ -121,11 +137,11 @@ def document_windows(docs: DataFrame, widths: list[int], known: np.ndarray | Non
                 t, ids = Templates(batch.column(1).slice(lo, hi - lo)), batch.column(0).slice(lo, hi - lo)
                 doc, hashes = t.words.doc, shared.value
                 for width in widths:
-                    at, h = t.windows(width)
+                    at, h, worded = t.windows(width)
                     if hashes is not None:
                         hit = hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h
-                        at, h = at[hit], h[hit]
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[at])), pa.array(h.view(np.int64)), pa.array([t.slots(x, width) for x in at.tolist()], pa.list_(pa.string()))], ["doc_id", "w", "doc_slots"])
+                        at, h, worded = at[hit], h[hit], worded[hit]
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[at])), pa.array(h.view(np.int64)), t.all_slots(at, width, worded)], ["doc_id", "w", "doc_slots"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).filter("doc_id is not null and t is not null")
     return rows.mapInArrow(run, "doc_id long, w long, doc_slots array<string>")
@@ -152,9 +168,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     pairs = hits.join(windows, "w")
     fills = F.arrays_zip(F.col("item_slots").alias("a"), F.col("doc_slots").alias("b"))
     tail = lambda s: F.regexp_replace(s, r"^\d+:", "")
-    pairs = pairs.select("doc_id", "item_id", "w", (F.size("item_slots") == 0).alias("plain"), F.transform(fills, lambda x: F.struct(tail(x["a"]).alias("a"), tail(x["b"]).alias("b"))).alias("fills"))
-    grouped = pairs.groupBy("doc_id", "item_id").agg(F.collect_set("w").alias("ws"), F.collect_set(F.when(F.col("plain"), F.col("w"))).alias("plain_ws"), F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills"))
-    totals = windows.groupBy("item_id").agg(F.count_distinct("w").alias("total"))
+    pairs = pairs.select("doc_id", "item_id", F.col("item_pos").alias("at"), (F.size("item_slots") == 0).alias("plain"), F.transform(fills, lambda x: F.struct(tail(x["a"]).alias("a"), tail(x["b"]).alias("b"))).alias("fills"))
+    grouped = pairs.groupBy("doc_id", "item_id").agg(F.collect_set("at").alias("ws"), F.collect_set(F.when(F.col("plain"), F.col("at"))).alias("plain_ws"), F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills"))
+    totals = windows.groupBy("item_id").agg(F.count_distinct("item_pos").alias("total"))
     consistent = F.size("fills") == F.size(F.array_distinct("fills.a"))  # each filler of the item has one counterpart
     same = F.forall("fills", lambda x: x["a"] == x["b"])
     counted = F.when(consistent, F.size("ws")).otherwise(F.size("plain_ws"))

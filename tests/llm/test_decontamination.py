@@ -23,6 +23,13 @@ def test_leaks_by_kind(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "None"]
 
 
+def test_capitals_hide_nothing(spark):
+    item = "the quick brown fox jumps over one lazy dog near two old stone bridges today"
+    rows = [(1, "so it says: " + item.title() + " he said"), (2, "AND " + item.upper()), (3, "Yes " + item.replace("fox", "Fox") + "."), (4, "the quick brown cat sleeps under one lazy dog far from all bridges")]
+    got = find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {r.doc_id for r in got.collect()} == {1, 2, 3}
+
+
 def test_contradicting_slots_are_no_leak(spark):
     docs = spark.createDataFrame([(1, "add 4 to 9 then 4 to 9 and 4 to 9 more")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "add 2 to 3 then 4 to 2 and 2 to 4 more")], "item_id long, text string")

@@ -57,3 +57,14 @@ def merge_usage(base: dict[str, Column], repair: dict[str, Column]) -> dict[str,
     add = lambda k: base[k] + F.coalesce(repair[k], none)
     standard, effective = add("standard_cost_usd"), add("batch_cost_usd")
     return {"input_tokens": add("input_tokens"), "output_tokens": add("output_tokens"), "standard_cost_usd": standard, "batch_cost_usd": effective, "saving_usd": standard - effective}
+
+
+def tier_check(config: DataFrame) -> DataFrame:
+    """One row: checks made and failed for rows ``provider, tier, model``: every
+    tier names a model, and every named model has a price."""
+    prices = F.broadcast(price_table(config.sparkSession))
+    joined = config.join(prices, ["provider", "model"], "left")
+    named = F.length("model") > 0
+    models = F.count_distinct(F.when(named, F.concat_ws(":", "provider", "model")))
+    priced = F.count_distinct(F.when(named & (F.col("price_in") + F.col("price_out") > 0), F.concat_ws(":", "provider", "model")))
+    return joined.agg((F.count("*") + models).alias("n_checks"), (F.count_if(~F.coalesce(named, F.lit(False))) + models - priced).alias("n_failed"))

@@ -253,3 +253,13 @@ def caption_pair(spark: SparkSession, d: str) -> DataFrame:
     tail = F.expr("CASE doc_id % 4 WHEN 0 THEN array('Figure', '2:') WHEN 1 THEN array('fig.', '2') WHEN 2 THEN array('Figure', '20') ELSE array('x', '2', 'FIG', '2,b') END")
     words = table(spark, d, "documents").select("doc_id", F.posexplode(F.concat(F.slice(F.split("text", " "), 1, 30), tail)).alias("seq", "word"))
     return figures.caption_words(words, ["doc_id"], "seq", "word", F.lit("2"))
+
+
+_TIERS = """CASE n_nationkey % 6 WHEN 0 THEN 'gpt-5.4' WHEN 1 THEN 'gpt-5.4-mini' WHEN 2 THEN 'unknown' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE 'gpt-5.5' END"""
+
+
+@query(f"""WITH t AS (SELECT 'openai' AS provider, {_TIERS} AS model FROM nation), m AS (SELECT DISTINCT provider, model FROM t WHERE model <> '')
+  SELECT (SELECT count(*) FROM t) + (SELECT count(*) FROM m) AS n_checks, (SELECT count(*) FROM t WHERE model IS NULL OR model = '') + (SELECT count(*) FROM m ANTI JOIN {_PRICES} USING (provider, model)) AS n_failed""")
+def tier_check(spark: SparkSession, d: str) -> DataFrame:
+    config = table(spark, d, "nation").select(F.lit("openai").alias("provider"), F.col("n_name").alias("tier"), F.expr(_TIERS).alias("model"))
+    return pricing.tier_check(config)

@@ -93,11 +93,13 @@ def message_results(spark: SparkSession, path: str) -> DataFrame:
 
 def response_results(spark: SparkSession, output: str, errors: str | None = None) -> DataFrame:
     """Results of the response provider: output lines, then error lines."""
-    rows = spark.read.schema(OUTPUT_LINES).json(output)
+    rows = spark.read.schema(OUTPUT_LINES).json(output).withColumn("fallback", F.lit("Missing response body"))
     if errors:
-        rows = rows.unionByName(spark.read.schema(OUTPUT_LINES).json(errors))
+        failed = spark.read.schema(OUTPUT_LINES).json(errors).withColumns({"response": F.lit(None).cast(rows.schema["response"].dataType), "fallback": F.lit("Request failed")})
+        rows = rows.unionByName(failed)
     bad = F.col("error").isNotNull() | F.col("response.body").isNull()
-    return rows.filter("custom_id is not null").select("custom_id", F.when(bad, "errored").otherwise("succeeded").alias("outcome"), F.when(~bad, output_text(F.col("response.body"))).alias("text"), F.col("response.body.usage.input_tokens").alias("input_tokens"), F.col("response.body.usage.output_tokens").alias("output_tokens"), F.when(bad, F.coalesce("error.message", F.lit("Missing response body"))).alias("message"))
+    used = lambda k: F.coalesce(F.col(f"response.body.usage.{k}"), F.lit(0)).alias(k)
+    return rows.filter("custom_id is not null").select("custom_id", F.when(bad, "errored").otherwise("succeeded").alias("outcome"), F.when(~bad, output_text(F.col("response.body"))).alias("text"), used("input_tokens"), used("output_tokens"), F.when(bad, F.coalesce("error.message", "fallback")).alias("message"))
 
 
 def turn_usage(spark: SparkSession, path: str) -> DataFrame:

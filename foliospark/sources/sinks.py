@@ -53,9 +53,15 @@ def data_url(content: Column, mime: str = "image/jpeg") -> Column:
 
 
 def patched_image(records: DataFrame, images: DataFrame, key: str) -> DataFrame:
-    """Records with a newly made image source; old captions stay."""
-    joined = records.join(images.select(key, F.col("src").alias("_src"), F.col("caption").alias("_caption")), key, "left")
-    return joined.withColumns({"src": F.coalesce("_src", "src"), "caption": F.coalesce("caption", "_caption")}).drop("_src", "_caption")
+    """Records with a newly made image: a caption or text given with it comes
+    before the record's own, and that before a text made from the label."""
+    new = images.select(key, *(F.col(c).alias(f"_{c}") for c in ("source_figure", "caption", "alt_text", "src")))
+    joined = records.join(new, key, "left")
+    made = F.concat("_source_figure", F.lit(" from the source paper."))
+    fresh = F.col("_src").isNotNull()
+    columns = {c: F.when(fresh, F.coalesce(f"_{c}", c, made)).otherwise(F.col(c)) for c in ("caption", "alt_text")}
+    columns |= {c: F.when(fresh, F.col(f"_{c}")).otherwise(F.col(c)) for c in ("source_figure", "src")}
+    return joined.withColumns(columns).drop("_source_figure", "_caption", "_alt_text", "_src")
 
 
 def export_summary(exports: DataFrame) -> DataFrame:

@@ -104,6 +104,13 @@ def test_sinks(spark, tmp_path):
     assert tuple(sinks.export_summary(spark.createDataFrame([("a", True, None), ("b", False, "e")], "path string, ok boolean, error string")).first()) == (1, 1, ["b: e"])
 
 
+def test_patched_image(spark):
+    records = spark.createDataFrame([("a", "Figure 1", "own", None, None), ("b", "Figure 9", "c", "t", "s")], "id string, source_figure string, caption string, alt_text string, src string")
+    images = spark.createDataFrame([("a", "Figure 2", None, None, "data:x")], "id string, source_figure string, caption string, alt_text string, src string")
+    got = {r.id: tuple(r)[1:] for r in sinks.patched_image(records, images, "id").collect()}
+    assert got == {"a": ("Figure 2", "own", "Figure 2 from the source paper.", "data:x"), "b": ("Figure 9", "c", "t", "s")}
+
+
 def test_landing_is_idempotent(spark, tmp_path):
     schema = "custom_id string, outcome string"
     for k, rows in enumerate([[("a", "pending"), ("b", "succeeded")], [("a", "succeeded")]]):

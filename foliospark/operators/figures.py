@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.functions.text import figure_token
+from foliospark.functions.text import figure_token, is_code_or_prose
 
 #: Fixed values, in points, words and shares.
 ROW_STEP, CAPTION_MARGIN, LINE_HEIGHT, LEAST_GAP = 3, 8, 12, 25
@@ -151,3 +151,53 @@ def locate_page(pages: DataFrame, doc: str, page: str, text: str, label: Column)
 def has_embedded(images: DataFrame, keys: list[str]) -> DataFrame:
     """Pages with an embedded image that is large enough."""
     return images.filter((F.col("type") == "image") & (F.col("width") >= EMBEDDED_WIDTH) & (F.col("height") >= EMBEDDED_HEIGHT)).select(*keys).distinct()
+
+
+def find_pages(asks: DataFrame, pages: DataFrame) -> DataFrame:
+    """``pdf, label, page_hint, page``: a hinted page must exist and is taken as
+    it is; otherwise the page is located by caption or mention."""
+    counted = pages.groupBy("pdf").agg(F.max("page").alias("n_pages"))
+    hinted = asks.filter("page_hint is not null").join(counted, "pdf").filter("page_hint between 1 and n_pages").select("pdf", "label", "page_hint", F.col("page_hint").alias("page"))
+    free = asks.filter("page_hint is null").select("pdf", "label")
+    texts = free.join(pages.select("pdf", "page", "text"), "pdf").withColumn("_ask", F.struct("pdf", "label"))
+    located = locate_page(texts, "_ask", "page", "text", F.col("label"))
+    found = located.select("_ask.pdf", "_ask.label", F.lit(None).cast("int").alias("page_hint"), "page")
+    return hinted.unionByName(found)
+
+
+def derive_crops(asks: DataFrame, pages: DataFrame, words: DataFrame, images: DataFrame) -> DataFrame:
+    """Crops of asked figures: ``pdf, label, page, tier, box, pixels``.
+
+    ``asks`` (pdf, label, page_hint), ``pages`` (pdf, page, width, height,
+    text), ``words`` (pdf, page, seq, x_min, y_min, x_max, y_max, text),
+    ``images`` (pdf, page, type, width, height). Words of other pages are
+    dropped before anything is computed. Without a hint, pages that are mostly
+    code or prose give no crop; a caption must be found in any case.
+    """
+    keys = ["pdf", "page"]
+    found = find_pages(asks, pages).filter(figure_token(F.col("label")) != "")
+    sized = found.join(pages.select(*keys, F.col("width").alias("page_width"), F.col("height").alias("page_height"), F.col("text").alias("page_text")), keys).filter("page_width > 0 and page_height > 0")
+    sized = sized.filter(F.col("page_hint").isNotNull() | ~is_code_or_prose(F.col("page_text"))).drop("page_text")
+    near = words.join(sized.select(*keys, "page_width").distinct(), keys)
+    asked = near.drop("page_width").join(sized.select(*keys, "label"), keys)
+    captions = caption_words(asked, [*keys, "label"], "seq", "text", figure_token(F.col("label")))
+    placed = captions.join(words.select(*keys, "seq", F.col("y_min").alias("caption"), ((F.col("x_min") + F.col("x_max")) / 2).alias("centre")), [*keys, "seq"]).drop("seq")
+
+    many = near.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") >= LEAST_WORDS).select(*keys)
+    wide = near.join(many, keys)
+    centre = (F.col("x_min") + F.col("x_max")) / 2
+    bins = column_bins(wide, keys, centre, F.col("page_width")).join(sized.select(*keys, "page_width").distinct(), keys)
+    sides = column_bounds(wide, gutters(bins, keys, F.col("page_width")), keys, "x_min", "x_max").select(*keys, "left_min", "left_max", "right_min", "right_max")
+
+    ys = near.groupBy(*keys).agg(F.collect_list("y_min").alias("ys"))
+    joined = sized.join(placed, [*keys, "label"]).join(ys, keys).join(sides, keys, "left")
+    above = bucket_rows(F.filter("ys", lambda y: y < F.col("caption") - CAPTION_MARGIN))
+    below = bucket_rows(F.filter("ys", lambda y: y > F.col("caption") + CAPTION_MARGIN))
+    rows = joined.withColumns({"_above": above, "_below": below})
+    to_left = nearer_left(F.col("centre"))
+    pick = lambda a, b: F.when(F.col("left_min").isNotNull(), F.when(to_left, F.col(a)).otherwise(F.col(b)))
+    edges = rows.withColumns({"_top": gap_above(F.col("_above"), F.col("caption")), "_bottom": gap_below(F.col("_below"), F.col("caption"), F.col("page_height")), "_l": pick("left_min", "right_min"), "_r": pick("left_max", "right_max")})
+    box = crop_box(F.col("caption"), F.col("_top"), F.col("_bottom"), F.col("page_width"), F.col("page_height"), F.col("_l"), F.col("_r"), F.col("page_hint").isNotNull())
+    tiers = has_embedded(images, keys).withColumn("tier", F.lit("embedded"))
+    boxed = edges.withColumn("box", box).filter("box is not null").join(tiers, keys, "left")
+    return boxed.select("pdf", "label", "page", F.coalesce("tier", F.lit("vector")).alias("tier"), "box", crop_pixels(F.col("box"), F.col("page_width")).alias("pixels"))

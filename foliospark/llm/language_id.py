@@ -18,7 +18,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -68,22 +68,26 @@ class Lattice:
 
     pieces: dict[str, int]
     longest: int = 0
+    #: Pieces by text, and -1 for texts that only begin a piece.
+    known: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
         self.longest = max(map(len, self.pieces), default=1)
+        self.known = {p[:k]: -1 for p in self.pieces for k in range(1, len(p))} | self.pieces
 
     def edges(self, word: str) -> list[tuple[int, int, int]]:
         """(start, end, piece or -1) of the marked word, by start."""
-        s, found, pieces = MARK + word, [], self.pieces
+        s, found, get = MARK + word, [], self.known.get
         n = len(s)
         for i in range(n):
-            single = False
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                if (k := pieces.get(s[i:j])) is not None:
-                    found.append((i, j, k))
-                    single |= j == i + 1
-            if not single:
+            if get(s[i], -1) < 0:
                 found.append((i, i + 1, -1))
+            for j in range(i + 1, n + 1):
+                k = get(s[i:j])
+                if k is None:
+                    break
+                if k >= 0:
+                    found.append((i, j, k))
         return found
 
     def forward(self, word: str, probs: np.ndarray) -> np.ndarray:
@@ -113,20 +117,21 @@ class Lattice:
             out[k] = self.forward(words[k], probs)
         if not short:
             return out
-        pieces, longest, flat = self.pieces, self.longest, []
-        add = flat.append
+        flat: list[int] = []
+        add, get = flat.append, self.known.get
         for at, k in enumerate(short):
             s = MARK + words[k]
             n = len(s)
             for i in range(n):
-                single = False
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    piece = s[i:j]
-                    if piece in pieces:
-                        add((j << 54) | (i << 48) | (at << 16) | pieces[piece])
-                        single |= j == i + 1
-                if not single:
-                    add(((i + 1) << 54) | (i << 48) | (at << 16) | 0xFFFF)
+                base = (i << 48) | (at << 16)
+                if get(s[i], -1) < 0:
+                    add(((i + 1) << 54) | base | 0xFFFF)
+                for j in range(i + 1, n + 1):
+                    piece = get(s[i:j])
+                    if piece is None:
+                        break
+                    if piece >= 0:
+                        add((j << 54) | base | piece)
         edges = np.sort(np.array(flat, np.int64))
         step, row, piece = edges >> 48, (edges >> 16) & 0xFFFFFFFF, edges & 0xFFFF
         factor = np.where((piece == 0xFFFF)[:, None], UNKNOWN, probs[np.minimum(piece, len(probs) - 1)])

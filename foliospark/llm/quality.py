@@ -79,7 +79,7 @@ def describe(texts: pa.Array) -> Stats:
     words = WordBatch(texts)
     n, rows, doc, raw = np.diff(words.first), words.rows, words.doc, words.raw
     size = (words.ends - words.starts).astype(np.int64)
-    sums = {k: np.concatenate([[0], np.cumsum(mask[raw])]) for k, mask in {"letter": _LETTER, "alnum": _ALNUM, "upper": _CLASS == ord("A"), "odd": _ODD}.items()}
+    sums = {k: np.concatenate([[0], np.cumsum(mask[raw])]) for k, mask in {"letter": _LETTER, "alnum": _ALNUM, "digit": _CLASS == ord("0"), "upper": _CLASS == ord("A"), "odd": _ODD}.items()}
     per = {k: v[words.ends] - v[words.starts] for k, v in sums.items()}
     total = {k: np.bincount(doc, v, rows) for k, v in (per | {"size": size}).items()}
     hashes = words.word_hash()
@@ -89,7 +89,8 @@ def describe(texts: pa.Array) -> Stats:
     n_runs = np.bincount(doc[: len(runs)][same], minlength=rows)
     new_runs, _ = _distinct(runs[same], doc[: len(runs)][same], rows)
     tail = raw[np.maximum(words.ends - 1, 0)]
-    plain = (per["letter"] == size) | ((per["letter"] == size - 1) & _END[tail])
+    number = (per["digit"] > 0) & (2 * per["alnum"] >= size)
+    plain = (per["letter"] == size) | ((per["letter"] == size - 1) & _END[tail]) | number
     values = {
         "odd": total["odd"] / np.maximum(total["size"], 1),
         "upper": total["upper"] / np.maximum(total["letter"], 1),

@@ -36,8 +36,24 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+#: Paths that this process has given out.
+_GIVEN: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/foliospark/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/foliospark/{name}-{uuid.uuid4().hex}"
+    _GIVEN.append(path)
+    return path
+
+
+def clear_tables(spark: SparkSession) -> int:
+    """Delete the tables that this process wrote, once results that read them
+    have been written elsewhere. Gives their number."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), len(_GIVEN)
+    while _GIVEN:
+        path = jvm.org.apache.hadoop.fs.Path(_GIVEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions import jsonx as J
@@ -50,3 +50,9 @@ def image_block(override: dict[str, Column], existing: dict[str, Column]) -> Col
     fallback = F.concat(override["source_figure"], F.lit(" from the source paper."))
     block = F.struct(override["source_figure"].alias("source_figure"), F.coalesce(override["caption"], existing["caption"], fallback).alias("caption"), F.coalesce(override["alt_text"], existing["alt_text"], fallback).alias("alt_text"))
     return F.when(override["source_figure"].isNotNull(), block)
+
+
+def joined_blocks(blocks: DataFrame, keys: list[str], seq: str, text: str) -> DataFrame:
+    """Texts of streamed blocks in order, by lines."""
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(seq).alias("k"), F.col(text).alias("t"))))
+    return blocks.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x["t"]), "\n").alias(text))

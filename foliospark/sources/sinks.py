@@ -23,11 +23,14 @@ def split_results(results: DataFrame, today: str) -> tuple[DataFrame, DataFrame]
     return at_most_once(named, "seq", "name").drop("seq"), dead
 
 
-def write_results(results: DataFrame, folder: str, today: str) -> None:
-    """Write ``folder/saved`` and ``folder/dead`` as tables keyed by file name."""
+def write_results(results: DataFrame, folder: str, today: str, staging: str | None = None) -> None:
+    """Write ``folder/saved`` and ``folder/dead`` as tables keyed by file name,
+    and what was saved to ``staging`` too, if that is given."""
     saved, dead = split_results(results, today)
     saved.write.mode("overwrite").parquet(f"{folder}/saved")
     dead.write.mode("overwrite").parquet(f"{folder}/dead")
+    if staging:
+        results.sparkSession.read.parquet(f"{folder}/saved").write.mode("overwrite").parquet(staging)
 
 
 def request_lines(requests: DataFrame, url: str = "/v1/responses") -> DataFrame:

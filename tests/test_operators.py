@@ -104,3 +104,41 @@ def test_normalise_is_idempotent(spark):
     once = normalize.takeaway(end)
     row = spark.range(1).select(once.alias("a"), normalize.takeaway(F.parse_json(F.to_json(once))).alias("b")).first()
     assert tuple(row.a) == tuple(row.b) == ("h", "x & y")
+
+
+def test_image_blocks_and_charts(spark):
+    none = F.lit(None).cast("string")
+    override = lambda figure, caption=none: {"source_figure": figure, "caption": caption, "alt_text": none}
+    old = {"caption": F.lit("old"), "alt_text": none}
+    row = spark.range(1).select(
+        normalize.image_block(override(F.lit("Figure 2")), old).alias("a"),
+        normalize.image_block(override(F.lit("Figure 2"), F.lit("new")), old).alias("b"),
+        normalize.image_block(override(none), old).alias("c"),
+        normalize.chart_raw(F.parse_json(F.lit('{"a": 1}')), none).alias("d"),
+        normalize.chart_raw(F.parse_json(F.lit('{"a": 1}')), F.lit("own")).alias("e"),
+    ).first()
+    assert tuple(row.a) == ("Figure 2", "old", "Figure 2 from the source paper.") and row.b.caption == "new" and row.c is None
+    assert row.d == '{"a":1}' and row.e == "own"
+
+
+def test_instruction_with_emphasis(spark):
+    from foliospark.operators.prompts import user_instruction
+
+    row = spark.range(1).select(user_instruction(F.lit("2026-01-01"), F.lit(" look \n")).alias("a"), user_instruction(F.lit("2026-01-01"), F.lit(" ")).alias("b"), user_instruction(F.lit("2026-01-01"), F.lit(None).cast("string")).alias("c")).first()
+    assert row.b == row.c and row.a.startswith(row.b) and "\nlook\n" in row.a and row.b.count("2026-01-01") == 1
+
+
+def test_blocks_in_order(spark):
+    rows = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 1, "c")], "id long, k int, text string")
+    assert {r.id: r.text for r in normalize.joined_blocks(rows, ["id"], "k", "text").collect()} == {1: "a\nb", 2: "c"}
+
+
+def test_status_and_latest(spark):
+    rows = spark.createDataFrame([("b", "explainer", "succeeded", 5, 1, 2.0, 1.0, 1.0), ("b", "lane", "errored", None, None, None, None, None), ("c", "explainer", "pending", None, None, None, None, None)], "batch_id string, type string, result string, input_tokens long, output_tokens long, standard_cost_usd double, batch_cost_usd double, saving_usd double")
+    status = ledger.batch_status(rows, "batch_id")
+    got = {r.batch_id: r for r in status.collect()}
+    assert (got["b"].n_total, got["b"].n_lanes, got["b"].tokens_in, got["c"].effective_usd) == (1, 1, 5, 0)
+    assert ledger.grand_total(status).first().saving_usd == 1 and ledger.grand_total(status.filter("batch_id = 'c'")).collect() == []
+    assert [r.batch_id for r in ledger.cost_summary(rows, "batch_id").collect()] == ["b"]
+    batches = spark.createDataFrame([("x", "p", 1, "processing"), ("y", "p", 2, "processing"), ("z", "p", 3, "ended")], "id string, provider string, seq int, status string")
+    assert [r.id for r in ledger.latest_pending(batches, "seq", "provider").collect()] == ["y"]

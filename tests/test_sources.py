@@ -104,6 +104,15 @@ def test_sinks(spark, tmp_path):
     assert tuple(sinks.export_summary(spark.createDataFrame([("a", True, None), ("b", False, "e")], "path string, ok boolean, error string")).first()) == (1, 1, ["b: e"])
 
 
+def test_written_results_and_staging(spark, tmp_path):
+    rows = spark.createDataFrame([("explainer-a", "{}", 1), ("explainer-b", "bad", 2)], "custom_id string, text string, seq int")
+    sinks.write_results(rows, f"{tmp_path}/out", "2026-01-01", f"{tmp_path}/staged")
+    read = lambda x: [r.custom_id for r in spark.read.parquet(f"{tmp_path}/{x}").collect()]
+    assert read("out/saved") == read("staged") == ["explainer-a"] and read("out/dead") == ["explainer-b"]
+    ledger = sinks.save_ledger(rows, rows.limit(1).withColumn("text", F.lit("new")), f"{tmp_path}/ledger", "custom_id")
+    assert sorted(r.text for r in ledger.collect()) in (["bad", "new"], ["new", "{}"])
+
+
 def test_patched_image(spark):
     records = spark.createDataFrame([("a", "Figure 1", "own", None, None), ("b", "Figure 9", "c", "t", "s")], "id string, source_figure string, caption string, alt_text string, src string")
     images = spark.createDataFrame([("a", "Figure 2", None, None, "data:x")], "id string, source_figure string, caption string, alt_text string, src string")

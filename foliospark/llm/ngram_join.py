@@ -42,8 +42,9 @@ WIDTH, PERCENT = 5, 80
 FREQUENT, LEAST_COUNT, COUNTED = 500_000, 6, 4_000_000
 #: Shared shingles that tasks get (8 bytes each); beyond it they are joined.
 BROADCAST_SHINGLES = 1_500_000
-#: Bits of the bitmap that rules out pairs before whole sets travel.
-BITS = 2048
+#: Bits of the bitmap that rules out pairs before whole sets travel; sets from
+#: WIDE_FROM shingles on, which would fill it, get WIDE_BITS.
+BITS, WIDE_BITS, WIDE_FROM = 2048, 32768, 1600
 
 
 class Shingles:
@@ -190,22 +191,41 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "sig long, s array<long>")
 
 
-def bitmaps_of(docs: DataFrame) -> DataFrame:
+def bitmaps_of(docs: DataFrame, wide_from: int = WIDE_FROM) -> DataFrame:
     """``sig, bits``: parity bitmaps. Every shingle flips one bit, so two bitmaps
     differ in at most as many bits as the sets have shingles not in common."""
 
+    def pack(s: Shingles, rows: np.ndarray, size: int) -> list[np.ndarray]:
+        at = np.full(s.rows, -1)
+        at[rows] = np.arange(len(rows))
+        mine = np.flatnonzero(at[s.own] >= 0)
+        bit = (mix(s.hash[mine] ^ np.uint64(0x5EED)) % np.uint64(size)).astype(np.int64)
+        flips = np.bincount(at[s.own[mine]] * size + bit, minlength=len(rows) * size) & 1
+        return list(np.packbits(flips.astype(np.uint8).reshape(len(rows), size), axis=1).view(np.int64))
+
     def run(batches):
         for batch in _chunks(batches, 1):
             s = Shingles(batch.column(1))
-            bit = (mix(s.hash ^ np.uint64(0x5EED)) % np.uint64(BITS)).astype(np.int64)
-            flips = np.bincount(s.own * BITS + bit, minlength=s.rows * BITS) & 1
-            packed = np.packbits(flips.astype(np.uint8).reshape(s.rows, BITS), axis=1)
-            words = pa.FixedSizeListArray.from_arrays(pa.array(packed.view(np.int64).ravel()), BITS // 64)
-            yield pa.RecordBatch.from_arrays([_i64(s.signature), words.cast(pa.list_(pa.int64()))], ["sig", "bits"])
+            wide = s.n >= wide_from
+            small, large = np.flatnonzero(~wide), np.flatnonzero(wide)
+            yield pa.RecordBatch.from_arrays([_i64(s.signature[np.concatenate([small, large])]), pa.array(pack(s, small, BITS) + pack(s, large, WIDE_BITS), pa.list_(pa.int64()))], ["sig", "bits"])
 
     return docs.mapInArrow(run, "sig long, bits array<long>")
 
 
+def _folded(bits: Column) -> Column:
+    """A wide bitmap as a small one: its parts laid over each other."""
+    part = BITS // 64
+    lay = lambda acc, k: F.zip_with(acc, F.slice(bits, k * part + 1, F.lit(part)), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(bits) == part, bits).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(WIDE_BITS // BITS - 1)), F.slice(bits, 1, part), lay))
+
+
+def _apart(x: Column, y: Column) -> Column:
+    """Bits in which two bitmaps differ, at the smaller one's width."""
+    count = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, k: total + k)
+    return F.when(F.size(x) == F.size(y), count(x, y)).otherwise(count(_folded(x), _folded(y)))
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return materialize(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
 
@@ -213,14 +233,14 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The linked ones of ``pairs`` (a, b: node ids) as edges (a, b).
 
-    Bitmaps of 256 bytes a node rule out most pairs that cannot link; whole
+    Bitmaps of 256 bytes a node (4 KB for large sets) rule out most pairs that cannot link; whole
     sets travel for the rest only. Both are made again from the texts.
     """
     pairs = materialize(pairs, "pairs")
     maps = bitmaps_of(join_ids(docs, _ends(pairs), "doc_id")).join(nodes.select("sig", "node", "n"), "sig").dropDuplicates(["node", "sig"]).select("node", "n", "bits")
     maps = materialize(maps, "bitmaps")
     both = pairs.join(maps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a").join(maps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
-    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, k: total + k)
+    apart = _apart(F.col("x"), F.col("y"))
     total = F.col("na") + F.col("nb")
     # 2 * intersection <= total - apart, and a link needs 180 * intersection >= 80 * total
     hopeful = materialize(both.filter(F.lit(100 + PERCENT) * (total - apart) >= F.lit(2 * PERCENT) * total).select("a", "b").distinct(), "hopeful")

@@ -68,6 +68,17 @@ def test_beyond_the_broadcast_sizes(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_bitmaps_of_both_widths_agree(spark):
+    from pyspark.sql import functions as F
+
+    rows = [r for r in corpus(4) if len(r[1].split()) > 20][:40]
+    docs = spark.createDataFrame(rows, "doc_id long, t string").select("doc_id", "t")
+    small, wide = (ngram_join.bitmaps_of(docs, n).dropDuplicates(["sig"]) for n in (10**9, 0))
+    both = small.select("sig", F.col("bits").alias("x")).join(wide.select("sig", F.col("bits").alias("y")), "sig")
+    assert [r.d for r in both.select(ngram_join._apart(F.col("x"), F.col("y")).alias("d")).collect()] == [0] * both.count()
+    assert both.filter("size(x) = 32 and size(y) = 512").count() == both.count() > 10
+
+
 def test_odd_rows_and_keep_one(spark):
     text = "one two three four five six seven"
     rows = [(5, text), (3, text), (3, text), (7, "other words here"), (None, text), (8, "long " * 60000), (9, "long " * 60000)]

@@ -7,7 +7,7 @@ co-occurrence then estimates how strongly nearby terms reveal an entity:
 
 is 1 when the term occurs with that entity only and 0 when they are
 independent. Terms beyond the threshold, seen with the entity in enough
-different surroundings on either side (copies of a passage are no evidence),
+different surroundings (all near copies of a passage count as about one),
 are sanitised wherever they occur: base entities are generalised to their kind,
 terms are removed.
 
@@ -38,11 +38,8 @@ HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": ""}
 #: Words looked at on each side of an entity, and the shortest that is a term.
 REACH, LEAST_LETTERS = 5, 4
-#: Least disclosure, and different surroundings on each side, of a term.
+#: Least disclosure, and different surroundings with one entity, of a term.
 DISCLOSURE, LEAST_CONTEXTS = 0.8, 3
-#: Least share of different words in an entity's surroundings; near copies of one
-#: passage stay below it.
-LEAST_VARIETY = 0.5
 WORD = r"[\p{L}\p{N}_]+"
 
 
@@ -105,6 +102,29 @@ def _terms(text: Column) -> Column:
     return F.filter(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: (F.length(w) >= LEAST_LETTERS) & w.rlike(r"^\p{L}+$"))
 
 
+def _supported(contexts: DataFrame) -> DataFrame:
+    """``e, term, n_te``: pairs seen in LEAST_CONTEXTS different surroundings.
+
+    A surrounding counts 1 / m if half of its word pairs are in m or more
+    surroundings of the entity with the term: m near copies count as about one,
+    and neither they nor a full vocabulary lessen what others count.
+    """
+    least = F.count("*") >= LEAST_CONTEXTS
+    # what is in fewer surroundings than needed, copies or not, goes first
+    often = contexts.join(contexts.groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= LEAST_CONTEXTS).select("e"), "e", "left_semi")
+    each = often.select("e", F.xxhash64("before", "after").alias("x"), "n", F.concat(F.reverse("before"), F.array(F.lit("")), F.col("after")).alias("s"), F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
+    beside = each.groupBy("e", "term").agg(F.sum("n").alias("n_te"), least.alias("enough")).filter("enough").drop("enough")
+    rest = F.filter("s", lambda w: w != F.col("term"))
+    two = F.transform(F.sequence(F.lit(1), F.greatest(F.size("r") - 1, F.lit(1))), lambda k: F.xxhash64(F.get("r", k - 1), F.get("r", k)))
+    shingles = each.drop("n").join(beside.select("e", "term"), ["e", "term"], "left_semi").select("e", "term", "x", rest.alias("r")).select("e", "term", "x", F.explode(F.array_distinct(two)).alias("g"))
+    shingles = materialize(shingles, "pii-shingles")
+    shared = shingles.groupBy("e", "term", "g").agg(F.count("*").alias("m"))
+    counts = shingles.join(shared, ["e", "term", "g"]).groupBy("e", "term", "x").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    weight = 1 / F.get("m", F.floor((F.size("m") - 1) / 2).cast("int"))
+    support = counts.groupBy("e", "term").agg(F.sum(weight).alias("support")).filter(F.col("support") >= LEAST_CONTEXTS - 1e-9)
+    return beside.join(support.select("e", "term"), ["e", "term"])
+
+
 def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``term, disclosure``: the terms to be removed.
 
@@ -119,10 +139,7 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.slice(_terms(F.substring("t", F.col("x.end") + 1, F.lit(cut))), 1, REACH).alias("after"),
     )
     contexts = near.groupBy("e", "before", "after").agg(F.count("*").alias("n"))
-    sides = contexts.select("e", F.xxhash64("before").alias("b"), F.xxhash64("after").alias("a"), "n", F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
-    beside = materialize(sides.groupBy("e", "term").agg(F.count_distinct("b").alias("nb"), F.count_distinct("a").alias("na"), F.sum("n").alias("n_te"), F.count("*").alias("k")), "pii-beside")
-    varied = beside.groupBy("e").agg(F.sum("k").alias("all"), F.count("*").alias("different")).filter(F.col("different") >= LEAST_VARIETY * F.col("all")).select("e")
-    pairs = materialize(beside.filter(F.least("nb", "na") >= LEAST_CONTEXTS).join(varied, "e").drop("k"), "pii-pairs")
+    pairs = materialize(_supported(contexts), "pii-pairs")
     empty = docs.sparkSession.createDataFrame([], "term string, disclosure double")
     if pairs.isEmpty():
         return empty

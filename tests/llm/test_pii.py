@@ -56,6 +56,25 @@ def test_revealing_terms_but_not_copies(spark):
     assert clean[0] == rows[0][1]
 
 
+def test_more_evidence_hides_no_term(spark):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(300)]
+    some = lambda n: [rnd.choice(words) for _ in range(n)]
+    text = lambda before, mail, after: " ".join([*before, "Zebulon", mail, *after])
+    frequent = [(k, text(some(8), "boss@corp.example", some(8))) for k in range(400)]
+    passage, copies = some(16), []
+    for k in range(300):
+        words_ = list(passage)
+        words_[rnd.randrange(16)] = f"new{rnd.choice(words)}"
+        copies.append((k, text(words_[:8], "boss@corp.example", words_[8:])))
+    different = [(1000 + k, text(some(8), "boss@corp.example", some(8))) for k in range(6)]
+    others = [(2000 + k, " ".join(some(60))) for k in range(2000)]
+    terms = lambda rows: {r.term for r in revealing_terms(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert terms(frequent + others) == {"zebulon"}
+    assert terms(copies + others) == set()
+    assert terms(different + others) == terms(different + copies + others) == {"zebulon"}
+
+
 def test_sanitise_keeps_columns_and_odd_rows(spark):
     docs = spark.createDataFrame([(1, "a@b.cc x", 7), (2, None, 8), (2, "", 9), (None, "1.2.3.4", 10)], "doc_id long, text string, _t int")
     got = sanitise(docs)

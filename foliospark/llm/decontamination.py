@@ -7,8 +7,10 @@ that word itself. Windows of five template tokens of documents
 and benchmark items are hash-joined. A pair counts as a leak if windows with at
 least half of the item's windows are in the document and the
 slots agree: equal fillers (``verbatim``), or one consistent substitution
-(``reparameterised``). Where fillers contradict each other, only windows
-without a slot count.
+(``reparameterised``). Slots are compared in every place of the document that
+may hold the item (hits of about equal document minus item offset) and over the
+whole document; one place that agrees is enough. Where fillers contradict each
+other everywhere, the windows with equal fillers count (``partial``).
 
 Defined results: null or empty texts, of documents or items, match nothing; an
 item of fewer than five words is one window of its own length, if it has at
@@ -35,6 +37,8 @@ LEAST_LITERALS = 3
 #: Benchmark windows go to every task (8 bytes each) up to this count; beyond
 #: it, all document windows are shuffled and joined instead.
 BROADCAST_WINDOWS = 2_000_000
+#: Words that a place may have more or less than the item, in two sizes.
+SLACKS = (8, 64)
 #: Units that follow a number.
 UNITS = ("%", "percent", "kg", "g", "mg", "lb", "lbs", "oz", "ton", "tons", "km", "m", "cm", "mm", "mi", "mile", "miles", "ft", "feet", "foot", "inch", "inches", "yd", "yards", "meter", "meters", "metre", "metres", "kilometers", "kilometres", "l", "ml", "litre", "litres", "liter", "liters", "gallon", "gallons", "s", "sec", "seconds", "second", "min", "minute", "minutes", "h", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "mph", "kph", "km/h", "m/s", "usd", "eur", "dollar", "dollars", "euro", "euros", "cent", "cents", "pound", "pounds", "degrees", "kwh", "kw", "w", "v", "hz", "gb", "mb", "kb", "tb")
 _DIGIT = np.zeros(256, bool)
@@ -128,23 +132,24 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def document_windows(docs: DataFrame, widths: list[int], known: np.ndarray | None, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, w, doc_slots``; only windows in ``known`` if that is given."""
+    """``doc_id, row, pos, w, doc_slots``; only windows in ``known`` if that is given."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         for batch in batches:
             for lo, hi in text_chunks(batch.column(1)):
-                t, ids = Templates(batch.column(1).slice(lo, hi - lo)), batch.column(0).slice(lo, hi - lo)
+                t, ids, row = Templates(batch.column(1).slice(lo, hi - lo)), batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo)
                 doc, hashes = t.words.doc, shared.value
                 for width in widths:
                     at, h, worded = t.windows(width)
                     if hashes is not None:
                         hit = hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h
                         at, h, worded = at[hit], h[hit], worded[hit]
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc[at])), pa.array(h.view(np.int64)), t.all_slots(at, width, worded)], ["doc_id", "w", "doc_slots"])
+                    of = pa.array(doc[at])
+                    yield pa.RecordBatch.from_arrays([ids.take(of), row.take(of), pa.array(at - t.words.first[doc[at]]), pa.array(h.view(np.int64)), t.all_slots(at, width, worded)], ["doc_id", "row", "pos", "w", "doc_slots"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).filter("doc_id is not null and t is not null")
-    return rows.mapInArrow(run, "doc_id long, w long, doc_slots array<string>")
+    return rows.withColumn("row", F.xxhash64("t")).mapInArrow(run, "doc_id long, row long, pos long, w long, doc_slots array<string>")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -164,17 +169,25 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         widths, known = sorted(r["width"] for r in distinct.select("width").distinct().collect()), None
     if not widths:
         widths, known = [WINDOW], np.array([0], np.uint64)
-    hits = document_windows(docs, widths, known, id_col, text_col).groupBy("doc_id", "w", "doc_slots").agg(F.lit(1).alias("one"))
+    hits = document_windows(docs, widths, known, id_col, text_col)
     pairs = hits.join(windows, "w")
     fills = F.arrays_zip(F.col("item_slots").alias("a"), F.col("doc_slots").alias("b"))
     tail = lambda s: F.regexp_replace(s, r"^\d+:", "")
-    pairs = pairs.select("doc_id", "item_id", F.col("item_pos").alias("at"), (F.size("item_slots") == 0).alias("plain"), F.transform(fills, lambda x: F.struct(tail(x["a"]).alias("a"), tail(x["b"]).alias("b"))).alias("fills"))
-    grouped = pairs.groupBy("doc_id", "item_id").agg(F.collect_set("at").alias("ws"), F.collect_set(F.when(F.col("plain"), F.col("at"))).alias("plain_ws"), F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills"))
+    pairs = pairs.select("doc_id", "item_id", "row", F.col("item_pos").alias("at"), (F.col("pos") - F.col("item_pos")).alias("shift"), F.transform(fills, lambda x: F.struct(tail(x["a"]).alias("a"), tail(x["b"]).alias("b"))).alias("fills"))
     totals = windows.groupBy("item_id").agg(F.count_distinct("item_pos").alias("total"))
-    consistent = F.size("fills") == F.size(F.array_distinct("fills.a"))  # each filler of the item has one counterpart
+    # the whole document, every exact place, and places with a few words more or
+    # less (ranges that overlap, so that no place is cut by all of them)
+    whole = F.struct(F.lit(0).alias("by"), F.lit(0).cast("long").alias("row"), F.lit(0).cast("long").alias("part"))
+    part = lambda by, x: F.struct(F.lit(by).alias("by"), F.col("row").alias("row"), x.cast("long").alias("part"))
+    ranges = [part(2 * w + half, F.floor((F.col("shift") + half * (w // 2)) / w)) for w in SLACKS for half in (0, 1)]
+    placed = pairs.withColumn("place", F.explode(F.array(whole, part(1, F.col("shift")), *ranges)))
     same = F.forall("fills", lambda x: x["a"] == x["b"])
-    counted = F.when(consistent, F.size("ws")).otherwise(F.size("plain_ws"))
-    scored = grouped.join(totals, "item_id").select("doc_id", "item_id", counted.cast("long").alias("n_windows"), (counted / F.col("total")).alias("coverage"), F.when(same, "verbatim").when(consistent, "reparameterised").otherwise("partial").alias("kind"))
+    grouped = placed.groupBy("doc_id", "item_id", "place").agg(F.collect_set("at").alias("ws"), F.collect_set(F.when(same, F.col("at"))).alias("same_ws"), F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills"))
+    consistent = F.size("fills") == F.size(F.array_distinct("fills.a"))  # each filler of the item has one counterpart
+    counted = F.when(consistent, F.size("ws")).otherwise(F.size("same_ws")).cast("long")
+    kind = F.when(same, "verbatim").when(consistent, "reparameterised").otherwise("partial")
+    best = grouped.groupBy("doc_id", "item_id").agg(F.max(F.struct(counted.alias("n"), kind.alias("kind"))).alias("x"))  # kinds ascend in strength
+    scored = best.join(totals, "item_id").select("doc_id", "item_id", F.col("x.n").alias("n_windows"), (F.col("x.n") / F.col("total")).alias("coverage"), "x.kind")
     return scored.filter(F.col("coverage") >= COVERAGE)
 
 

@@ -36,6 +36,20 @@ def test_contradicting_slots_are_no_leak(spark):
     assert find_leaks(docs, items).collect() == []
 
 
+def test_one_agreeing_place_is_enough(spark):
+    other = "so Jim has 9 apples and buys 4 km of pears for 2 dollars from Sue today"
+    third = "so Bob has 8 apples and buys 6 lb of pears for 1 dollars from Eve today"
+    rows = [
+        (1, f"Before. {ITEM} and {other} ok"),
+        (2, f"Well, {other} or {third} ok"),
+        (3, f"Well, {other} ok. " + "word " * 300 + "sold 12 kg of pears for 5 of them"),
+        (4, "Well, " + other.replace("and buys", "and then really buys") + f" or {third[:30]} ok"),
+        (5, "sold 12 kg of pears for 5 of them and 6 kg of pears for 4 of them"),
+    ]
+    got = find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, ITEM)], "item_id long, text string"))
+    assert {r.doc_id: r.kind for r in got.collect()} == {1: "verbatim", 2: "reparameterised", 3: "reparameterised", 4: "reparameterised"}
+
+
 def test_equals_substring_search(spark):
     import random
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, bucket, small_batches, table, text_chunks, unit_hash
+from foliospark.llm.common import WordBatch, bucket, mix, small_batches, table, text_chunks, unit_hash
 from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
 #: Bounds of the training: about so many toxic rows propose terms, so many
@@ -34,8 +34,9 @@ TOXIC_ROWS, CANDIDATES, TERMS, LINEAR_ROWS = 10_000, 40_000, 6_000, 20_000
 LEAST_ROWS, LEAST_SHARE, LEAST_LIFT, STRONG_LIFT = 3, 0.001, 12.0, 50.0
 #: And so many standard deviations more often than clean rows make likely.
 LEAST_Z = 10.0
-#: And after so many different words, as a share of its toxic rows.
-LEAST_CONTEXTS = 0.25
+#: And between so many different pairs of words, as a share of its toxic rows; so
+#: many pairs are enough however many rows hold it.
+LEAST_CONTEXTS, ENOUGH_CONTEXTS = 0.25, 25
 #: Voters from which EM starts: quiet on 95 % of the clean rows, loud on half of
 #: the toxic ones.
 START_VOTES = (0.95, 0.5)
@@ -157,23 +158,25 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
             for _, _, words in _batches(batch, 0):
                 hashes = term_hashes(words)
                 doc, own = hashes[0]
-                before = np.zeros(len(own), np.uint64)
+                before, after = np.zeros(len(own), np.uint64), np.zeros(len(own), np.uint64)
                 before[1:] = np.where(doc[1:] == doc[:-1], own[:-1], 0)
+                after[:-1] = np.where(doc[1:] == doc[:-1], own[1:], 0)
+                beside = mix(before + after * np.uint64(0x9E3779B97F4A7C15))
                 for kind, (_, h) in enumerate(hashes):
-                    order = np.lexsort((before, h))
-                    h, p = h[order], before[order]
+                    order = np.lexsort((beside, h))
+                    h, p = h[order], beside[order]
                     fresh = np.ones(len(h), bool)
                     fresh[1:] = (h[1:] != h[:-1]) | (p[1:] != p[:-1])
                     yield pa.RecordBatch.from_arrays([pa.array(h[fresh].view(np.int64)), pa.array(np.full(fresh.sum(), kind, np.int32)), pa.array(p[fresh].view(np.int64))], ["h", "kind", "p"])
 
-    # a term's support is the number of different words before it: copies of a
-    # passage are no evidence
+    # a term's support is the number of different pairs of words beside it: copies
+    # of a passage are no evidence
     proposed = toxic.select("t").mapInArrow(propose, "h long, kind int, p long").distinct().groupBy("h", "kind").agg(F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(CANDIDATES).toPandas()
     if proposed.empty:
         return none, n1 / (n1 + n0)
     order = np.argsort(proposed["h"].to_numpy().view(np.uint64))
     candidates = Terms(proposed["h"].to_numpy().view(np.uint64)[order], proposed["kind"].to_numpy()[order].astype(np.int64), np.zeros(len(order)))
-    contexts = proposed["n"].to_numpy()[order] / fraction
+    contexts = proposed["n"].to_numpy()[order]
     shared = labelled.sparkSession.sparkContext.broadcast(candidates)
 
     def count(batches):
@@ -195,7 +198,7 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
     support[counted["k"].to_numpy()] = c1
     expected = np.zeros(len(order))
     expected[counted["k"].to_numpy()] = (c0 + 0.5) * n1 / (n0 + 1)
-    keep = np.flatnonzero((lift >= LEAST_LIFT) & (support >= LEAST_ROWS) & (contexts >= LEAST_CONTEXTS * support) & (support - expected >= LEAST_Z * np.sqrt(expected + 0.5)))
+    keep = np.flatnonzero((lift >= LEAST_LIFT) & (support >= LEAST_ROWS) & (contexts >= np.minimum(LEAST_CONTEXTS * support * fraction, ENOUGH_CONTEXTS)) & (support - expected >= LEAST_Z * np.sqrt(expected + 0.5)))
     keep = np.sort(keep[np.argsort(-lift[keep] * np.sqrt(support[keep]), kind="stable")[:TERMS]])
     return Terms(candidates.hashes[keep], candidates.kinds[keep], lift[keep]), n1 / (n1 + n0)
 

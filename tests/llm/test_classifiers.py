@@ -94,3 +94,18 @@ def test_quality_finds_junk_and_keeps_short_prose(spark):
     kept = quality.keep_good(d, model)
     assert kept.columns == d.columns and kept.count() == sum(got.values())
     assert quality.score(d.limit(0), quality.fit(d.limit(0))).collect() == []
+
+
+def test_frequent_terms_and_copies(spark):
+    rnd = random.Random(9)
+    words = [f"w{k}x" for k in range(500)]
+    some = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    few = words[:30]
+    rows = [(k, f"{some(6)} {rnd.choice(few)} zorkblat {some(6)}", 1) for k in range(400)]
+    rows += [(1000 + k, f"{some(6)} such a grumfik {some(6)}", 1) for k in range(200)]
+    rows += [(2000 + k, f"{some(5)} an unchanged passage of plainish words {some(5)}", 1) for k in range(100)]
+    rows += [(3000 + k, some(14), 0) for k in range(3000)]
+    terms, _ = toxicity.induce_terms(spark.createDataFrame(rows, "i long, t string, y int"))
+    listed = lambda w: toxicity.hash_words((w,))[0] in terms.hashes[terms.kinds == 0]
+    assert listed("zorkblat") and listed("grumfik")
+    assert not listed("plainish") and not listed("passage")

@@ -37,6 +37,8 @@ BATCH_CHARS = 12_000_000
 #: Buckets of consecutive documents for the successor of every document.
 MOST_BUCKETS = 4096
 BAND, THRESHOLD = 8, 0.8
+#: Members of a band that are paired with each other in one piece of a join.
+BLOCK = 256
 
 _rng = np.random.default_rng(SEED)
 _MOVES = _rng.integers(0, 2, (PERIOD, 256), dtype=np.uint8)
@@ -137,9 +139,11 @@ def near_copies(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id``: documents joined by verified band matches.
 
     ``prints`` holds ``doc_id, fingerprint``. Equal fingerprints are one node.
-    A band is BAND samples of one of a print's last octaves; every node is
-    verified against the first node of each of its bands, which are minima and
-    so need no list of a band's members.
+    A band is BAND samples of one of a print's last octaves. Every node is first
+    verified against the first node of each of its bands. Pairs of a band that
+    are still in different components are then all verified, so every pair with
+    a common band is linked if it is alike; bands with many members are split
+    into blocks of about BLOCK members, and pairs of blocks are joined.
     """
     nodes = materialize(prints.filter("doc_id is not null and fingerprint <> ''").groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "prints")
     bands = nodes.select("node", F.explode(F.expr(f"transform(sequence(greatest(0, length(fingerprint) div {BAND} - 24), length(fingerprint) div {BAND} - 1), i -> struct(i as band, substring(fingerprint, i * {BAND} + 1, {BAND}) as bits))")).alias("x")).filter(F.length("x.bits") == BAND).select("node", F.xxhash64("x.band", "x.bits").alias("band"))
@@ -151,9 +155,21 @@ def near_copies(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             ok = [likeness(x, y) >= threshold for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("fb")), "b")
-    links = both.select("a", "b", "fa", "fb").mapInArrow(check, "a long, b long")
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("fb")), "b")
+        return both.select("a", "b", "fa", "fb").mapInArrow(check, "a long, b long")
+
+    links = materialize(verified(pairs), "print-links")
     parts = connected_components(links, "prints")
+    member = bands.join(parts, "node", "left").select("band", "node", F.coalesce("component", "node").alias("c"))
+    mixed = member.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("k"))
+    left = materialize(member.join(mixed, "band").withColumn("i", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")), "print-rest")
+    # every pair of blocks meets once, in the piece (lesser block, greater block)
+    pieces = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("band", "node", "c", "i", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"))
+    x, y = (pieces.select("band", "p", "q", F.col("node").alias(u), F.col("c").alias(f"c{u}"), F.col("i").alias(f"i{u}")) for u in ("a", "b"))
+    rest = x.join(y, ["band", "p", "q"]).filter("a < b and ca <> cb and (p = q or ia <> ib)").select("a", "b").distinct()
+    more = materialize(verified(rest), "print-more")
+    parts = connected_components(links.unionAll(more), "prints-all")
     named = nodes.join(parts, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("c"))
     return prints.join(named, "fingerprint", "left").select("doc_id", F.coalesce("c", "doc_id").alias("class_id"))
 

@@ -49,3 +49,16 @@ def test_near_copies_by_bands(spark):
     rows = [(k, t) for k, t in enumerate(base)] + [(1000 + k, t[:-20] + "?" * 20) for k, t in enumerate(base)] + [(5000, ""), (5001, base[0])]
     got = {r.doc_id: r.class_id for r in near_copies(fingerprint(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
     assert all(got[k] == got[1000 + k] == k for k in range(len(base))) and got[5001] == 0 and got[5000] == 5000
+
+
+def test_near_copies_without_a_common_first(spark, monkeypatch):
+    monkeypatch.setattr("foliospark.llm.edit_fingerprint.BLOCK", 2)
+    rnd = random.Random(11)
+    made = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    # all share the last band only; the first (1) is like none, 2 and 3 are alike
+    last, own = made(8), made(64)
+    other = "".join("z" if k % 8 == 0 else c for k, c in enumerate(own))  # one change in every other band
+    rows = [(1, made(64) + last), (2, own + last), (3, other + last), *((10 + k, made(64) + last) for k in range(7))]
+    got = {r.doc_id: r.class_id for r in near_copies(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()}
+    assert likeness(rows[1][1], rows[2][1]) >= 0.8 > likeness(rows[0][1], rows[1][1])
+    assert got == {k: (2 if k == 3 else k) for k, _ in rows}

@@ -1,7 +1,9 @@
 """Licence scans by sentence rules, in DataFrame functions.
 
-Texts are cut into sentences (at line ends and after stops), which are normalised and looked up among known
-licence sentences. The sequence of identifiers found is matched against ordered
+Texts are cut into pieces (at line ends and after stops), which are normalised and looked up among known
+licence sentences. Pieces that make a known sentence only together, up to a
+blank line, are joined, so sentences may be wrapped; 'this file is' and the like
+may stand before one. The sequence of identifiers found is matched against ordered
 rules, longer and more specific ones first; what a rule matches is used up.
 
 Defined results: null or empty text has no sentence and no licence; repeated
@@ -88,18 +90,42 @@ RULES = (
 TRIGGERS = ("licen", "permission", "copyright", "redistribut", "public domain", "rights reserved", "free software", "warrant", "promote products")
 
 
-def _sentences(text: Column) -> Column:
-    """Normalised sentences: cut at line ends and after . ! ? ; and a space."""
-    cut = F.split(F.regexp_replace(F.lower(text), r"([.!?;:])[ \t]+", "$1\n"), r"\n+")
+#: Words that may stand before a known sentence.
+LEAD = r"^(?:this|the) (?:file|project|software|work|source code|source|code|program|package|library|document|module) is "
+_ALL = "|" + "|".join(SENTENCES) + "|"
+
+
+def _pieces(text: Column) -> Column:
+    """Normalised pieces: cut at line ends and after . ! ? ; and a space; a
+    blank line is an empty piece."""
+    cut = F.split(F.regexp_replace(F.lower(text), r"([.!?;:])[ \t]+", "$1\n"), r"\n")
     return F.transform(cut, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
 
 
+def _found(pieces: Column, known: Column) -> Column:
+    """Identifiers of known sentences, each of one piece or of several."""
+    none = F.array().cast("array<string>")
+    zero = F.struct(none.alias("open"), none.alias("ids"))
+    is_known = lambda c: F.element_at(known, c).isNotNull()
+
+    def step(acc: Column, x: Column) -> Column:
+        longer = F.concat(F.transform(acc["open"], lambda c: F.concat(c, F.lit(" "), x)), F.array(x, F.regexp_replace(x, LEAD, "")))
+        # the beginnings of known sentences, the longest first
+        going = F.filter(longer, lambda c: F.contains(F.lit(_ALL), F.concat(F.lit("|"), c, F.lit(" "))))
+        whole = F.filter(longer, is_known)
+        hit = F.size(whole) > 0
+        after = F.struct(F.when(hit, none).otherwise(going).alias("open"), F.when(hit, F.concat(acc["ids"], F.array(F.element_at(known, F.get(whole, 0))))).otherwise(acc["ids"]).alias("ids"))
+        return F.when(x == "", F.struct(none.alias("open"), acc["ids"].alias("ids"))).otherwise(after)
+
+    return F.aggregate(pieces, zero, step, lambda acc: acc["ids"])
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, sentence_ids, licenses, unmatched`` for every row; no shuffle."""
     known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("t"))
     hopeful = F.lower("t").rlike("|".join(TRIGGERS))
-    ids = F.filter(F.transform(_sentences(F.col("t")), lambda s: F.element_at(known, s)), lambda x: x.isNotNull())
+    ids = _found(_pieces(F.col("t")), known)
     found = rows.select("doc_id", F.when(hopeful, F.array_join(ids, " ")).otherwise("").alias("sentence_ids"))
     state = found.withColumn("_rest", F.concat(F.lit(" "), F.regexp_replace("sentence_ids", " ", "  "), F.lit(" "))).withColumn("licenses", F.lit(""))
     for sequence, name in RULES:

@@ -20,3 +20,35 @@ def test_rules_in_order_and_odd_rows(spark):
     assert got[3].sentence_ids == got[4].sentence_ids == ""
     assert got[5].licenses == "" and got[5].unmatched == "ApacheCopy"
     assert scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+#
+# 1. Redistributions of source code must retain the above copyright notice, this
+#    list of conditions and the following disclaimer.
+# 2. Redistributions in binary form must reproduce the above copyright notice,
+#    this list of conditions and the following disclaimer in the documentation
+#    and/or other materials provided with the distribution.
+"""
+GPL = """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+"""
+
+
+def test_wrapped_sentences_and_words_before(spark):
+    rows = [(1, MIT), (2, BSD), (3, GPL), (4, "This file is released under the MIT License."), (5, "This file is not released under the MIT License."), (6, "licensed under\n\nthe MIT license"), (7, "All rights reserved\nreleased under the MIT License\nx")]
+    got = {r.doc_id: r.licenses for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "MIT", 2: "BSD-2-Clause", 3: "GPL-3.0-or-later", 4: "MIT", 5: "", 6: "", 7: "MIT,Proprietary"}

@@ -4,11 +4,18 @@
   the shared checkpoint folder: a lost executor costs a re-read, not a re-run.
 * ``WordBatch`` turns an Arrow batch of texts into numpy arrays of words and
   64-bit word hashes without a Python loop over words.
+* ``word_pieces`` feeds texts to it in pieces of bounded size: a long text comes
+  in several pieces that end between words, so the working set of a worker does
+  not grow with the length of a text. A single word of CHUNK_BYTES or more
+  stands as its digest.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +30,9 @@ from foliospark.session import materialize  # noqa: F401  (its users import it f
 BROADCAST_IDS = 4_000_000
 
 #: Bytes and rows of text that ``text_chunks`` puts into one numpy working set.
-CHUNK_BYTES, CHUNK_ROWS = 1_000_000, 2_000
+CHUNK_BYTES, CHUNK_ROWS = 1 << 18, 2_000
+#: Rows and bytes of an Arrow batch on its way to a Python worker.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +40,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Arrow batches hold at most 1000 rows in this session: a Python worker
-    holds two of them, and texts can be long."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > 1000:
-        spark.conf.set(key, "1000")
+    """Let Arrow batches hold at most BATCH_ROWS rows and about BATCH_BYTES bytes
+    in this session (smaller settings stay): a Python worker holds two of them,
+    and texts can be long. The settings stay, as results are computed later."""
+    of_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        if not 0 < of_bytes(spark.conf.get(key)) <= most:
+            spark.conf.set(key, str(most))
 
 
 def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -96,7 +107,7 @@ def text_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int,
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     total, first = 0, 0
     for k, size in enumerate(sizes.tolist()):
-        if total and total + size > most or k - first >= CHUNK_ROWS:
+        if k > first and total + size > most or k - first >= CHUNK_ROWS:
             yield first, k
             first, total = k, 0
         total += size
@@ -150,6 +161,57 @@ class WordBatch:
         return self.span_hash(self.starts, self.ends)
 
 
+class Piece(NamedTuple):
+    """Words of rows ``lo`` to ``hi`` (exclusive). Those from ``begin`` to ``end``
+    are new, others are there for context; ``before`` words of the text (of a
+    single long row) came in earlier pieces."""
+
+    lo: int
+    hi: int
+    words: WordBatch
+    begin: int
+    end: int
+    before: int
+
+
+_GAP = re.compile(rb"[\x09-\x0d\x20]+")
+_GIANT = re.compile(rb"(?<![^\x09-\x0d\x20])[^\x09-\x0d\x20]{%d,}" % CHUNK_BYTES)
+
+
+def word_pieces(texts: pa.Array, ahead: int = 0) -> Iterator[Piece]:
+    """All words of ``texts`` in pieces of at most about twice CHUNK_BYTES. The
+    pieces of a long text hold one word before and ``ahead`` words after the new
+    ones."""
+    for lo, hi in text_chunks(texts):
+        part = texts.slice(lo, hi - lo)
+        size = pc.binary_length(part[0]).as_py() or 0 if hi - lo == 1 else 0
+        if size <= CHUNK_BYTES:
+            words = WordBatch(part)
+            yield Piece(lo, hi, words, 0, len(words.starts), 0)
+            continue
+        # a word of such a length has a digest for all that is asked of it
+        text = _GIANT.sub(lambda m: b"\x01" + blake2b(m[0].lower(), digest_size=16).hexdigest().encode(), part[0].as_buffer().to_pybytes())
+        after = re.compile(rb"(?:[^\x09-\x0d\x20]+[\x09-\x0d\x20]*){0,%d}" % ahead)
+        at = back = before = 0
+        while at < len(text):
+            gap = _GAP.search(text, min(len(text), at + CHUNK_BYTES))
+            stop = gap.end() if gap else len(text)
+            words = WordBatch(pa.array([text[back : after.match(text, stop).end()]], pa.large_binary()).cast(pa.large_string()))
+            begin, end = np.searchsorted(words.starts, [at - back, stop - back]).tolist()
+            yield Piece(lo, hi, words, begin, end, before)
+            before += end - begin
+            back, at = (back + int(words.starts[end - 1]) if end > begin else at), stop
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and each row's first word (length rows + 1)."""
+    found, counts = [], np.zeros(len(texts) + 1, np.int64)
+    for piece in word_pieces(texts):
+        found.append(piece.words.word_hash()[piece.begin : piece.end])
+        counts[piece.lo + 1 : piece.hi + 1] += np.diff(np.clip(piece.words.first, piece.begin, piece.end))
+    return np.concatenate(found) if found else np.empty(0, np.uint64), np.cumsum(counts)
+
+
 def window_hash(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` consecutive word hashes."""
     n = len(words) - width + 1

@@ -3,7 +3,7 @@
 Words become template tokens: numbers, units after a number and capitalised
 words inside a sentence turn into typed placeholders, all else is lower-cased
 and stripped of outer punctuation; windows with a capitalised word also count with
-that word itself. Windows of five template tokens of documents
+that word itself, and windows of little but numbers and units count as they are. Windows of five template tokens of documents
 and benchmark items are hash-joined. A pair counts as a leak if windows with at
 least half of the item's windows are in the document and the
 slots agree: equal fillers (``verbatim``), or one consistent substitution
@@ -14,25 +14,27 @@ other everywhere, the windows with equal fillers count (``partial``).
 
 Defined results: null or empty texts, of documents or items, match nothing; an
 item of fewer than five words is one window of its own length, if it has at
-least three words; rows of one id count as one document; rows with a null id are
-not searched and stay; an empty table gives an empty table; other columns are ignored by ``find_leaks`` and kept by
-``drop_leaks``.
+least three words (fewer are no passage and match nothing); rows of one id count as one
+document, rows without an id as one for each text; very long texts are read in
+pieces whose windows overlap; equally good places of a document give the stronger
+kind; an empty table gives an empty table; other columns are ignored by
+``find_leaks`` and kept by ``drop_leaks``.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, join_ids, mix, small_batches, table, text_chunks, window_hash
+from foliospark.llm.common import BROADCAST_IDS, WordBatch, materialize, mix, small_batches, table, window_hash, word_pieces
 from foliospark.llm.toxicity import trimmed
 
 WINDOW, LEAST_WORDS = 5, 3
 #: Share of an item's windows that a document must hold.
 COVERAGE = 0.5
-#: A window needs so many words that are no placeholder (shorter ones: all but one).
+#: A template needs so many words that are no placeholder (shorter ones: all but one).
 LEAST_LITERALS = 3
 #: Benchmark windows go to every task (8 bytes each) up to this count; beyond
 #: it, all document windows are shuffled and joined instead.
@@ -47,6 +49,7 @@ _NUMERIC = _DIGIT.copy()
 _NUMERIC[[ord(c) for c in ".,:/%$+-"]] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:;"]] = True
+TEMPLATE, WORDED, EXACT = 0, 1, 2
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (0x6E756D, 0x756E69, 0x6E616D))
 
 
@@ -54,16 +57,16 @@ class Templates:
     """Template tokens of a batch: ``hash`` and ``kind`` (0 literal, 1 number,
     2 unit, 3 name) of every word."""
 
-    def __init__(self, texts: pa.Array):
-        self.words = words = WordBatch(texts)
+    def __init__(self, words: WordBatch):
+        self.words = words
         self.kind = np.zeros(len(words.starts), np.int64)
         if not len(words.starts):
-            self.hash = self.plain = np.empty(0, np.uint64)
+            self.hash = self.plain = self.exact = np.empty(0, np.uint64)
             self.starts, self.ends = words.starts, words.ends
             return
         data, raw = words.data, words.raw
         self.starts, self.ends = starts, ends = trimmed(words)
-        self.hash = words.span_hash(starts, ends)
+        self.hash = self.exact = words.span_hash(starts, ends)
         digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
         numeric = np.concatenate([[0], np.cumsum(_NUMERIC[data])])
         n_digits = digits[ends] - digits[starts]
@@ -82,32 +85,38 @@ class Templates:
         self.hash = np.where(name, NAME, self.plain)
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First word and hash of every usable window inside one text, and
-        whether its names stand as words: windows with a name come twice, so
-        that capitals alone hide nothing."""
+        """First word, hash and form of every window inside one text. Each word
+        begins a window in one form at least:
+
+        * TEMPLATE: numbers, units and names are placeholders;
+        * WORDED, if there are names: those stand as words, so that capitals
+          alone hide nothing;
+        * EXACT, if too few words remain for these: all words as they are.
+        """
         doc, n = self.words.doc, len(self.hash) - width + 1
         if n <= 0:
-            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
+            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int32)
         least, inside = min(LEAST_LITERALS, max(1, width - 1)), doc[:n] == doc[width - 1 :]
-        named = self._held(self.kind == 3, width)
-        template = np.flatnonzero(inside & (self._held(self.kind == 0, width) >= least))
-        worded = np.flatnonzero(inside & (named > 0) & (self._held((self.kind == 0) | (self.kind == 3), width) >= least))
-        h = np.concatenate([window_hash(self.hash, width)[template], window_hash(self.plain, width)[worded]])
-        return np.concatenate([template, worded]), mix(h + np.uint64(width)), np.arange(len(h)) >= len(template)
+        literals, named = self._held(self.kind == 0, width), self._held(self.kind == 3, width)
+        parts = []
+        for form, of, use in ((TEMPLATE, self.hash, literals >= least), (WORDED, self.plain, (named > 0) & (literals + named >= least)), (EXACT, self.exact, literals + named < least)):
+            at = np.flatnonzero(inside & use)
+            parts.append((at, mix(window_hash(of, width)[at] + np.uint64(width + (4096 if form == EXACT else 0))), np.full(len(at), form, np.int32)))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
     @staticmethod
     def _held(mask: np.ndarray, width: int) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(mask)])
         return total[width:] - total[:-width]
 
-    def slots(self, at: int, width: int, worded: bool) -> list[str]:
+    def slots(self, at: int, width: int, form: int) -> list[str]:
         """``offset:kind:filler`` of the placeholders in a window."""
         data = self.words.data
-        shown = (1, 2) if worded else (1, 2, 3)
+        shown = {TEMPLATE: (1, 2, 3), WORDED: (1, 2), EXACT: ()}[form]
         return [f"{k}:{self.kind[at + k]}:{data[self.starts[at + k] : self.ends[at + k]].tobytes().decode('utf8', 'replace')}" for k in range(width) if self.kind[at + k] in shown]
 
-    def all_slots(self, at: np.ndarray, width: int, worded: np.ndarray) -> pa.Array:
-        return pa.array([self.slots(x, width, y) for x, y in zip(at.tolist(), worded.tolist(), strict=True)], pa.list_(pa.string()))
+    def all_slots(self, at: np.ndarray, width: int, form: np.ndarray) -> pa.Array:
+        return pa.array([self.slots(x, width, y) for x, y in zip(at.tolist(), form.tolist(), strict=True)], pa.list_(pa.string()))
 
 
 def _unit_hashes() -> np.ndarray:
@@ -120,49 +129,55 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                t = Templates(batch.column(1).slice(k, 1))
-                width = min(WINDOW, len(t.hash))
+                pieces = [(Templates(p.words), p) for p in word_pieces(batch.column(1).slice(k, 1), WINDOW - 1)]
+                width = min(WINDOW, sum(p.end - p.begin for _, p in pieces))
                 if width < LEAST_WORDS:
                     continue
-                at, h, worded = t.windows(width)
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(at), pa.int64()), pa.array(at.astype(np.int64)), pa.array(h.view(np.int64)), pa.array([width] * len(at), pa.int32()), t.all_slots(at, width, worded)], ["item_id", "item_pos", "w", "width", "item_slots"])
+                for t, p in pieces:
+                    at, h, form = t.windows(width)
+                    new = (at >= p.begin) & (at < p.end)
+                    at, h, form = at[new], h[new], form[new]
+                    yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(at), pa.int64()), pa.array((at - p.begin + p.before).astype(np.int64)), pa.array(h.view(np.int64)), pa.array([width] * len(at), pa.int32()), t.all_slots(at, width, form)], ["item_id", "item_pos", "w", "width", "item_slots"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("t")).filter("item_id is not null and t is not null")
     return rows.mapInArrow(run, "item_id long, item_pos long, w long, width int, item_slots array<string>")
 
 
+def _own_key(id_col: str, text_col: str) -> Column:
+    """0 for rows with an id; rows without one are told apart by their text."""
+    return F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col).cast("string"))).otherwise(F.lit(0).cast("long"))
+
+
 def document_windows(docs: DataFrame, widths: list[int], known: np.ndarray | None, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, row, pos, w, doc_slots``; only windows in ``known`` if that is given."""
+    """``doc_id, own, row, pos, w, doc_slots``; only windows in ``known`` if that is given."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
         for batch in batches:
-            for lo, hi in text_chunks(batch.column(1)):
-                t, ids, row = Templates(batch.column(1).slice(lo, hi - lo)), batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo)
-                doc, hashes = t.words.doc, shared.value
+            for p in word_pieces(batch.column(3), max(widths) - 1):
+                t, hashes = Templates(p.words), shared.value
+                doc = t.words.doc
                 for width in widths:
-                    at, h, worded = t.windows(width)
+                    at, h, form = t.windows(width)
+                    new = (at >= p.begin) & (at < p.end)
                     if hashes is not None:
-                        hit = hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h
-                        at, h, worded = at[hit], h[hit], worded[hit]
-                    of = pa.array(doc[at])
-                    yield pa.RecordBatch.from_arrays([ids.take(of), row.take(of), pa.array(at - t.words.first[doc[at]]), pa.array(h.view(np.int64)), t.all_slots(at, width, worded)], ["doc_id", "row", "pos", "w", "doc_slots"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).filter("doc_id is not null and t is not null")
-    return rows.withColumn("row", F.xxhash64("t")).mapInArrow(run, "doc_id long, row long, pos long, w long, doc_slots array<string>")
+                        new &= hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h
+                    at, h, form = at[new], h[new], form[new]
+                    of = pa.array(doc[at] + p.lo)
+                    place = at - t.words.first[doc[at]] - p.begin + p.before
+                    yield pa.RecordBatch.from_arrays([*(batch.column(k).take(of) for k in range(3)), pa.array(place), pa.array(h.view(np.int64)), t.all_slots(at, width, form)], ["doc_id", "own", "row", "pos", "w", "doc_slots"])
 
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _own_key(id_col, text_col).alias("own"), F.xxhash64(F.col(text_col).cast("string")).alias("row"), F.col(text_col).cast("string").alias("t")).filter("t is not null")
+    return rows.mapInArrow(run, "doc_id long, own long, row long, pos long, w long, doc_slots array<string>")
 
-def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, n_windows, coverage, kind`` for every leak.
 
-    Document windows are filtered before they leave the scan, so what is
-    shuffled is hits; hits are summed up per document and item with a
-    map-side combine.
-    """
+def _leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """``find_leaks`` with the column ``own`` (see ``_own_key``)."""
     small_batches(docs.sparkSession)
-    windows = item_windows(items, item_col, item_text_col)
+    windows = materialize(item_windows(items, item_col, item_text_col), "item-windows")
     distinct = windows.select("w", "width").distinct()
-    if distinct.count() <= BROADCAST_WINDOWS:
+    small = distinct.count() <= BROADCAST_WINDOWS
+    if small:
         found = distinct.toPandas()
         widths, known = sorted(found["width"].unique().tolist()), np.sort(found["w"].to_numpy(np.int64).view(np.uint64))
     else:
@@ -170,10 +185,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     if not widths:
         widths, known = [WINDOW], np.array([0], np.uint64)
     hits = document_windows(docs, widths, known, id_col, text_col)
-    pairs = hits.join(windows, "w")
+    pairs = hits.join(F.broadcast(windows) if small and windows.count() <= BROADCAST_WINDOWS // 4 else windows, "w")
     fills = F.arrays_zip(F.col("item_slots").alias("a"), F.col("doc_slots").alias("b"))
     tail = lambda s: F.regexp_replace(s, r"^\d+:", "")
-    pairs = pairs.select("doc_id", "item_id", "row", F.col("item_pos").alias("at"), (F.col("pos") - F.col("item_pos")).alias("shift"), F.transform(fills, lambda x: F.struct(tail(x["a"]).alias("a"), tail(x["b"]).alias("b"))).alias("fills"))
+    pairs = pairs.select("doc_id", "own", "item_id", "row", F.col("item_pos").alias("at"), (F.col("pos") - F.col("item_pos")).alias("shift"), F.transform(fills, lambda x: F.struct(tail(x["a"]).alias("a"), tail(x["b"]).alias("b"))).alias("fills"))
     totals = windows.groupBy("item_id").agg(F.count_distinct("item_pos").alias("total"))
     # the whole document, every exact place, and places with a few words more or
     # less (ranges that overlap, so that no place is cut by all of them)
@@ -182,19 +197,30 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     ranges = [part(2 * w + half, F.floor((F.col("shift") + half * (w // 2)) / w)) for w in SLACKS for half in (0, 1)]
     placed = pairs.withColumn("place", F.explode(F.array(whole, part(1, F.col("shift")), *ranges)))
     same = F.forall("fills", lambda x: x["a"] == x["b"])
-    grouped = placed.groupBy("doc_id", "item_id", "place").agg(F.collect_set("at").alias("ws"), F.collect_set(F.when(same, F.col("at"))).alias("same_ws"), F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills"))
+    grouped = placed.groupBy("doc_id", "own", "item_id", "place").agg(F.collect_set("at").alias("ws"), F.collect_set(F.when(same, F.col("at"))).alias("same_ws"), F.array_distinct(F.flatten(F.collect_set("fills"))).alias("fills"))
     consistent = F.size("fills") == F.size(F.array_distinct("fills.a"))  # each filler of the item has one counterpart
     counted = F.when(consistent, F.size("ws")).otherwise(F.size("same_ws")).cast("long")
     kind = F.when(same, "verbatim").when(consistent, "reparameterised").otherwise("partial")
-    best = grouped.groupBy("doc_id", "item_id").agg(F.max(F.struct(counted.alias("n"), kind.alias("kind"))).alias("x"))  # kinds ascend in strength
-    scored = best.join(totals, "item_id").select("doc_id", "item_id", F.col("x.n").alias("n_windows"), (F.col("x.n") / F.col("total")).alias("coverage"), "x.kind")
+    best = grouped.groupBy("doc_id", "own", "item_id").agg(F.max(F.struct(counted.alias("n"), kind.alias("kind"))).alias("x"))  # kinds ascend in strength
+    scored = best.join(totals, "item_id").select("doc_id", "own", "item_id", F.col("x.n").alias("n_windows"), (F.col("x.n") / F.col("total")).alias("coverage"), "x.kind")
     return scored.filter(F.col("coverage") >= COVERAGE)
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, n_windows, coverage, kind`` for every leak.
+
+    Document windows are filtered before they leave the scan, so what is
+    shuffled is hits; hits are summed up per document and item with a
+    map-side combine.
+    """
+    return _leaks(docs, items, id_col, text_col, item_col, item_text_col).drop("own")
+
+
+def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without a leak, with all their columns."""
-    bad = find_leaks(docs, items).select("doc_id").distinct()
-    return join_ids(docs, bad, "doc_id", "left_anti").select(*docs.columns)
+    bad = materialize(_leaks(docs, items, id_col, text_col, "item_id", "text").select(F.col("doc_id").alias("_id"), F.col("own").alias("_own")).distinct(), "leaks")
+    listed = F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad
+    return docs.join(listed, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (_own_key(id_col, text_col) == F.col("_own")), "left_anti").select(*docs.columns)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, join_ids, materialize, mix, small_batches, table, text_chunks, window_hash
+from foliospark.llm.common import join_ids, materialize, mix, small_batches, table, text_chunks, window_hash, word_hashes
 from foliospark.llm.components import connected_components
 
 WIDTH, PERCENT = 5, 80
@@ -51,17 +51,32 @@ class Shingles:
     """Distinct shingles of a batch, sorted by row and hash."""
 
     def __init__(self, texts: pa.Array, width: int = WIDTH):
-        words = WordBatch(texts)
-        self.rows = words.rows
-        hashes, doc = words.word_hash(), words.doc
-        count = np.diff(words.first)
+        hashes, first = word_hashes(texts)
+        self.rows, count = len(texts), np.diff(first)
+        if self.rows == 1 and len(hashes) >= width:
+            h = window_hash(hashes, width)
+            del hashes
+            h.sort()
+            own = np.zeros(len(h), np.int32)
+        else:
+            own, h = self._sorted(hashes, first, count, width)
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
+        self.own, self.hash = own[fresh], h[fresh]
+        self.first = np.searchsorted(self.own, np.arange(self.rows + 1))
+        self.n = np.diff(self.first)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.hash ^ np.uint64(0xA5A5A5A5)))])
+        self.signature = mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.n.astype(np.uint64))
+
+    def _sorted(self, hashes: np.ndarray, first: np.ndarray, count: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        doc = np.repeat(np.arange(self.rows), count)
         h = window_hash(hashes, width)
         at = np.flatnonzero(doc[: len(h)] == doc[width - 1 :][: len(h)])
         own, h = doc[at], h[at]
         for n in range(1, width):
             few = np.flatnonzero(count == n)
             if len(few):
-                part = words.first[few][:, None] + np.arange(n)
+                part = first[few][:, None] + np.arange(n)
                 own = np.concatenate([own, few])
                 h = np.concatenate([h, mix(window_hash(hashes[part].ravel(), n)[::n] + np.uint64(n))])
         key = (own.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
@@ -69,14 +84,7 @@ class Shingles:
         key = key[order]
         if ((key[1:] == key[:-1]) & (h[order[1:]] != h[order[:-1]])).any() or self.rows >= 1 << 20:
             order = np.lexsort((h, own))  # two hashes share the bits in the key
-        own, h = own[order], h[order]
-        fresh = np.ones(len(h), bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
-        self.own, self.hash = own[fresh], h[fresh]
-        self.first = np.searchsorted(self.own, np.arange(self.rows + 1))
-        self.n = np.diff(self.first)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(self.hash ^ np.uint64(0xA5A5A5A5)))])
-        self.signature = mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.n.astype(np.uint64))
+        return own[order], h[order]
 
     def prefixes(self, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row, position from 1, hash) of prefix shingles, and each row's group."""
@@ -84,7 +92,7 @@ class Shingles:
         if len(frequent) and len(self.hash):
             at = np.minimum(np.searchsorted(frequent, self.hash), len(frequent) - 1)
             weight = np.where(frequent[at] == self.hash, counts[at], 0)
-        order = np.argsort((self.own << 40) + np.minimum(weight, (1 << 40) - 1), kind="stable")  # already by row and hash
+        order = np.argsort((self.own.astype(np.int64) << 40) + np.minimum(weight, (1 << 40) - 1), kind="stable")  # already by row and hash
         h = self.hash[order]
         position = np.arange(len(h)) - self.first[self.own] + 1
         keep = np.flatnonzero(position <= prefix_length(self.n)[self.own])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, mix, small_batches, table, text_chunks, unit_hash, window_hash
+from foliospark.llm.common import mix, small_batches, table, text_chunks, unit_hash, window_hash, word_pieces
 from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
 #: About so many documents, chosen by a hash of the id, train the scorer.
@@ -49,21 +49,23 @@ _END = np.zeros(256, bool)
 _END[[ord(c) for c in ".,;:?"]] = True
 _ODD = np.zeros(256, bool)
 _ODD[[ord(c) for c in "#$%&*|!<>{}[]~^=_\\@+`"]] = True
+#: Bytes that begin a letter, and those that begin one of the scripts from
+#: U+0E00 on, most of which are written without spaces.
+_LEAD = (np.arange(256) < 0x80) | (np.arange(256) >= 0xC0)
+_LEAD &= _LETTER
+_WIDE = (np.arange(256) == 0xE0) | (np.arange(256) >= 0xE3)
+_MASKS = {"letter": _LETTER, "alnum": _ALNUM, "digit": _CLASS == ord("0"), "upper": _CLASS == ord("A"), "odd": _ODD, "chars": _LEAD, "wide": _WIDE}
 
 
 @dataclass
 class Stats:
     """Per-document numbers, and a hashed shape for every word."""
 
-    words: WordBatch
+    rows: int
     n: np.ndarray
     values: dict[str, np.ndarray]
-    shapes: np.ndarray
-
-
-def _shares(mask: np.ndarray, words: WordBatch, n: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(mask)])
-    return (total[words.first[1:]] - total[words.first[:-1]]) / np.maximum(n, 1)
+    doc: np.ndarray
+    shapes: np.ndarray  # dimension of each word's shape
 
 
 def _distinct(hashes: np.ndarray, doc: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,43 +77,72 @@ def _distinct(hashes: np.ndarray, doc: np.ndarray, rows: int) -> tuple[np.ndarra
     return np.bincount(owner, minlength=rows), most
 
 
+def _shapes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each word's shape, hashed: its bytes by class, equal neighbours joined."""
+    classes = _CLASS[raw]
+    fresh = np.ones(len(raw), bool)
+    fresh[1:] = classes[1:] != classes[:-1]
+    fresh[starts] = True
+    fresh &= classes != 32
+    at = np.flatnonzero(fresh)
+    first = np.searchsorted(at, starts)
+    place = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+    part = mix((classes[at].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) * (place + 1).astype(np.uint64)
+    return (mix(np.add.reduceat(part, first)) % np.uint64(DIMENSIONS)).astype(np.uint16)
+
+
 def describe(texts: pa.Array) -> Stats:
-    words = WordBatch(texts)
-    n, rows, doc, raw = np.diff(words.first), words.rows, words.doc, words.raw
-    size = (words.ends - words.starts).astype(np.int64)
-    sums = {k: np.concatenate([[0], np.cumsum(mask[raw])]) for k, mask in {"letter": _LETTER, "alnum": _ALNUM, "digit": _CLASS == ord("0"), "upper": _CLASS == ord("A"), "odd": _ODD}.items()}
-    per = {k: v[words.ends] - v[words.starts] for k, v in sums.items()}
-    total = {k: np.bincount(doc, v, rows) for k, v in (per | {"size": size}).items()}
-    hashes = words.word_hash()
-    distinct, most = _distinct(hashes, doc, rows)
-    runs = window_hash(hashes, 3)
+    """Statistics of every row. What is kept of a long text is a hash, a shape
+    and a row number for each word."""
+    rows = len(texts)
+    n, total = np.zeros(rows, np.int64), {k: np.zeros(rows) for k in ("size", "chars", "wide", "letter", "upper", "odd", "plain", "bare", "stops")}
+    hashes, shapes, docs = [], [], []
+    for piece in word_pieces(texts):
+        words = piece.words
+        new = slice(piece.begin, piece.end)
+        starts, ends = words.starts[new], words.ends[new]
+        if not len(starts):
+            continue
+        doc, raw = words.doc[new] + piece.lo, words.raw
+        size = (ends - starts).astype(np.int32)
+        # a word's bytes up to the next word: white space counts for nothing
+        last = ends[-1]
+        per = {k: np.add.reduceat(mask[raw[:last]], starts, dtype=np.int32) for k, mask in _MASKS.items()}
+        tail = raw[ends - 1]
+        number = (per["digit"] > 0) & (2 * per["alnum"] >= size)
+        plain = (per["letter"] == size) | ((per["letter"] == size - 1) & _END[tail]) | number
+        for k, x in (per | {"size": size, "plain": plain, "bare": per["alnum"] == 0, "stops": _END[tail]}).items():
+            if k in total:
+                total[k] += np.bincount(doc, x, rows)
+        n += np.bincount(doc, minlength=rows)
+        hashes.append(words.word_hash()[new])
+        shapes.append(_shapes(raw[starts[0] : last], starts - starts[0]))
+        docs.append(doc.astype(np.int32))
+    doc = np.concatenate(docs) if docs else np.empty(0, np.int32)
+    h = np.concatenate(hashes) if docs else np.empty(0, np.uint64)
+    del hashes, docs
+    count = np.maximum(n, 1)
+    distinct, most = _distinct(h, doc, rows)
+    stutter = np.bincount(doc[1:], (h[1:] == h[:-1]) & (doc[1:] == doc[:-1]), rows) if len(doc) else np.zeros(rows)
+    runs = window_hash(h, 3)
     same = doc[: len(runs)] == doc[2:] if len(doc) > 2 else np.empty(0, bool)
-    n_runs = np.bincount(doc[: len(runs)][same], minlength=rows)
-    new_runs, _ = _distinct(runs[same], doc[: len(runs)][same], rows)
-    tail = raw[np.maximum(words.ends - 1, 0)]
-    number = (per["digit"] > 0) & (2 * per["alnum"] >= size)
-    plain = (per["letter"] == size) | ((per["letter"] == size - 1) & _END[tail]) | number
+    own, runs = doc[: len(runs)][same], runs[same]
+    n_runs = np.bincount(own, minlength=rows)
+    new_runs, _ = _distinct(runs, own, rows)
     values = {
         "odd": total["odd"] / np.maximum(total["size"], 1),
         "upper": total["upper"] / np.maximum(total["letter"], 1),
-        "variety": distinct / np.sqrt(np.maximum(n, 1)),
-        "top": most / np.maximum(n, 1),
-        "plain": _shares(plain, words, n),
-        "bare": _shares(per["alnum"] == 0, words, n),
+        "variety": distinct / np.sqrt(count),
+        "top": most / count,
+        "plain": total["plain"] / count,
+        "bare": total["bare"] / count,
         "repeat": 1 - new_runs / np.maximum(n_runs, 1) * (n_runs > 0) - (n_runs == 0),
-        "length": total["letter"] / np.maximum(n, 1),
-        "stutter": np.bincount(doc[1:], (hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1]), rows) / np.maximum(n, 1) if len(doc) else np.zeros(rows),
-        "stops": _shares(_END[tail], words, n),
+        # a script without spaces has no words to be long
+        "length": np.where(2 * total["wide"] > total["chars"], 5.0, total["chars"] / count),
+        "stutter": stutter / count,
+        "stops": total["stops"] / count,
     }
-    # a word's shape: its bytes by class, equal neighbours joined
-    classes = _CLASS[raw]
-    fresh = np.ones(len(raw), bool)
-    fresh[1:] = classes[1:] != classes[:-1]
-    fresh[words.starts] = True
-    weight = np.where(fresh, (classes.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15), 0)
-    order = np.cumsum(fresh).astype(np.uint64)
-    rank = np.concatenate([[0], np.cumsum(mix(weight) * fresh * (order - np.repeat(order[words.starts], 1)[np.searchsorted(words.starts, np.arange(len(raw)), "right") - 1] + np.uint64(1)))]).astype(np.uint64) if len(words.starts) else np.zeros(1, np.uint64)
-    return Stats(words, n, values, mix(rank[words.ends] - rank[words.starts]) if len(words.starts) else np.empty(0, np.uint64))
+    return Stats(rows, n, values, doc, np.concatenate(shapes) if shapes else np.empty(0, np.uint16))
 
 
 #: Labellers: statistic, bad beyond, good within, direction (1: high is bad),
@@ -145,8 +176,8 @@ _BINS = np.array([0.0, 0.005, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9, 1.5, 2.
 def features(stats: Stats) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, dimension, value): shape shares, and one bin of each statistic."""
     rows, cols, values = [], [], []
-    doc, most = stats.words.doc, np.uint64(DIMENSIONS)
-    key, counts = np.unique((doc.astype(np.uint64) << np.uint64(32)) | (stats.shapes % most), return_counts=True)
+    most = np.uint64(DIMENSIONS)
+    key, counts = np.unique((stats.doc.astype(np.uint64) << np.uint64(32)) | stats.shapes, return_counts=True)
     owner = (key >> np.uint64(32)).astype(np.int64)
     rows.append(owner)
     cols.append((key & np.uint64(0xFFFFFFFF)).astype(np.int64))
@@ -170,7 +201,7 @@ class QualityModel:
     def scores(self, texts: pa.Array) -> np.ndarray:
         stats = describe(texts)
         row, col, value = features(stats)
-        z = self.bias + np.bincount(row, value * self.weights[col], stats.words.rows)
+        z = self.bias + np.bincount(row, value * self.weights[col], stats.rows)
         return np.where(stats.n > 0, 1 / (1 + np.exp(-np.clip(z, -50, 50))), 0.0)
 
 

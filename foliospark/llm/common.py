@@ -28,6 +28,8 @@ from foliospark.session import materialize  # noqa: F401  (its users import it f
 #: Ids are sent to every executor only up to this count (about 100 MB as a hash
 #: relation of longs); beyond it the same join shuffles instead.
 BROADCAST_IDS = 4_000_000
+#: Bits of the bitmap that stands for more ids (128 MB at most).
+FILTER_BITS = 1 << 30
 
 #: Bytes and rows of text that ``text_chunks`` puts into one numpy working set.
 CHUNK_BYTES, CHUNK_ROWS = 1 << 18, 2_000
@@ -49,10 +51,46 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join on ``key``; ``ids`` is broadcast only if its count is small enough."""
-    small = ids.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(ids) if small else ids, key, how)
+def _marked(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Adds ``_may``: whether the key may be among ``ids`` (false: it is not).
+
+    A bitmap of eight or more bits an id, made by aggregation, is broadcast; it
+    never exceeds FILTER_BITS, so rows are never shuffled to be told apart.
+    """
+    size = 1 << 15
+    while size < FILTER_BITS and size < 8 * ids.count():
+        size *= 2
+    place = F.pmod(F.xxhash64(key), F.lit(size))
+    one = ids.select(place.alias("_p")).groupBy(F.expr("_p div 32768").alias("_word")).agg(F.bitmap_construct_agg(F.expr("_p % 32768")).alias("_bits"))
+    joined = df.withColumn("_p", place).withColumn("_word", F.expr("_p div 32768")).join(F.broadcast(one), "_word", "left")
+    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_p % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("cast(_p % 8 as int)")
+    return joined.withColumn("_may", F.coalesce(F.getbit(byte, bit) == 1, F.lit(False)) & F.col(key).isNotNull()).drop("_p", "_word", "_bits")
+
+
+def may_hold(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is in ``ids``, and some others; no shuffle."""
+    if ids.count() <= BROADCAST_IDS:
+        return df.join(F.broadcast(ids.select(key)), key, "left_semi")
+    return _marked(df, ids, key).filter("_may").drop("_may")
+
+
+def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``ids``. Beyond the size that is
+    broadcast, only rows that a bitmap cannot rule out are shuffled."""
+    if ids.count() <= BROADCAST_IDS:
+        return df.join(F.broadcast(ids.select(key)), key, "left_anti").select(*df.columns)
+    marked = _marked(df, ids, key)
+    rest = marked.filter("_may").join(ids.select(key), key, "left_anti")
+    return marked.filter("not _may").select(*df.columns).unionAll(rest.select(*df.columns))
+
+
+def join_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key``; ``ids`` is broadcast if its count is small enough,
+    else rows that a bitmap rules out go before the join shuffles."""
+    if ids.count() <= BROADCAST_IDS:
+        return df.join(F.broadcast(ids), key)
+    return may_hold(df, ids, key).join(ids, key)
 
 
 def text_or_empty(name: str) -> Column:

@@ -14,15 +14,18 @@ documents link when 100 * intersection >= 80 * union.
    its shingles (the one with the most shared shingles), each node with its
    group's first; pairs are verified on the whole sets and linked nodes are
    joined into components.
-5. Rest round: pairs that share a prefix shingle, pass the size and position
-   filters and are still in different components are verified as well. Pairs
-   within a component need no look: links are only used for components, so the
-   result is exact without listing all pairs of a group.
+5. Rest round: pairs of groups that share a prefix shingle, pass the size and
+   position filters and are not all in one component are expanded into pairs of
+   their nodes in different components, which are verified as well. Pairs within
+   a component need no look: links are only used for components, so the result
+   is exact without listing all pairs of a group.
 
 Defined results: fewer than five words make one shingle of the whole sequence;
 null text or no words give an empty set, linked with nothing; a null id gets
-its shingle count and a null component; rows of one id are one vertex; an empty
-table gives an empty table; other columns are ignored by ``link_documents``.
+its shingle count and a null component; rows of one id are one vertex; very long
+texts are read in pieces and have one set; an empty table gives an empty table;
+other columns are ignored by ``link_documents`` and kept by ``keep_one``. Ties
+cannot occur: the smallest id names a component.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import join_ids, materialize, mix, small_batches, table, text_chunks, window_hash, word_hashes
+from foliospark.llm.common import join_ids, materialize, may_hold, mix, small_batches, table, text_chunks, window_hash, without, word_hashes
 from foliospark.llm.components import connected_components
 
 WIDTH, PERCENT = 5, 80
@@ -45,6 +48,9 @@ BROADCAST_SHINGLES = 1_500_000
 #: Bits of the bitmap that rules out pairs before whole sets travel; sets from
 #: WIDE_FROM shingles on, which would fill it, get WIDE_BITS.
 BITS, WIDE_BITS, WIDE_FROM = 2048, 32768, 1600
+#: Shingles with more rows than their share of all rows, and than a least
+#: number, are hot; so many there are at most. Rows that meet at a time.
+HOT_KEYS, LEAST_HOT, BLOCK = 100_000, 1_000, 256
 
 
 class Shingles:
@@ -122,16 +128,33 @@ def _i64(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def pack_bits(s: Shingles, wide_from: int = WIDE_FROM) -> pa.Array:
+    """Parity bitmaps. Every shingle flips one bit, so two bitmaps differ in at
+    most as many bits as the sets have shingles not in common."""
+    out: list = [None] * s.rows
+    for rows, size in ((np.flatnonzero(s.n < wide_from), BITS), (np.flatnonzero(s.n >= wide_from), WIDE_BITS)):
+        at = np.full(s.rows, -1)
+        at[rows] = np.arange(len(rows))
+        mine = np.flatnonzero(at[s.own] >= 0)
+        place = at[s.own[mine]] * size + (mix(s.hash[mine] ^ np.uint64(0x5EED)) % np.uint64(size)).astype(np.int64)
+        flips = np.zeros(len(rows) * size, np.uint8)
+        np.bitwise_xor.at(flips, place, 1)
+        for k, bits in zip(rows.tolist(), np.packbits(flips.reshape(len(rows), size), axis=1).view(np.int64), strict=True):
+            out[k] = bits
+    return pa.array(out, pa.list_(pa.int64()))
+
+
 def describe(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, sig) of documents and (null, count, shingle) of
+    """Rows (doc_id, n, sig, bits) of documents and (null, count, shingle) of
     shingles that occur in several sets counted together."""
+    names = ["doc_id", "n", "key", "is_doc", "bits"]
 
     def repeated(held: list, seen: set) -> pa.RecordBatch:
         h, n = np.unique(np.concatenate(held), return_counts=True)
         held.clear()
         seen.clear()
         h, n = h[n > 1], n[n > 1]
-        return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.array(n.astype(np.int64)), _i64(h), pa.array(np.zeros(len(h), bool))], ["doc_id", "n", "key", "is_doc"])
+        return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.array(n.astype(np.int64)), _i64(h), pa.array(np.zeros(len(h), bool)), pa.nulls(len(h), pa.list_(pa.int64()))], names)
 
     def run(batches):
         held, seen = [], set()
@@ -145,11 +168,11 @@ def describe(docs: DataFrame) -> DataFrame:
             held.append(s.hash[one[s.own]])
             if sum(map(len, held)) > COUNTED:
                 yield repeated(held, seen)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.n.astype(np.int64)), _i64(s.signature), pa.array(np.ones(s.rows, bool))], ["doc_id", "n", "key", "is_doc"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.n.astype(np.int64)), _i64(s.signature), pa.array(np.ones(s.rows, bool)), pack_bits(s)], names)
         if held:
             yield repeated(held, seen)
 
-    return docs.mapInArrow(run, "doc_id long, n long, key long, is_doc boolean")
+    return docs.mapInArrow(run, "doc_id long, n long, key long, is_doc boolean, bits array<long>")
 
 
 def prefix_rows(docs: DataFrame, summary) -> DataFrame:
@@ -200,23 +223,12 @@ def sets_of(docs: DataFrame) -> DataFrame:
 
 
 def bitmaps_of(docs: DataFrame, wide_from: int = WIDE_FROM) -> DataFrame:
-    """``sig, bits``: parity bitmaps. Every shingle flips one bit, so two bitmaps
-    differ in at most as many bits as the sets have shingles not in common."""
-
-    def pack(s: Shingles, rows: np.ndarray, size: int) -> list[np.ndarray]:
-        at = np.full(s.rows, -1)
-        at[rows] = np.arange(len(rows))
-        mine = np.flatnonzero(at[s.own] >= 0)
-        bit = (mix(s.hash[mine] ^ np.uint64(0x5EED)) % np.uint64(size)).astype(np.int64)
-        flips = np.bincount(at[s.own[mine]] * size + bit, minlength=len(rows) * size) & 1
-        return list(np.packbits(flips.astype(np.uint8).reshape(len(rows), size), axis=1).view(np.int64))
+    """``sig, bits`` of every row."""
 
     def run(batches):
         for batch in _chunks(batches, 1):
             s = Shingles(batch.column(1))
-            wide = s.n >= wide_from
-            small, large = np.flatnonzero(~wide), np.flatnonzero(wide)
-            yield pa.RecordBatch.from_arrays([_i64(s.signature[np.concatenate([small, large])]), pa.array(pack(s, small, BITS) + pack(s, large, WIDE_BITS), pa.list_(pa.int64()))], ["sig", "bits"])
+            yield pa.RecordBatch.from_arrays([_i64(s.signature), pack_bits(s, wide_from)], ["sig", "bits"])
 
     return docs.mapInArrow(run, "sig long, bits array<long>")
 
@@ -238,22 +250,25 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return materialize(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, first: DataFrame) -> DataFrame:
     """The linked ones of ``pairs`` (a, b: node ids) as edges (a, b).
 
-    Bitmaps of 256 bytes a node (4 KB for large sets) rule out most pairs that cannot link; whole
-    sets travel for the rest only. Both are made again from the texts.
+    Bitmaps of 256 bytes a node (4 KB for large sets), written with the first
+    pass, rule out most pairs that cannot link; whole sets travel for the rest
+    only. They are made from the texts, which are not shuffled.
     """
     pairs = materialize(pairs, "pairs")
-    maps = bitmaps_of(join_ids(docs, _ends(pairs), "doc_id")).join(nodes.select("sig", "node", "n"), "sig").dropDuplicates(["node", "sig"]).select("node", "n", "bits")
-    maps = materialize(maps, "bitmaps")
+    rows = first.filter("is_doc").select("doc_id", F.col("key").alias("sig"), "n", "bits")
+    maps = join_ids(rows, _ends(pairs), "doc_id").withColumnRenamed("doc_id", "node").join(nodes.select("node", "sig"), ["node", "sig"], "left_semi")
+    maps = materialize(maps.dropDuplicates(["node", "sig"]).drop("sig"), "bitmaps")
     both = pairs.join(maps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a").join(maps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
     apart = _apart(F.col("x"), F.col("y"))
     total = F.col("na") + F.col("nb")
     # 2 * intersection <= total - apart, and a link needs 180 * intersection >= 80 * total
     hopeful = materialize(both.filter(F.lit(100 + PERCENT) * (total - apart) >= F.lit(2 * PERCENT) * total).select("a", "b").distinct(), "hopeful")
-    sets = sets_of(join_ids(docs, _ends(hopeful), "doc_id")).dropDuplicates(["sig"])
-    sets = materialize(sets.join(nodes.select("sig", "node"), "sig").select("node", "s"), "sets")
+    ends = _ends(hopeful)
+    named = join_ids(nodes.select(F.col("node").alias("doc_id"), "sig"), ends, "doc_id").select("sig", F.col("doc_id").alias("node"))
+    sets = materialize(sets_of(may_hold(docs, ends, "doc_id")).join(named, "sig").select("node", "s"), "sets")
     both = hopeful.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     linked = both.filter(F.lit(100) * shared >= F.lit(PERCENT) * (F.size("sa") + F.size("sb") - shared))
@@ -266,6 +281,58 @@ def _sized(pairs: DataFrame) -> DataFrame:
     return pairs.filter(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def spread(rows: DataFrame, keyed: DataFrame, total: int) -> DataFrame:
+    """``rows`` (h, ...) joined with ``keyed`` (h, c, ...: c rows have that h).
+
+    Shingles with many rows are few, at most HOT_KEYS by the sum of c, and are
+    broadcast; no task gets all rows of one.
+    """
+    bound = max(LEAST_HOT, total // HOT_KEYS)
+    hot, cold = keyed.filter(F.col("c") > bound), keyed.filter(F.col("c") <= bound)
+    rest = rows.join(F.broadcast(hot.select("h")), "h", "left_anti")
+    return rows.join(F.broadcast(hot), "h").unionByName(rest.join(cold, "h"))
+
+
+def _blocks(rows: DataFrame, size: Column, node: str) -> DataFrame:
+    """Adds ``i``, the block of a row, and ``k``, the number of blocks of about
+    BLOCK rows that its key has."""
+    return rows.withColumn("k", F.greatest(F.ceil(size / BLOCK), F.lit(1)).cast("int")).withColumn("i", F.pmod(F.xxhash64(node), F.col("k")).cast("int"))
+
+
+def rest_pairs(postings: DataFrame, members: DataFrame, total: int) -> DataFrame:
+    """Pairs (a, na, b, nb) of nodes that are in different parts, and in one
+    group or in two groups that share a prefix shingle and pass the size and
+    position filters.
+
+    Pairs of groups are found first and expanded then. Both the groups of a
+    shingle and the nodes of a group meet block by block.
+    """
+    groups = materialize(members.groupBy("g").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size")), "group-parts")
+    held = postings.join(groups.select("g", "lo", "hi"), "g")
+    torn = held.groupBy("h").agg(F.count("*").alias("c"), F.min("lo").alias("first"), F.max("hi").alias("final")).filter("first <> final").select("h", "c")
+    held = materialize(_blocks(spread(held, materialize(torn, "torn"), total), F.col("c"), "g"), "held")
+    # every two blocks of a shingle meet once, in the piece (lesser, greater)
+    pieces = held.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("h", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "g", "n", "pos", "lo", "hi", "i")
+    x, y = (pieces.select("h", "p", "q", *(F.col(c).alias(f"{c}{k}") for c in ("g", "n", "pos", "lo", "hi", "i"))) for k in (1, 2))
+    both = x.join(y, ["h", "p", "q"]).filter("g1 < g2 and (p = q or i1 <> i2) and not (lo1 = hi1 and lo2 = hi2 and lo1 = lo2)")
+    low, high = F.least("n1", "n2"), F.greatest("n1", "n2")
+    near = F.lit(100) * low >= F.lit(PERCENT) * high
+    # what the shingle and all after it can give at most
+    most = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2")) + 1
+    indexed = ((F.col("n1") == low) & (F.col("pos1") <= index_length(F.col("n1")))) | ((F.col("n2") == low) & (F.col("pos2") <= index_length(F.col("n2"))))
+    across = both.filter(near & indexed & (F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * (F.col("n1") + F.col("n2")))).select("g1", "g2")
+    pairs = across.unionAll(groups.filter("lo <> hi").select(F.col("g").alias("g1"), F.col("g").alias("g2"))).distinct()
+
+    sizes = groups.select("g", F.greatest(F.ceil(F.col("size") / BLOCK), F.lit(1)).cast("int").alias("k"))
+    for c in ("1", "2"):
+        pairs = pairs.join(sizes.select(F.col("g").alias(f"g{c}"), F.col("k").alias(f"k{c}")), f"g{c}")
+    pairs = pairs.withColumn("i1", F.explode(F.sequence(F.lit(0), F.col("k1") - 1))).withColumn("i2", F.explode(F.sequence(F.lit(0), F.col("k2") - 1)))
+    listed = _blocks(members.join(groups.select("g", "size"), "g"), F.col("size"), "node")
+    for c, node in (("1", "a"), ("2", "b")):
+        pairs = pairs.join(listed.select(F.col("g").alias(f"g{c}"), F.col("i").alias(f"i{c}"), F.col("node").alias(node), F.col("n").alias(f"n{node}"), F.col("part").alias(f"p{node}")), [f"g{c}", f"i{c}"])
+    return pairs.filter("pa <> pb and (g1 <> g2 or a < b)").select("a", "na", "b", "nb")
+
+
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
@@ -282,7 +349,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keys = materialize(keys.filter("is_doc or lo <> hi"), "keys")
     nodes = keys.filter("is_doc").select(F.col("key").alias("sig"), F.col("lo").alias("node"), "n", "g")
     shared = keys.filter("not is_doc").select(F.col("key").alias("h"), "lo", "hi", "c")
-    leaders = nodes.groupBy("g").agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.min("n").alias("n"))
+    leaders = materialize(nodes.groupBy("g").agg(F.min("node").alias("leader"), F.max("node").alias("last"), F.min("n").alias("n")), "leaders")
 
     many = shared.filter("c > 2").select("h")
     if many.count() <= BROADCAST_SHINGLES:
@@ -291,29 +358,19 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     else:
         postings = postings_of(whole, summary, sc.broadcast(None)).join(many, "h", "left_semi")
     postings = materialize(postings.groupBy("h", "g", "n", "pos").agg(F.lit(1).alias("one")).drop("one"), "postings")
+    total = postings.count()
+    postings = materialize(postings.join(postings.groupBy("g").agg(F.count("*").alias("w")), "g").join(leaders.select("g", "leader"), "g"), "led-postings")
 
-    central = postings.join(postings.groupBy("g").agg(F.count("*").alias("w")), "g").groupBy("h").agg(F.max(F.struct("w", "g")).alias("top")).select("h", F.col("top.g").alias("g1"))
-    groups = shared.filter("c = 2").select(F.col("lo").alias("g1"), F.col("hi").alias("g2")).unionAll(postings.select("h", "g").join(central, "h").select("g1", F.col("g").alias("g2"))).filter("g1 <> g2").distinct()
-    one, two = (leaders.select(F.col("g").alias(f"g{k}"), F.col("leader").alias(x), F.col("n").alias(f"n{x}")) for k, x in ((1, "a"), (2, "b")))
+    central = materialize(postings.groupBy("h").agg(F.count("*").alias("c"), F.max(F.struct("w", "g", "leader", "n")).alias("top")), "central")
+    stars = spread(postings, central, total).filter("g <> top.g").select(F.col("top.leader").alias("a"), F.col("top.n").cast("long").alias("na"), F.col("leader").alias("b"), F.col("n").cast("long").alias("nb"))
+    one, two = (leaders.select(F.col("g").alias(g), F.col("leader").alias(x), F.col("n").alias(f"n{x}")) for g, x in (("lo", "a"), ("hi", "b")))
+    twos = shared.filter("c = 2").select("lo", "hi").distinct().join(one, "lo").join(two, "hi").select("a", "na", "b", "nb")
     inside = nodes.join(leaders.filter("leader <> last").select("g", "leader"), "g").select(F.col("leader").alias("a"), F.col("n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    star = _sized(groups.join(one, "g1").join(two, "g2").select("a", "na", "b", "nb").unionAll(inside))
-    links = verify(star, whole, nodes)
+    links = verify(_sized(stars.unionAll(twos).unionAll(inside)), whole, nodes, first)
     parts = materialize(connected_components(links), "parts")
 
-    located = nodes.join(parts, "node", "left").select("node", "n", "g", F.coalesce("component", "node").alias("part"))
-    members = materialize(located, "members")
-    split = members.groupBy("g").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("g")
-    own = members.join(split, "g")
-    within = own.select("g", F.col("node").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")).join(own.select("g", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb")), "g").filter("a < b and pa <> pb")
-    held = postings.join(members.select("g", "node", "part"), "g")
-    torn = held.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi").select("h")
-    held = held.join(torn, "h")
-    x = held.filter(F.col("pos") <= index_length(F.col("n"))).select("h", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("part").alias("pa"))
-    y = held.select("h", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("part").alias("pb"))
-    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + 1
-    across = x.join(y, (x["h"] == y["h"]) & (F.col("pa") != F.col("pb")) & (F.col("na") <= F.col("nb")) & (F.lit(100) * F.col("na") >= F.lit(PERCENT) * F.col("nb")) & (F.lit(100 + PERCENT) * most >= F.lit(PERCENT) * (F.col("na") + F.col("nb"))))
-    rest = _sized(across.select("a", "na", "b", "nb").unionAll(within.select("a", "na", "b", "nb")))
-    more = verify(rest, whole, nodes)
+    members = materialize(nodes.join(parts, "node", "left").select("node", "n", "g", F.coalesce("component", "node").alias("part")), "members")
+    more = verify(_sized(rest_pairs(postings, members, total)), whole, nodes, first)
     if more.isEmpty():
         final = parts
     else:
@@ -323,11 +380,18 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component (its smallest id), with all columns."""
-    linked = link_documents(docs, id_col, text_col)
-    gone = linked.filter("component_id <> doc_id").select("doc_id").distinct()
-    gone = materialize(gone, "copies").withColumnRenamed("doc_id", id_col)
-    return join_ids(docs, gone, id_col, "left_anti").select(*docs.columns)
+    """One document of each component (that of smallest id), with all columns.
+
+    Rows without an id come after all others (by a hash of their text, of which
+    one row stays). Rows of one id stay or go together.
+    """
+    some = F.col(id_col).isNull() & F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    named = docs.filter(~some).withColumn("_key", F.col(id_col).cast("long"))
+    unnamed = docs.filter(some).withColumn("_key", F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(F.col(text_col).cast("string")), 3)).dropDuplicates(["_key"])
+    keyed = named.unionByName(unnamed)
+    linked = link_documents(keyed, "_key", text_col)
+    gone = materialize(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("_key")).distinct(), "copies")
+    return without(keyed, gone, "_key").select(*docs.columns)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,12 +85,43 @@ def test_odd_rows_and_keep_one(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in link_documents(docs).collect())
     assert got == {(5, 3, 3): 1, (3, 3, 3): 2, (7, 1, 7): 1, (None, 3, None): 1, (8, 1, 8): 1, (9, 1, 8): 1}
-    kept = keep_one(docs)
+    more = docs.unionAll(spark.createDataFrame([(None, "a text without an id"), (None, "a text without an id"), (None, ""), (None, None)], docs.schema))
+    kept = keep_one(more.withColumn("_key", docs.doc_id)).drop("_key")
     assert kept.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "3", "7", "8", "None"]
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect() if r.doc_id != 8) == [("3", text), ("3", text), ("7", "other words here"), ("None", ""), ("None", ""), ("None", "a text without an id")]
     assert link_documents(docs.limit(0)).collect() == []
 
 
+def test_hot_shingles_and_torn_groups(spark, monkeypatch):
+    """Many texts that share most words, none alike enough to the first."""
+    monkeypatch.setattr(ngram_join, "LEAST_HOT", 3)
+    monkeypatch.setattr(ngram_join, "HOT_KEYS", 10**9)
+    monkeypatch.setattr(ngram_join, "BLOCK", 2)
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(300)]
+    frame, rows = [rnd.choice(words) for _ in range(60)], []
+    for _ in range(60):
+        cut = rnd.choice([6, 9, 12, 15])
+        rows.append(frame[:-cut] + [rnd.choice(words[:8]) for _ in range(cut)])
+    rows = [(k, " ".join(x)) for k, x in enumerate(rows)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and len({x for _, x in got.values()}) > 3
+
+
+def test_bitmaps_of_ids_lose_none(spark, monkeypatch):
+    from foliospark.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_IDS", 0)
+    rows = spark.range(-3000, 3000).withColumnRenamed("id", "k").unionAll(spark.createDataFrame([(None,)], "k long"))
+    ids = spark.range(-3000, 3000, 7).withColumnRenamed("id", "k")
+    want = set(range(-3000, 3000, 7))
+    some = {r.k for r in common.may_hold(rows, ids, "k").collect()}
+    assert want <= some and len(some) < 2 * len(want) and None not in some
+    assert {r.k for r in common.without(rows, ids, "k").collect()} == set(range(-3000, 3000)) - want | {None}
+    assert {r.k for r in common.join_ids(rows, ids, "k").collect()} == want
+    assert common.may_hold(rows, ids.limit(0), "k").count() == 0 and common.without(rows, ids.limit(0), "k").count() == 6001
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, k) for k in range(101, 160)] + [(200, 200), (300, 299)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

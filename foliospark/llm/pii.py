@@ -1,20 +1,25 @@
 """Personal data by information-theoretic sanitisation, in DataFrame functions.
 
-Base entities (e-mail, IP address, card, phone) are found by pattern. Corpus
-co-occurrence then estimates how strongly nearby terms reveal an entity:
+Base entities (e-mail, IP address, card, phone) are found by pattern. Each
+protects its value and the class that it is of (mail domain, network, area,
+issuer). Corpus co-occurrence then estimates how strongly terms reveal them:
 
     disclosure(t, e) = PMI(t; e) / IC(e),  IC(e) = -log p(e)
 
 is 1 when the term occurs with that entity only and 0 when they are
-independent. Terms beyond the threshold, seen with the entity in enough
-different surroundings (all near copies of a passage count as about one),
-are sanitised wherever they occur: base entities are generalised to their kind,
-terms are removed.
+independent. Probabilities are shares of units: texts of at most UNIT_WORDS
+words, or consecutive parts of so many. Terms beyond the threshold, seen with
+the entity in enough different surroundings (near copies count as about one),
+are sanitised wherever they occur. Base entities are generalised to their kind;
+a term to its first letters, if those reveal less than the threshold allows,
+else it is removed.
 
 Defined results: null text counts as empty and has no spans; ``sanitise`` keeps
-a null text null; repeated rows repeat; an empty table gives an empty table;
-other columns are ignored by ``find`` and kept by ``sanitise``. Offsets are
-code points, ends exclusive.
+a null text null; repeated rows repeat, and count as one unit each text and id;
+spans that begin together are ordered by kind; very long texts are scanned
+whole, and counted unit by unit; an empty table gives an empty table; other
+columns are ignored by ``find`` and kept by ``sanitise``. Offsets are code
+points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -22,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import BROADCAST_IDS, materialize, table, text_or_empty
+from foliospark.functions.jsonx import let
+from foliospark.llm.common import BROADCAST_IDS, materialize, may_hold, table, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns with possessive quantifiers, and with a start only
@@ -35,28 +41,45 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": ""}
-#: Words looked at on each side of an entity, and the shortest that is a term.
-REACH, LEAST_LETTERS = 5, 4
+PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
+#: Words of a unit in which terms and entities occur together; least letters of
+#: a term (in scripts without spaces, WIDE_LETTERS), and of its general form.
+UNIT_WORDS, LEAST_LETTERS, WIDE_LETTERS, STEM = 512, 4, 2, 4
 #: Least disclosure, and different surroundings with one entity, of a term.
 DISCLOSURE, LEAST_CONTEXTS = 0.8, 3
 WORD = r"[\p{L}\p{N}_]+"
+TERM = rf"^(?:\p{{L}}{{{LEAST_LETTERS},}}|[\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}\p{{IsHangul}}\p{{IsThai}}]{{{WIDE_LETTERS},}})$"
+#: Pieces that a fold goes over at a time, so that it stays linear.
+FOLD = 512
 
 
 def _located(text: Column, pattern: str | Column, keep=lambda value: F.lit(True)) -> Column:
-    """Matches of ``pattern`` as an array of (start, end, value)."""
+    """Matches of ``pattern`` as an array of (start, end, value).
+
+    One pass of the pattern puts marks around the matches; a split at the marks
+    gives gaps and matches in turn, whose lengths add up to positions.
+    """
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    matches, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found"))
+    parts = F.split(F.regexp_replace(F.translate(text, "\x01", "\x02"), pattern, F.lit("\x01$0\x01")), "\x01", -1)
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")))
-        return F.struct(end.alias("at"), F.when(keep(x["value"]), F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
+    def of_blocks(blocks: Column) -> Column:
+        sizes = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + F.length(x)))
+        return let(F.aggregate(sizes, F.array(F.lit(0)), lambda at, n: F.concat(at, F.array(F.element_at(at, -1) + n))), lambda first: F.flatten(F.transform(blocks, lambda b, k: of_block(b, F.get(first, k)))))
+
+    def of_block(block: Column, first: Column) -> Column:
+        # a block has an even number of pieces, so its matches are the odd ones
+        zero = F.struct(first.alias("at"), F.lit(False).alias("odd"), none.alias("found"))
 
-    pairs = F.transform(matches, lambda m, k: F.struct(F.get(gaps, k).alias("gap"), m.alias("value")))
-    return F.aggregate(pairs, zero, step, lambda acc: acc["found"])
+        def step(acc: Column, x: Column) -> Column:
+            end = acc["at"] + F.length(x)
+            one = F.array(F.struct(acc["at"].alias("start"), end.alias("end"), x.alias("value")))
+            return F.struct(end.alias("at"), (~acc["odd"]).alias("odd"), F.when(acc["odd"] & keep(x), F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
+
+        return F.aggregate(block, zero, step, lambda acc: acc["found"])
+
+    blocks = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / FOLD).cast("int")), lambda k: F.slice(p, k * FOLD + 1, F.lit(FOLD)))
+    return let(parts, lambda p: F.when(F.size(p) > 1, let(blocks(p), of_blocks)).otherwise(none))
 
 
 def _digits(value: Column) -> Column:
@@ -99,76 +122,137 @@ def with_spans(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _terms(text: Column) -> Column:
-    return F.filter(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: (F.length(w) >= LEAST_LETTERS) & w.rlike(r"^\p{L}+$"))
+    """Terms of a text in order; words of base entities are none."""
+    plain = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, PATTERNS["email"], " ")).otherwise(text)
+    return F.filter(F.regexp_extract_all(F.lower(plain), F.lit(WORD), F.lit(0)), lambda w: w.rlike(TERM))
+
+
+def _units(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(rf"(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{1,{UNIT_WORDS}}}+"), F.lit(0))
+
+
+def _protected(spans: str) -> Column:
+    """Hashes of what the spans protect: each value and its class."""
+    def of(x: Column) -> Column:
+        value = F.lower(x["value"])
+        digits = _digits(value)
+        general = F.when(x["kind"] == "email", F.substring_index(value, "@", -1)).when(x["kind"] == "ip", F.substring_index(value, ".", 3)).when(x["kind"] == "phone", F.substring(digits, 1, 4)).otherwise(F.substring(digits, 1, 6))
+        return F.array(F.xxhash64(x["kind"], F.lit("value"), value), F.xxhash64(x["kind"], F.lit("class"), general))
+
+    return F.array_distinct(F.flatten(F.transform(spans, of)))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_t")).withColumn("_h", F.xxhash64("_id", "_t"))
+
 
+def base_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``_id, _h, _base`` for every row, written: texts are scanned once."""
+    return materialize(with_spans(_rows(docs, id_col, text_col), "_t").select("_id", "_h", "_base"), "pii-base")
 
-def _supported(contexts: DataFrame) -> DataFrame:
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS // 4 else df
+
+
+def entity_units(docs: DataFrame, base: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``x, e, words``: units with an entity that occurs in enough rows, and
+    their terms in order."""
+    found = base.filter(F.size("_base") > 0).dropDuplicates(["_h"]).select("_h", F.explode(_protected("_base")).alias("e"))
+    often = materialize(found.groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= LEAST_CONTEXTS).select("e"), "pii-often")
+    wanted = materialize(found.join(_small(often), "e", "left_semi").select("_h").distinct(), "pii-wanted")
+    # a text whose hash is wanted by chance has entities of its own, or none
+    texts = may_hold(_rows(docs, id_col, text_col), wanted, "_h").dropDuplicates(["_h"])
+    units = texts.select("_h", F.posexplode(_units(F.col("_t"))).alias("k", "s")).select(F.xxhash64("_h", "k").alias("x"), "s")
+    named = with_spans(units, "s").filter(F.size("_base") > 0).select("x", F.explode(_protected("_base")).alias("e"), _terms(F.col("s")).alias("words"))
+    return materialize(named.join(_small(often), "e", "left_semi"), "pii-units")
+
+
+def supported(units: DataFrame) -> DataFrame:
     """``e, term, n_te``: pairs seen in LEAST_CONTEXTS different surroundings.
 
-    A surrounding counts 1 / m if half of its word pairs are in m or more
-    surroundings of the entity with the term: m near copies count as about one,
-    and neither they nor a full vocabulary lessen what others count.
-    """
-    least = F.count("*") >= LEAST_CONTEXTS
-    # what is in fewer surroundings than needed, copies or not, goes first
-    often = contexts.join(contexts.groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= LEAST_CONTEXTS).select("e"), "e", "left_semi")
-    each = often.select("e", F.xxhash64("before", "after").alias("x"), "n", F.concat(F.reverse("before"), F.array(F.lit("")), F.col("after")).alias("s"), F.explode(F.array_distinct(F.concat("before", "after"))).alias("term"))
-    beside = each.groupBy("e", "term").agg(F.sum("n").alias("n_te"), least.alias("enough")).filter("enough").drop("enough")
-    rest = F.filter("s", lambda w: w != F.col("term"))
-    two = F.transform(F.sequence(F.lit(1), F.greatest(F.size("r") - 1, F.lit(1))), lambda k: F.xxhash64(F.get("r", k - 1), F.get("r", k)))
-    shingles = each.drop("n").join(beside.select("e", "term"), ["e", "term"], "left_semi").select("e", "term", "x", rest.alias("r")).select("e", "term", "x", F.explode(F.array_distinct(two)).alias("g"))
-    shingles = materialize(shingles, "pii-shingles")
-    shared = shingles.groupBy("e", "term", "g").agg(F.count("*").alias("m"))
-    counts = shingles.join(shared, ["e", "term", "g"]).groupBy("e", "term", "x").agg(F.sort_array(F.collect_list("m")).alias("m"))
-    weight = 1 / F.get("m", F.floor((F.size("m") - 1) / 2).cast("int"))
-    support = counts.groupBy("e", "term").agg(F.sum(weight).alias("support")).filter(F.col("support") >= LEAST_CONTEXTS - 1e-9)
-    return beside.join(support.select("e", "term"), ["e", "term"])
-
-
-def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``term, disclosure``: the terms to be removed.
-
-    Only words beside an entity are shuffled at first. The words of all
-    documents are counted for the candidates alone, once per document.
+    That many pairs of neighbours of the term must differ, and that many units:
+    a unit counts 1 / m if half of its runs of three terms are in m or more units
+    of the entity, so m near copies count as about one, and neither they nor a
+    full vocabulary lessen what others count.
     """
-    texts = docs.select(text_or_empty(text_col).alias("t"))
-    cut = 24 * REACH
-    near = with_spans(texts, "t").filter(F.size("_base") > 0).select("t", F.explode("_base").alias("x")).select(
-        F.xxhash64("x.kind", F.lower("x.value")).alias("e"),
-        F.slice(F.reverse(_terms(F.substring("t", F.greatest(F.col("x.start") - cut, F.lit(0)) + 1, F.least(F.col("x.start"), F.lit(cut))))), 1, REACH).alias("before"),
-        F.slice(_terms(F.substring("t", F.col("x.end") + 1, F.lit(cut))), 1, REACH).alias("after"),
-    )
-    contexts = near.groupBy("e", "before", "after").agg(F.count("*").alias("n"))
-    pairs = materialize(_supported(contexts), "pii-pairs")
-    empty = docs.sparkSession.createDataFrame([], "term string, disclosure double")
-    if pairs.isEmpty():
-        return empty
-    total = docs.count()
-    entities = materialize(contexts.join(pairs.select("e").distinct(), "e", "left_semi").groupBy("e").agg(F.sum("n").alias("n_e")), "pii-entities")
-    candidates = materialize(pairs.select("term").distinct(), "pii-candidates")
-    small = candidates.count() <= BROADCAST_IDS // 4
-    words = texts.select(F.explode(F.array_distinct(_terms(F.col("t")))).alias("term"))
-    counts = words.join(F.broadcast(candidates) if small else candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    least = lambda c: F.col(c) >= LEAST_CONTEXTS
+    terms = units.select("e", "x", F.explode(F.array_distinct("words")).alias("term"))
+    counted = terms.groupBy("e", "term").agg(F.count("*").alias("n_te")).filter(least("n_te"))
+    beside = F.transform("words", lambda w, k: F.struct(w.alias("term"), F.xxhash64(F.get("words", k - 1), F.get("words", k + 1)).alias("c")))
+    spots = units.select("e", F.explode(F.array_distinct(beside)).alias("s")).select("e", "s.term", "s.c").distinct()
+    varied = spots.groupBy("e", "term").agg(F.count("*").alias("n")).filter(least("n"))
+    pairs = materialize(counted.join(varied.select("e", "term"), ["e", "term"]), "pii-counted")
+    some = units.join(_small(materialize(pairs.select("e").distinct(), "pii-seen")), "e", "left_semi")
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))), lambda k: F.xxhash64(F.get("words", k), F.get("words", k + 1), F.get("words", k + 2)))
+    grams = materialize(some.select("e", "x", F.explode(F.array_distinct(runs)).alias("g")), "pii-grams")
+    shared = grams.groupBy("e", "g").agg(F.count("*").alias("m"))
+    often = grams.join(shared, ["e", "g"]).groupBy("e", "x").agg(F.sort_array(F.collect_list("m")).alias("m"))
+    weights = often.select("e", "x", (1 / F.get("m", F.floor((F.size("m") - 1) / 2).cast("int"))).alias("weight"))
+    support = terms.join(pairs.select("e", "term"), ["e", "term"]).join(weights, ["e", "x"]).groupBy("e", "term").agg(F.sum("weight").alias("support"))
+    return pairs.join(support.filter(F.col("support") >= LEAST_CONTEXTS - 1e-9).select("e", "term"), ["e", "term"])
+
+
+def _valued(pairs: DataFrame, units: DataFrame, texts: DataFrame, form) -> DataFrame:
+    """``term, disclosure`` (the largest over entities) of pairs ``e, term,
+    n_te``; ``form`` makes the terms that count out of a unit's words."""
+    candidates = _small(materialize(pairs.select("term").distinct(), "pii-candidates"))
+    every = texts.select(F.explode(_units(F.col("_t"))).alias("s"))
+    n_t = every.select(F.explode(F.array_distinct(form(_terms(F.col("s"))))).alias("term")).join(candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    n_e = units.groupBy("e").agg(F.count("*").alias("n_e"))
+    # units of all texts: whole words by UNIT_WORDS
+    total = texts.agg(F.sum(F.ceil(F.regexp_count("_t", F.lit(r"[^\x20\x09-\x0D]+")) / UNIT_WORDS)).alias("n")).first()["n"] or 0
     n = F.lit(float(max(total, 2)))
     p = lambda c: F.least(F.col(c) / n, F.lit(1 - 1e-9))
     value = F.log(p("n_te") / (p("n_t") * p("n_e"))) / -F.log(p("n_e"))
-    scored = pairs.join(entities, "e").join(counts, "term").withColumn("n_te", F.least("n_te", "n_t", "n_e")).groupBy("term").agg(F.max(value).alias("disclosure"))
-    return materialize(scored.filter(F.col("disclosure") >= DISCLOSURE), "pii-terms")
+    return pairs.join(n_e, "e").join(n_t, "term").groupBy("term").agg(F.max(value).alias("disclosure"))
+
+
+def disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``term, disclosure`` of all terms with enough support, with the pairs and
+    units they come from. Each text of an id counts once."""
+    base = base_table(docs, id_col, text_col) if base is None else base
+    units = entity_units(docs, base, id_col, text_col)
+    pairs = materialize(supported(units), "pii-pairs")
+    if pairs.isEmpty():
+        return docs.sparkSession.createDataFrame([], "term string, disclosure double"), pairs, units
+    texts = _rows(docs, id_col, text_col).dropDuplicates(["_h"])
+    return materialize(_valued(pairs, units, texts, lambda words: words), "pii-disclosures"), pairs, units
+
+
+def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: DataFrame | None = None) -> DataFrame:
+    """``term, disclosure, shown``: the terms to be sanitised, and the general
+    form that takes a term's place ('' if that reveals too much as well)."""
+    values, pairs, units = disclosures(docs, id_col, text_col, base)
+    high = materialize(values.filter(F.col("disclosure") >= DISCLOSURE), "pii-high")
+    if high.isEmpty():
+        return high.withColumn("shown", F.lit(""))
+    stems = lambda words: F.transform(F.filter(words, lambda w: F.length(w) > STEM), lambda w: F.substring(w, 1, STEM))
+    long = high.filter(F.length("term") > STEM).withColumn("stem", F.substring("term", 1, STEM))
+    asked = pairs.join(long.select("term", "stem"), "term").select("e", F.col("stem").alias("term")).distinct()
+    seen = units.select("e", "x", F.explode(F.array_distinct(stems(F.col("words")))).alias("term"))
+    counted = materialize(seen.join(asked, ["e", "term"]).groupBy("e", "term").agg(F.count("*").alias("n_te")), "pii-stems")
+    general = _valued(counted, units, _rows(docs, id_col, text_col).dropDuplicates(["_h"]), stems).select(F.col("term").alias("stem"), F.col("disclosure").alias("_general"))
+    ladder = long.join(general, "stem", "left").filter(F.col("_general") < DISCLOSURE).select("term", F.concat("stem", F.lit("*")).alias("shown"))
+    return materialize(high.join(ladder, "term", "left").select("term", "disclosure", F.coalesce("shown", F.lit("")).alias("shown")), "pii-terms")
 
 
 def with_all_spans(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Adds ``_base`` and ``_all`` (base and term spans)."""
+    """Adds ``_base`` and ``_all`` (base and term spans, with ``shown``)."""
     based = with_spans(docs, text_col)
+    shown_of = F.create_map(*(F.lit(x) for pair in PLACEHOLDERS.items() for x in pair))
+    named = F.transform("_base", lambda x: F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind"), F.element_at(shown_of, x["kind"]).alias("shown")))
     if terms.isEmpty():
-        return based.withColumn("_all", F.col("_base"))
-    small = terms.count() <= BROADCAST_IDS // 4
-    words = docs.select(F.col(id_col).alias("_id"), F.explode(F.array_distinct(_terms(F.col(text_col)))).alias("term"))
-    listed = materialize(words.join((F.broadcast(terms) if small else terms).select("term"), "term").groupBy("_id").agg(F.collect_set("term").alias("_terms")), "pii-listed")
-    marked = based.join(F.broadcast(listed) if listed.count() <= BROADCAST_IDS // 40 else listed, based[id_col].eqNullSafe(listed["_id"]), "left").drop("_id")
+        return based.withColumn("_all", named)
+    keyed = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("_row"), F.col(text_col).alias("_text"))
+    words = keyed.select("_row", F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term"))
+    listed = words.join(_small(terms).select("term", "shown"), "term").groupBy("_row").agg(F.map_from_entries(F.collect_set(F.struct("term", "shown"))).alias("_terms"))
+    listed = materialize(listed, "pii-listed")
+    marked = based.withColumn("_row", F.xxhash64(F.col(id_col), F.col(text_col))).join(F.broadcast(listed) if listed.count() <= BROADCAST_IDS // 40 else listed, "_row", "left").drop("_row")
     # terms are letters only, so they need no escape; only they are located
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_])(?:"), F.array_join("_terms", "|"), F.lit(r")(?![\p{L}\p{N}_])"))
-    located = F.transform(_located(F.col(text_col), pattern), lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), x["end"].alias("end"), F.lit("term").alias("kind"), x["value"].alias("value")))
-    return marked.withColumn("_all", F.when(F.col("_terms").isNotNull(), F.array_sort(F.concat("_base", located))).otherwise(F.col("_base"))).drop("_terms")
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_])(?:"), F.array_join(F.map_keys("_terms"), "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    located = F.transform(_located(F.col(text_col), pattern), lambda x: F.struct(x["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), x["end"].alias("end"), F.lit("term").alias("kind"), F.coalesce(F.element_at("_terms", F.lower(x["value"])), F.lit("")).alias("shown")))
+    return marked.withColumn("_all", F.when(F.col("_terms").isNotNull(), F.array_sort(F.concat(named, located))).otherwise(named)).drop("_terms")
 
 
 def _joined(spans: str) -> Column:
@@ -177,35 +261,40 @@ def _joined(spans: str) -> Column:
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term``."""
-    terms = revealing_terms(docs, id_col, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("t"))
-    found = with_all_spans(rows, terms, "doc_id", "t")
+    base = base_table(docs, id_col, text_col)
+    terms = revealing_terms(docs, id_col, text_col, base)
+    if terms.isEmpty():
+        found = base.select(F.col("_id").cast("long").alias("doc_id"), "_base", F.col("_base").alias("_all"))
+    else:
+        rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_t"))
+        found = with_all_spans(rows, terms, "_id", "_t").withColumn("doc_id", F.col("_id").cast("long"))
     count = lambda spans, kind: F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
     return found.select("doc_id", *(count("_base", k).alias(f"n_{k}") for k in KINDS), F.sha2(_joined("_base"), 256).alias("base_sha256"), _joined("_all").alias("spans"), count("_all", "term").alias("n_term"))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with spans of ``text_col`` replaced by their kind; terms go.
+    """``docs`` with spans of ``text_col`` generalised or removed.
 
     Of overlapping spans the first decides and covers the others.
     """
     terms = revealing_terms(docs, id_col, text_col)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_key"), text_or_empty(text_col).alias("_t"))
-    found = with_all_spans(rows, terms, "_key", "_t")
-    text = F.col("_t")
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_t"))
+    found = with_all_spans(rows, terms, "_id", "_t")
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,to:int,shown:string>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        shown = F.lit("")
-        for kind, mark in PLACEHOLDERS.items():
-            shown = F.when(x["kind"] == kind, F.lit(mark)).otherwise(shown)
+        one = F.array(F.struct(acc["at"].alias("from"), x["start"].alias("to"), x["shown"].alias("shown")))
         inside = x["start"] < acc["at"]
-        grown = F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0))), shown)
-        return F.struct(F.greatest(x["end"], acc["at"]).alias("at"), F.when(inside, acc["out"]).otherwise(grown).alias("out"))
+        return F.struct(F.greatest(x["end"], acc["at"]).alias("at"), F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], one)).alias("out"))
+
+    def rebuilt(folded: Column) -> Column:
+        text = F.col("_t")
+        pieces = F.transform(folded["out"], lambda p: F.concat(F.substring(text, p["from"] + 1, p["to"] - p["from"]), p["shown"]))
+        return F.concat(F.array_join(pieces, ""), F.substring(text, folded["at"] + 1, F.length(text)))
 
-    clean = F.aggregate("_all", zero, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    changed = F.when(F.size("_all") > 0, clean).otherwise(F.col("_row")[text_col])
-    return found.select(*((changed if c == text_col else F.col("_row")[c]).alias(c) for c in docs.columns))
+    clean = let(F.aggregate("_all", zero, step), rebuilt)
+    changed = F.when(F.size("_all") > 0, clean).otherwise(F.col("_doc")[text_col])
+    return found.select(*((changed if c == text_col else F.col("_doc")[c]).alias(c) for c in docs.columns))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

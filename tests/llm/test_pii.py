@@ -1,8 +1,11 @@
+import collections
 import hashlib
+import math
 import random
 import re
 
-from foliospark.llm.pii import find, revealing_terms, sanitise
+from foliospark.llm import pii
+from foliospark.llm.pii import disclosures, find, revealing_terms, sanitise
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -81,3 +84,72 @@ def test_sanitise_keeps_columns_and_odd_rows(spark):
     assert got.columns == docs.columns
     assert sorted((str(r.doc_id), r.text, r["_t"]) for r in got.collect() if r.text is not None) == [("1", "[EMAIL] x", 7), ("2", "", 9), ("None", "[IP]", 10)]
     assert sanitise(docs.limit(0)).collect() == [] and find(docs.limit(0)).collect() == []
+
+
+def brute_disclosures(rows):
+    """Disclosure of every supported term, by loops over units."""
+    general = {"email": lambda v: v.split("@")[-1], "ip": lambda v: v.rsplit(".", 1)[0], "phone": lambda v: re.sub(r"\D", "", v)[:4], "card": lambda v: re.sub(r"\D", "", v)[:6]}
+
+    def protected(text):
+        found = {(kind, m[0].lower()) for kind, p in PATTERNS.items() for m in re.finditer(p, text) if VALID[kind](m[0])}
+        return {("value", *x) for x in found} | {("class", k, general[k](v)) for k, v in found}
+
+    def cut(text):
+        words = re.findall(r"\S+", text)
+        return [" ".join(words[k : k + pii.UNIT_WORDS]) for k in range(0, len(words), pii.UNIT_WORDS)]
+
+    def terms(text):
+        return [w for w in re.findall(r"\w+", re.sub(PATTERNS["email"], " ", text).lower()) if w.isalpha() and len(w) >= 4]
+
+    texts = {(i, t) for i, t in rows}
+    rows_of = collections.Counter(e for _, t in texts for e in protected(t))
+    units = [(protected(u), terms(u)) for _, t in texts for u in cut(t)]
+    n, n_t = max(len(units), 2), collections.Counter(w for _, ws in units for w in set(ws))
+    best = {}
+    for e in (e for e, c in rows_of.items() if c >= 3):
+        mine = [ws for es, ws in units if e in es]
+        grams = [{tuple(ws[k : k + 3]) for k in range(max(len(ws) - 2, 1))} for ws in mine]
+        m = collections.Counter(g for gs in grams for g in gs)
+        weight = [1 / sorted(m[g] for g in gs)[(len(gs) - 1) // 2] for gs in grams]
+        for t in {w for ws in mine for w in ws}:
+            spots = {(ws[k - 1] if k else None, ws[k + 1] if k + 1 < len(ws) else None) for ws in mine for k, w in enumerate(ws) if w == t}
+            n_te = sum(t in ws for ws in mine)
+            if n_te >= 3 and len(spots) >= 3 and sum(w for w, ws in zip(weight, mine, strict=True) if t in ws) >= 3 - 1e-9:
+                p_e = len(mine) / n
+                best[t] = max(best.get(t, -99), math.log((n_te / n) / (n_t[t] / n * p_e)) / -math.log(p_e))
+    return best
+
+
+def test_disclosures_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pii, "UNIT_WORDS", 12)
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 6))) for _ in range(40)]
+    rows = []
+    for k in range(150):
+        text = [rnd.choice(words) for _ in range(rnd.randint(0, 40))]
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            text.insert(rnd.randrange(len(text) + 1), rnd.choice(["boss@corp.example", "me@corp.example", "10.0.0.1", "10.0.0.7", "+44-20-1234-5678", "4041894974608795"]))
+        rows.append((k % 140, " ".join(text)))
+    rows += rows[:20]
+    want = brute_disclosures(rows)
+    got = {r.term: r.disclosure for r in disclosures(spark.createDataFrame(rows, "doc_id long, text string"))[0].collect()}
+    assert len(want) > 20 and got.keys() == want.keys()
+    assert all(abs(got[t] - want[t]) < 1e-9 for t in want)
+
+
+def test_terms_are_generalised_where_that_hides_enough(spark):
+    rnd = random.Random(11)
+    some = lambda n: " ".join("".join(rnd.choice("abcdefghijklnop") for _ in range(7)) for _ in range(n))
+    rows = [(k, f"{some(20)} Martinson {some(2)} boss@corp.example {some(5)}") for k in range(8)]
+    rows += [(100 + k, f"{some(10)} {rnd.choice(['marten', 'martial', 'martyr'])} {some(10)}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [(r.term, r.shown) for r in revealing_terms(docs).collect()] == [("martinson", "mart*")]
+    assert " mart* " in {r.doc_id: r.text for r in sanitise(docs).collect()}[3]
+
+
+def test_many_matches_and_marks(spark):
+    text = "a@b.cc \x01 1.2.3.4, " * 3000
+    rows = [(1, text), (2, "\x01a@b.cc\x01"), (3, "\x01")]
+    got = {r.doc_id: r for r in find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].spans == brute(text) and got[2].spans == "email:1:7" and got[3].spans == ""
+    assert sanitise(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id = 1").first().text == "[EMAIL] \x01 [IP], " * 3000

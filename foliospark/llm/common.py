@@ -153,6 +153,21 @@ def text_chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int,
         yield first, len(sizes)
 
 
+_WHITE = re.compile(r"\s")
+
+
+def text_parts(text: str, most: int = CHUNK_BYTES) -> Iterator[str]:
+    """A text in parts of about ``most`` characters that end before white space."""
+    at = 0
+    while len(text) - at > most:
+        cut = _WHITE.search(text, at + most)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 class WordBatch:
     """Words of some texts as arrays.
 

@@ -6,12 +6,14 @@ character) says so. Texts at small edit distance meet again after an edit, so
 edit distance becomes Hamming distance between the outputs. The fingerprint
 samples bits (four of a character's hash) of the output at fixed steps, equally
 many in every octave, so one set of steps serves texts of all lengths. Bands of
-sampled bits propose near copies, which are verified on the whole fingerprint.
+bits, sampled by the steps that they stand for, propose near copies, which are
+verified on the whole fingerprint.
 
 Defined results: null text counts as empty; empty text has the fingerprint ''
 (likeness 1 with another empty one, else 0); equal texts have equal
-fingerprints; rows of one id are ordered by text; a null id sorts first; an
-empty table gives an empty table; other columns are ignored.
+fingerprints; a very long text walks alone, whole; rows of one id are ordered by
+text; a null id sorts first; an empty table gives an empty table; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import materialize, table
+from foliospark.llm.common import materialize, small_batches, table
 from foliospark.llm.components import connected_components
 
 SEED = 424242
@@ -32,11 +34,15 @@ SEED = 424242
 FIRST_OCTAVE, SAMPLES, OCTAVES = 6, 64, 40
 #: The random bits repeat after so many steps.
 PERIOD = 8192
-#: Characters that walk side by side; a longer text walks alone.
-BATCH_CHARS = 12_000_000
-#: Buckets of consecutive documents for the successor of every document.
-MOST_BUCKETS = 4096
-BAND, THRESHOLD = 8, 0.8
+#: Characters that walk side by side (a longer text walks alone), and that are
+#: encoded at a time.
+BATCH_CHARS, SLICE = 6_000_000, 500_000
+#: Buckets of consecutive documents for the successor of every document: one for
+#: about so many characters, and at most so many.
+BUCKET_CHARS, MOST_BUCKETS = 64_000_000, 65_536
+#: Bands of a fingerprint, and samples in a band: of two prints with likeness 0.8
+#: about 1 - (1 - 0.8 ** 8) ** 24 = 0.99 share a band.
+BANDS, BAND, THRESHOLD = 24, 8, 0.8
 #: Members of a band that are paired with each other in one piece of a join.
 BLOCK = 256
 
@@ -58,6 +64,8 @@ def sampled_steps(octaves: int = OCTAVES) -> np.ndarray:
 
 
 STEPS = sampled_steps()
+#: Samples of the first steps, and of these and so many octaves.
+ENDS = np.searchsorted(STEPS, 1 << np.arange(FIRST_OCTAVE, OCTAVES + 1)).tolist()
 #: Steps that a sample stands for.
 WEIGHTS = np.where(STEPS < 1 << FIRST_OCTAVE, 1.0, 2.0 ** np.floor(np.log2(np.maximum(STEPS, 1))) / SAMPLES)
 
@@ -74,15 +82,32 @@ def fingerprints(texts: list[str]) -> list[str]:
     return out
 
 
+def _slices(texts: list[str]) -> Iterator[str]:
+    """The texts, each ended by a zero, in strings of about SLICE characters."""
+    held, size = [], 0
+    for text in texts:
+        text = text.replace("\0", " ")
+        for at in range(0, len(text), SLICE):
+            held.append(text[at : at + SLICE])
+            size += len(held[-1])
+            if size >= SLICE:
+                yield "".join(held)
+                held, size = [], 0
+        held.append("\0")
+    yield "".join(held)
+
+
 def _walk(texts: list[str]) -> list[str]:
     order = sorted((k for k, t in enumerate(texts) if t), key=lambda k: -len(texts[k]))
     if not order:
         return [""] * len(texts)
     lengths = np.array([len(texts[k]) + 1 for k in order], np.int64)
-    points = np.frombuffer("\0".join([texts[k].replace("\0", " ") for k in order] + [""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = ((points * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
-    codes = np.where(points == 0, 0, np.maximum(codes, 1)).astype(np.uint8)
-    del points
+    codes = np.empty(lengths.sum(), np.uint8)
+    filled = 0
+    for part in _slices([texts[k] for k in order]):
+        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes[filled : filled + len(points)] = np.where(points == 0, 0, np.maximum((points * np.uint32(2654435761)) >> np.uint32(24), 1))
+        filled += len(points)
     at = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     rows = np.arange(len(order))
     samples: list[tuple[np.ndarray, np.ndarray]] = []
@@ -132,21 +157,43 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints([t or "" for t in batch.column(1).to_pylist()]), pa.string())], ["doc_id", "fingerprint"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "doc_id long, fingerprint string")
 
 
+def band_places(octaves: int) -> list[list[int]]:
+    """Samples of each band for prints that reach so many octaves: drawn by the
+    steps that they stand for, as likeness counts them."""
+    rng, most = np.random.default_rng(SEED + 2 + octaves), ENDS[octaves]
+    share = WEIGHTS[:most] / WEIGHTS[:most].sum()
+    return [np.sort(rng.choice(most, BAND, replace=False, p=share)).tolist() for _ in range(BANDS)]
+
+
+def bands_of(nodes: DataFrame) -> DataFrame:
+    """``node, band`` of rows (node, fingerprint). A print whose last octave is
+    not half full also has the bands of the octaves before it, as a near copy
+    may end there."""
+    places = nodes.sparkSession.createDataFrame([(k, b, p) for k in range(len(ENDS)) for b, p in enumerate(band_places(k))], "octaves int, b int, places array<int>")
+    ends, n = F.array(*map(F.lit, ENDS)), F.length("fingerprint")
+    last = F.size(F.filter(ends, lambda e: e < n))
+    short = (last > 0) & (2 * n < F.get(ends, last) + F.get(ends, last - 1))
+    each = nodes.select("node", "fingerprint", F.explode(F.when(short, F.array(last, last - 1)).otherwise(F.array(last))).alias("octaves"))
+    bits = F.transform("places", lambda p: F.substring("fingerprint", p + 1, F.lit(1)))
+    return each.join(F.broadcast(places), "octaves").select("node", F.xxhash64("octaves", "b", F.concat_ws(",", bits)).alias("band"))
+
+
 def near_copies(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id``: documents joined by verified band matches.
 
     ``prints`` holds ``doc_id, fingerprint``. Equal fingerprints are one node.
-    A band is BAND samples of one of a print's last octaves. Every node is first
-    verified against the first node of each of its bands. Pairs of a band that
-    are still in different components are then all verified, so every pair with
-    a common band is linked if it is alike; bands with many members are split
-    into blocks of about BLOCK members, and pairs of blocks are joined.
+    Every node is first verified against the first node of each of its bands.
+    Pairs of a band that are still in different components are then all verified,
+    so every pair with a common band is linked if it is alike; bands with many
+    members are split into blocks of about BLOCK members, and pairs of blocks are
+    joined.
     """
     nodes = materialize(prints.filter("doc_id is not null and fingerprint <> ''").groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "prints")
-    bands = nodes.select("node", F.explode(F.expr(f"transform(sequence(greatest(0, length(fingerprint) div {BAND} - 24), length(fingerprint) div {BAND} - 1), i -> struct(i as band, substring(fingerprint, i * {BAND} + 1, {BAND}) as bits))")).alias("x")).filter(F.length("x.bits") == BAND).select("node", F.xxhash64("x.band", "x.bits").alias("band"))
+    bands = bands_of(nodes)
     firsts = bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("c")).filter("c > 1").select("band", "a")
     pairs = bands.join(firsts, "band").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
 
@@ -178,7 +225,7 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
     """Number of ``bounds`` (ascending) not above ``key``, by binary search."""
     if not bounds:
         return F.lit(0)
-    array, n = F.array(*(F.lit(b).cast("long") for b in bounds)), len(bounds)
+    array, n = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>"), len(bounds)  # folded into one literal
 
     def halve(acc: Column, _: Column) -> Column:
         mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
@@ -202,7 +249,8 @@ def with_successor(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = min(MOST_BUCKETS, 4 * parts)
+    chars = rows.agg(F.sum(F.length("t")).alias("n")).first()["n"] or 0
+    n = min(MOST_BUCKETS, max(4 * parts, -(-chars // BUCKET_CHARS)))
     bounds = rows.select(F.percentile_approx(key, [k / n for k in range(1, n)], 20 * n).alias("q")).first()["q"] or []
     bounds = sorted(set(bounds))
     placed = rows.withColumn("bucket", _bucket(key, bounds))
@@ -210,7 +258,7 @@ def with_successor(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ahead = spark.createDataFrame([(firsts[k - 1][0], first) for k, (_, first) in enumerate(firsts)], "bucket int, first long")
     copies = rows.join(F.broadcast(ahead), key == F.col("first")).select("bucket", F.lit(1).alias("ahead"), "doc_id", "t")
     every = placed.select("bucket", F.lit(0).alias("ahead"), "doc_id", "t").unionAll(copies)
-    return every.repartition(parts, "bucket").sortWithinPartitions("bucket", "ahead", "doc_id", "t")
+    return every.repartition(max(parts, n // 4), "bucket").sortWithinPartitions("bucket", "ahead", "doc_id", "t")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, int | None, str]]]:
@@ -253,6 +301,7 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
             )
 
+    small_batches(docs.sparkSession)
     return with_successor(docs, id_col, text_col).select("bucket", "ahead", "doc_id", "t").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 

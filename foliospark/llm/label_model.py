@@ -64,15 +64,16 @@ def _weights(votes: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarray
     return weight / weight.max()
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correlated: bool = False, start: tuple[float, float] = (0.8, 0.8), fixed_prior: bool = False, bounds: tuple[tuple[float, float], tuple[float, float]] = ((0, 1), (0, 1))) -> LabelModel:
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correlated: bool = False, start: tuple[float, float] = (0.8, 0.8), fixed_prior: bool = False, most_false: float = 1.0) -> LabelModel:
     """EM over counted patterns. It starts from voters that give class 0 and
     class 1 their votes with the two probabilities of ``start``.
 
     With ``correlated``, all voters count for less at first; then correlations
     within the classes are estimated from the posteriors and discount voters
-    that repeat each other, and EM goes on with those weights. ``bounds`` limits the share of their votes that voters
-    give to class 0, on documents of class 0 and of class 1: what is known of
-    voters that each look for one kind of fault. No pattern at all gives the
+    that repeat each other, and EM goes on with those weights. ``most_false`` is
+    the largest share of its votes that a voter may give to class 0 on documents
+    of class 1: without it, documents with one kind of fault can make up a class
+    and those with another kind fall to the rest. No pattern at all gives the
     starting model.
     """
     n_voters = votes.shape[1]
@@ -86,10 +87,10 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, correla
         if correlated and k == EM_ROUNDS * 2 // 3:
             model.weight = _weights(votes, counts, q)
         model.tables = _maximise(votes, counts, q)
-        for c, (low, high) in enumerate(bounds):
-            voting = model.tables[:, c, 1:].sum(axis=1)
-            zero = np.clip(model.tables[:, c, 1] / voting, low, high)
-            model.tables[:, c, 1], model.tables[:, c, 2] = np.maximum(voting * zero, 1e-9), np.maximum(voting * (1 - zero), 1e-9)
+        if most_false < 1:
+            voting = model.tables[:, 1, 1:].sum(axis=1)
+            zero = np.minimum(model.tables[:, 1, 1], voting * most_false)
+            model.tables[:, 1, 1], model.tables[:, 1, 2] = zero, voting - zero
         if not fixed_prior:
             model.prior = float(np.clip((counts * q).sum() / counts.sum(), 1e-3, 1 - 1e-3))
     return model

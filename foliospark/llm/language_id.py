@@ -4,36 +4,35 @@ Every language has a probability for each piece of one fixed public
 vocabulary. A word's probability under a language is the sum over all its
 segmentations into pieces, computed by the forward algorithm; a text's is the
 product over its words. Piece probabilities are learned by expectation
-maximisation (forward-backward expected counts) on a bounded training sample.
+maximisation: every round, tasks sum up the expected counts (forward-backward)
+of the words of a bounded sample of labelled documents.
 
 Defined results: null text or text without a letter gives ``und`` with score
-0; an empty table gives an empty table; rows whose id is null count as bucket
-0; repeated rows repeat; other columns of the input are ignored. With no
-labelled row at all, every prediction is ``und``.
+0; languages that are equally likely give the first by name; a very long text
+is scored in parts, as a whole; an empty table gives an empty table; rows whose
+id is null count as bucket 0; repeated rows repeat; other columns of the input
+are ignored. With no labelled row at all, every prediction is ``und``.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bucket, small_batches, table, text_chunks, unit_hash
+from foliospark.llm.common import bucket, materialize, small_batches, table, text_chunks, text_parts, unit_hash
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Bound of the training sample: about so many documents of each language,
 #: chosen by a hash of the id.
 TRAIN_DOCS = 400
-#: Of each language's sample, the most frequent words that EM sees.
-TRAIN_WORDS = 20_000
 EM_ROUNDS = 3
 #: Expected count that every piece gets in every language (smoothing).
 PRIOR = 0.05
@@ -43,7 +42,8 @@ UNKNOWN = 1e-7
 MEMO_WORDS = 600_000
 #: Words shorter than this go through the lattice together, so many at once.
 SHORT, STEP_WORDS = 32, 20_000
-LETTER = re.compile(r"[^\W\d_]")
+#: Positions after which sums over a word are scaled anew.
+STRIDE = 24
 
 
 def load_pieces(model: str) -> dict[str, int]:
@@ -62,6 +62,10 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 @dataclass
 class Lattice:
     """Forward (and backward) sums over the segmentations of single words."""
@@ -91,21 +95,27 @@ class Lattice:
         return found
 
     def forward(self, word: str, probs: np.ndarray) -> np.ndarray:
-        """Log of the summed probability under every language."""
-        n, width = len(word) + 1, probs.shape[1]
-        alpha: list[np.ndarray | None] = [None] * (n + 1)
-        alpha[0], log, at = np.ones(width), np.zeros(width), 0
-        for i, j, k in self.edges(word):
-            if i != at:
-                at = i
-                if i % 24 == 0:  # keep the numbers in range over long words
-                    top = alpha[i]
-                    log += np.log(top)
-                    for m in range(i, min(n, i + self.longest) + 1):
-                        if alpha[m] is not None:
-                            alpha[m] = alpha[m] / top
-            x = alpha[i] * (probs[k] if k >= 0 else UNKNOWN)
-            alpha[j] = x if alpha[j] is None else alpha[j] + x
+        """Log of the summed probability under every language. What is held is
+        the sums of the positions that a piece can reach from the last one."""
+        s, get = MARK + word, self.known.get
+        n, width = len(s), probs.shape[1]
+        alpha: dict[int, np.ndarray] = {0: np.ones(width)}
+        log = np.zeros(width)
+        for i in range(n):
+            here = alpha.pop(i)
+            if i % STRIDE == STRIDE - 1:  # keep the numbers in range over long words
+                log += np.log(here)
+                for m in alpha:
+                    alpha[m] = alpha[m] / here
+                here = np.ones(width)
+            if get(s[i], -1) < 0:
+                alpha[i + 1] = alpha.get(i + 1, 0) + here * UNKNOWN
+            for j in range(i + 1, n + 1):
+                k = get(s[i:j])
+                if k is None:
+                    break
+                if k >= 0:
+                    alpha[j] = alpha.get(j, 0) + here * probs[k]
         return log + np.log(alpha[n])
 
     def forward_all(self, words: list[str], probs: np.ndarray) -> np.ndarray:
@@ -146,19 +156,35 @@ class Lattice:
         return out
 
     def expected(self, word: str, weight: float, p: np.ndarray, counts: np.ndarray) -> None:
-        """Add the word's expected piece counts under one language."""
+        """Add the word's expected piece counts under one language.
+
+        Every STRIDE positions the sums so far are divided by the one that has
+        been reached; an edge across such a place has its weight divided, which
+        leaves the expected counts as they are and every number in range.
+        """
         n, edges = len(word) + 1, self.edges(word)
         alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
         alpha[0] = beta[n] = 1.0
+        weights, scale = [], {}
         for i, j, k in edges:
-            alpha[j] += alpha[i] * (p[k] if k >= 0 else UNKNOWN)
-        if not alpha[n] > 1e-280:
-            return
-        for i, j, k in reversed(edges):
-            beta[i] += beta[j] * (p[k] if k >= 0 else UNKNOWN)
-        for i, j, k in edges:
+            if i % STRIDE == 0 and i and i not in scale:
+                scale[i] = alpha[i]
+                for m in range(i, min(n, i + self.longest) + 1):
+                    alpha[m] /= scale[i]
+            w = p[k] if k >= 0 else UNKNOWN
+            alpha[j] += alpha[i] * w
+            weights.append(w)
+        if scale:
+            for e, (i, j, _) in enumerate(edges):
+                place = (i // STRIDE + 1) * STRIDE
+                while place <= j and place < n:
+                    weights[e] /= scale[place]
+                    place += STRIDE
+        for (i, j, _), w in zip(reversed(edges), reversed(weights), strict=True):
+            beta[i] += beta[j] * w
+        for (i, j, k), w in zip(edges, weights, strict=True):
             if k >= 0:
-                counts[k] += weight * alpha[i] * p[k] * beta[j] / alpha[n]
+                counts[k] += weight * alpha[i] * w * beta[j] / alpha[n]
 
 
 @dataclass
@@ -197,44 +223,35 @@ class Scorer:
             self.memo.update(zip(part, range(k, k + len(part)), strict=True))
 
     def score_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        lists = [words_of(t) if t and self.lm.langs and LETTER.search(t) else None for t in texts]
-        self.learn(set().union(*(x for x in lists if x)))
-        return [self.score(x) for x in lists]
-
-    def score(self, words: list[str] | None) -> tuple[str, float]:
-        if words is None:
-            return "und", 0.0
-        index = self.index(words)
-        total = self.lm.prior + self.rows[index].sum(axis=0)
+        """Texts as ``text_chunks`` gives them: short ones, or one long one."""
+        live = [bool(t and self.lm.langs and has_letter(t)) for t in texts]
+        sums = np.tile(self.lm.prior, (len(texts), 1))
+        if len(texts) == 1 and live[0]:
+            for part in text_parts(texts[0]):
+                words = words_of(part)
+                self.learn(set(words))
+                sums[0] += self.rows[self.index(words)].sum(axis=0)
+        else:
+            lists = [words_of(t) if ok else [] for t, ok in zip(texts, live, strict=True)]
+            self.learn(set().union(*lists))
+            for k, words in enumerate(lists):
+                sums[k] += self.rows[self.index(words)].sum(axis=0)
+        return [self.chosen(x) if ok else ("und", 0.0) for x, ok in zip(sums, live, strict=True)]
+
+    def chosen(self, total: np.ndarray) -> tuple[str, float]:
         best = int(total.argmax())
         return self.lm.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-def fit_counts(model: str, samples: dict[str, Counter], shares: dict[str, int]) -> LanguageModel:
-    """EM from word counts by language; bounded by TRAIN_WORDS a language."""
-    pieces, langs = load_pieces(model), sorted(samples)
-    lattice, size = Lattice(pieces), max(pieces.values(), default=0) + 1
-    probs = np.zeros((size, len(langs)))
-    for column, lang in enumerate(langs):
-        words = sorted(samples[lang].items(), key=lambda x: (-x[1], x[0]))[:TRAIN_WORDS]
-        p = np.full(size, 1.0 / size)
-        for _ in range(EM_ROUNDS):
-            counts = np.full(size, PRIOR)
-            plain = p.tolist()
-            for word, n in words:
-                lattice.expected(word, n, plain, counts)
-            p = counts / counts.sum()
-        probs[:, column] = p
-    total = sum(shares.values())
-    return LanguageModel(langs, probs, np.array([math.log(shares[x] / total) for x in langs]), model)
-
-
 def fit(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = TRAIN_DOCS) -> LanguageModel:
     """Learn from the labelled rows of ``docs``.
 
     The share of each language is counted over all of them; piece
-    probabilities come from about ``per_lang`` documents a language.
+    probabilities come from all words of about ``per_lang`` documents a
+    language. The driver holds a number for each piece and language.
     """
+    small_batches(docs.sparkSession)
+    sc = docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).filter("l is not null and t is not null")
     shares = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not shares:
@@ -244,18 +261,50 @@ def fit(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: s
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, Counter] = {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for lang, words in found.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words)), pa.array(list(words.values()), pa.int64())], ["l", "w", "n"])
+            found.clear()
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.setdefault(lang, Counter()).update(words_of(text))
-        for lang, words in found.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words)), pa.array(list(words)), pa.array(list(words.values()), pa.int64())], ["l", "w", "n"])
+                for part in text_parts(text):
+                    found.setdefault(lang, Counter()).update(words_of(part))
+                    if sum(map(len, found.values())) > MEMO_WORDS // 4:
+                        yield from told()
+        yield from told()
 
     totals = sample.mapInArrow(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n"))
-    samples: dict[str, Counter] = {x: Counter() for x in shares}
-    top = totals.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy(F.desc("n"), "w"))).filter(F.col("k") <= TRAIN_WORDS)
-    for lang, w, n in top.select("l", "w", "n").toPandas().itertuples(index=False):
-        samples[lang][w] = int(n)
-    return fit_counts(model, samples, shares)
+    totals = materialize(totals.repartition(sc.defaultParallelism), "lang-words")
+    langs, size = sorted(shares), max(load_pieces(model).values(), default=0) + 1
+    probs = np.full((size, len(langs)), 1.0 / size)
+    for _ in range(EM_ROUNDS):
+        counts = np.full((size, len(langs)), PRIOR)
+        for lang, piece, c in expected_counts(totals, LanguageModel(langs, probs, np.zeros(len(langs)), model)).toPandas().itertuples(index=False):
+            counts[piece, langs.index(lang)] += c
+        probs = counts / counts.sum(axis=0)
+    total = sum(shares.values())
+    return LanguageModel(langs, probs, np.array([math.log(shares[x] / total) for x in langs]), model)
+
+
+def expected_counts(totals: DataFrame, lm: LanguageModel) -> DataFrame:
+    """``l, piece, c``: expected counts of the words (l, w, n) under ``lm``; a
+    row for each piece and language at most."""
+    shared = totals.sparkSession.sparkContext.broadcast(lm)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, lattice = shared.value, Lattice(load_pieces(shared.value.model))
+        plain = {lang: model.probs[:, k].tolist() for k, lang in enumerate(model.langs)}
+        counts = {lang: np.zeros(len(model.probs)) for lang in model.langs}
+        for batch in batches:
+            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                lattice.expected(word, n, plain[lang], counts[lang])
+        for lang, c in counts.items():
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(c[at])], ["l", "piece", "c"])
+
+    return totals.select("l", "w", "n").mapInArrow(run, "l string, piece int, c double").groupBy("l", "piece").agg(F.sum("c").alias("c"))
 
 
 _SCORERS: dict[int, Scorer] = {}

@@ -1,14 +1,18 @@
 """Licence scans by sentence rules, in DataFrame functions.
 
-Texts are cut into pieces (at line ends and after stops), which are normalised and looked up among known
-licence sentences. Pieces that make a known sentence only together, up to a
-blank line, are joined, so sentences may be wrapped; 'this file is' and the like
-may stand before one. The sequence of identifiers found is matched against ordered
-rules, longer and more specific ones first; what a rule matches is used up.
-
-Defined results: null or empty text has no sentence and no licence; repeated
-rows repeat; an empty table gives an empty table; other columns are ignored.
-Known sentences that no rule uses are reported in ``unmatched``.
+Texts are cut into pieces (at line ends and after . ! ? ; : and a space), which
+are normalised (marks of comments go) and looked up among known licence
+sentences. Pieces that make a known sentence only together, up to a blank line,
+are joined, so sentences may be wrapped; 'this file is', the number of an item and
+the like may stand before one. The sequence of identifiers found is matched
+against ordered rules, longer and more specific ones first; what a rule matches is
+used up.
+
+Defined results: null or empty text has no sentence and no licence; a null id
+stays; repeated rows repeat; very long texts are scanned whole; of two rules that
+match at the same place the earlier one wins; an empty table gives an empty table;
+other columns are ignored. Known sentences that no rule uses are reported in
+``unmatched``.
 """
 
 from __future__ import annotations
@@ -56,19 +60,89 @@ SENTENCES = {
     "this work is licensed under a creative commons attribution 4 0 international license": "CCBYRef",
     "this work is dedicated to the public domain": "PublicDomain",
     "all rights reserved": "AllRights",
+    "neither the name of the author nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "BSDEndorse",
+    "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission": "BSDEndorse",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "BSDAsIs",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage": "BSDLiable",
+    "in no event shall the copyright owner or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage": "BSDLiable",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "MITLiable",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISCGrant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "ISCAsIs",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "ZeroBSDGrant",
+    "this software is provided as is without any express or implied warranty": "ZlibAsIs",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "ZlibLiable",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "ZlibGrant",
+    "this is free and unencumbered software released into the public domain": "UnlicenseRef",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "UnlicenseGrant",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "BoostGrant",
+    "distributed under the boost software license version 1 0": "BoostRef",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "AGPL3Later",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "LGPL3Later",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "LGPL21Later",
+    "this library is free software": "FreeSoftware",
+    "licensed under the gnu affero general public license version 3": "AGPL3Ref",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0": "EPLRef",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0": "EPLRef",
+    "if a copy of the mpl was not distributed with this file you can obtain one at": "MPLCopy",
+    "spdx license identifier mit": "MITRef",
+    "spdx license identifier apache 2 0": "ApacheRef",
+    "spdx license identifier bsd 2 clause": "BSD2Ref",
+    "spdx license identifier bsd 3 clause": "BSD3Ref",
+    "spdx license identifier isc": "ISCRef",
+    "spdx license identifier zlib": "ZlibRef",
+    "spdx license identifier unlicense": "UnlicenseRef",
+    "spdx license identifier bsl 1 0": "BoostRef",
+    "spdx license identifier mpl 2 0": "MPLRef",
+    "spdx license identifier epl 2 0": "EPLRef",
+    "spdx license identifier gpl 2 0 only": "GPL2Ref",
+    "spdx license identifier gpl 2 0 or later": "GPL2Later",
+    "spdx license identifier gpl 3 0 only": "GPL3Ref",
+    "spdx license identifier gpl 3 0 or later": "GPL3Later",
+    "spdx license identifier lgpl 2 1 or later": "LGPL21Later",
+    "spdx license identifier lgpl 3 0 only": "LGPL3Ref",
+    "spdx license identifier lgpl 3 0 or later": "LGPL3Later",
+    "spdx license identifier agpl 3 0 only": "AGPL3Ref",
+    "spdx license identifier agpl 3 0 or later": "AGPL3Later",
+    "spdx license identifier cc by 4 0": "CCBYRef",
+    "spdx license identifier cc by sa 4 0": "CCBYSARef",
 }
 #: Ordered rules, from identifier sequences to licences.
 RULES = (
     (("ApacheRef", "ApacheUse", "ApacheCopy", "ApacheAsIs", "ApacheSee"), "Apache-2.0"),
     (("ApacheRef", "ApacheUse", "ApacheCopy"), "Apache-2.0"),
+    (("MITGrant", "MITNotice", "MITAsIs", "MITLiable"), "MIT"),
     (("MITGrant", "MITNotice", "MITAsIs"), "MIT"),
     (("MITGrant", "MITNotice"), "MIT"),
+    (("BSDGrant", "BSDSource", "BSDBinary", "BSDEndorse", "BSDAsIs", "BSDLiable"), "BSD-3-Clause"),
+    (("BSDGrant", "BSDSource", "BSDBinary", "BSDAsIs", "BSDLiable"), "BSD-2-Clause"),
     (("BSDGrant", "BSDSource", "BSDBinary", "BSDEndorse"), "BSD-3-Clause"),
     (("BSDGrant", "BSDSource", "BSDBinary"), "BSD-2-Clause"),
     (("FreeSoftware", "GPL3Later", "GPLWarranty", "GPLSee"), "GPL-3.0-or-later"),
     (("FreeSoftware", "GPL2Later", "GPLWarranty", "GPLSee"), "GPL-2.0-or-later"),
     (("FreeSoftware", "GPL3Later"), "GPL-3.0-or-later"),
     (("FreeSoftware", "GPL2Later"), "GPL-2.0-or-later"),
+    (("FreeSoftware", "AGPL3Later"), "AGPL-3.0-or-later"),
+    (("FreeSoftware", "LGPL3Later"), "LGPL-3.0-or-later"),
+    (("FreeSoftware", "LGPL21Later"), "LGPL-2.1-or-later"),
+    (("ISCGrant", "ISCAsIs"), "ISC"),
+    (("ZeroBSDGrant", "ISCAsIs"), "0BSD"),
+    (("ZlibAsIs", "ZlibLiable", "ZlibGrant"), "Zlib"),
+    (("UnlicenseRef", "UnlicenseGrant"), "Unlicense"),
+    (("MPLForm", "MPLCopy"), "MPL-2.0"),
+    (("BoostGrant",), "BSL-1.0"),
+    (("BoostRef",), "BSL-1.0"),
+    (("ISCGrant",), "ISC"),
+    (("ISCRef",), "ISC"),
+    (("ZlibRef",), "Zlib"),
+    (("UnlicenseRef",), "Unlicense"),
+    (("BSD3Ref",), "BSD-3-Clause"),
+    (("BSD2Ref",), "BSD-2-Clause"),
+    (("EPLRef",), "EPL-2.0"),
+    (("AGPL3Later",), "AGPL-3.0-or-later"),
+    (("AGPL3Ref",), "AGPL-3.0-only"),
+    (("LGPL3Later",), "LGPL-3.0-or-later"),
+    (("LGPL21Later",), "LGPL-2.1-or-later"),
     (("GPL3Later",), "GPL-3.0-or-later"),
     (("GPL2Later",), "GPL-2.0-or-later"),
     (("GPL3Ref",), "GPL-3.0-only"),
@@ -87,11 +161,11 @@ RULES = (
     (("AllRights",), "Proprietary"),
 )
 #: Every known sentence holds one of these; other texts have no known sentence.
-TRIGGERS = ("licen", "permission", "copyright", "redistribut", "public domain", "rights reserved", "free software", "warrant", "promote products")
+TRIGGERS = ("licen", "permission", "copyright", "redistribut", "public domain", "rights reserved", "free software", "warrant", "promote products", "liable", "anyone is free", "mpl was not")
 
 
-#: Words that may stand before a known sentence.
-LEAD = r"^(?:this|the) (?:file|project|software|work|source code|source|code|program|package|library|document|module) is "
+#: Words, or the number of an item, that may stand before a known sentence.
+LEAD = r"^(?:(?:this|the) (?:file|project|software|work|source code|source|code|program|package|library|document|module) is|[0-9]{1,2}|[a-z]) "
 _ALL = "|" + "|".join(SENTENCES) + "|"
 
 

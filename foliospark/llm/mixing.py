@@ -8,13 +8,15 @@ siblings of an ancestor. Each leaf then takes whole epochs of its documents and
 a token prefix of one more epoch, in an order seeded by epoch.
 
 All amounts are integers (tokens; weights as integer parts), so shares round
-down and the SQL form agrees to the token. The prefix is found by summing
-tokens over ranges of the order first, so no task sorts a whole leaf.
+down and the SQL form agrees to the token. The prefix is found digit by digit
+of the order: tokens are summed up by the next digit, and only documents of the
+digit where the prefix ends are looked at further, so no task sorts a leaf.
 
 Defined results: null or empty text has 0 tokens and is never selected; null
 domain, language or source form nodes of their own (as the text '?'); repeated
-rows are separate documents; an empty table selects nothing; other columns are
-kept by ``select_rows``.
+rows are separate documents, and equal places in the order follow by id and
+tokens; a very long text counts as one document; an empty table selects nothing;
+other columns are kept by ``select_rows``.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ from foliospark.llm.common import materialize, table, text_or_empty
 
 LEVELS = ("domain", "language", "origin")
 #: Production parameters: budget as parts of all tokens (of 1000), most epochs,
-#: seed, and ranges of the order per leaf and epoch.
-BUDGET_PARTS, MAX_EPOCHS, SEED, RANGES = 600, 3, 17, 4096
+#: seed, and digits of the order (of 48 bits) that are looked at one by one.
+BUDGET_PARTS, MAX_EPOCHS, SEED = 600, 3, 17
+DIGITS, DIGIT_BITS = 3, 6
 #: Weights by level and name; other names weigh 1. Whole numbers up to 1000.
 WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "language": {"en": 5, "de": 2, "fr": 2, "es": 1}, "origin": {}}
 #: Sources fall into so many domains by their number (no number: domain d0).
@@ -109,16 +112,20 @@ def plan_copies(docs: DataFrame, weights=None, budget_parts: int = BUDGET_PARTS,
     placed = rows.filter("n_tokens > 0").join(alloc.select(*LEVELS, "full", "part"), list(LEVELS))
     # the order of the partial epoch: a hash of seed, epoch and id (as text)
     order = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("full").cast("string"), F.col("doc_id").cast("string"))), 1, 12), 16, 10).cast("long")
-    placed = placed.withColumn("_at", order).withColumn("_range", F.expr(f"_at div {(1 << 48) // RANGES}"))
-    sums = placed.filter("part > 0").groupBy(*LEVELS, "_range").agg(F.sum("n_tokens").alias("n"), F.first("part").alias("part"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranges = sums.withColumn("_before", before)
-    edge = materialize(ranges.filter("_before < part and _before + n > part").select(*LEVELS, F.col("_range").alias("_edge"), "_before"), "mix-edge")
-    whole = materialize(ranges.filter("_before + n <= part").groupBy(*LEVELS).agg(F.max("_range").alias("_last")), "mix-whole")
-    marked = placed.join(whole, list(LEVELS), "left").join(edge, list(LEVELS), "left")
-    cut = marked.filter("_range = _edge").withColumn("_sum", F.col("_before") + F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("_at", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)))
-    inner = cut.select("doc_id", *LEVELS, "n_tokens", (F.col("full") + F.when(F.col("_sum") <= F.col("part"), 1).otherwise(0)).alias("n_copies"))
-    outer = marked.filter("_edge is null or _range <> _edge").select("doc_id", *LEVELS, "n_tokens", (F.col("full") + F.when((F.col("part") > 0) & (F.col("_range") <= F.col("_last")), 1).otherwise(0)).alias("n_copies"))
+    placed = placed.withColumn("_at", order)
+    # a leaf's edge: the digits of the place where its prefix ends (none: it takes all)
+    edges = alloc.filter("part > 0").select(*LEVELS, "part", F.lit(0).cast("long").alias("_edge"), F.lit(0).cast("long").alias("_before"))
+    for k in range(1, DIGITS + 1):
+        digit = F.shiftright("_at", 48 - DIGIT_BITS * k)
+        inside = placed.select(*LEVELS, "n_tokens", digit.alias("_place")).join(edges, list(LEVELS)).filter(F.shiftright("_place", DIGIT_BITS) == F.col("_edge"))
+        sums = inside.groupBy(*LEVELS, "part", "_before", "_place").agg(F.sum("n_tokens").alias("n"))
+        upto = F.col("_before") + F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
+        cut = sums.withColumn("_upto", upto).filter("_upto > part and _upto - n <= part")
+        edges = materialize(cut.groupBy(*LEVELS, "part").agg(F.min(F.struct(F.col("_place").alias("p"), (F.col("_upto") - F.col("n")).alias("b"))).alias("x")).select(*LEVELS, "part", F.col("x.p").alias("_edge"), F.col("x.b").alias("_before")), f"mix-edge-{k}")
+    marked = placed.withColumn("_place", F.shiftright("_at", 48 - DIGIT_BITS * DIGITS)).join(edges.drop("part"), list(LEVELS), "left")
+    ends = marked.filter("_place = _edge").withColumn("_sum", F.col("_before") + F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("_at", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)))
+    inner = ends.select("doc_id", *LEVELS, "n_tokens", (F.col("full") + F.when(F.col("_sum") <= F.col("part"), 1).otherwise(0)).alias("n_copies"))
+    outer = marked.filter("_edge is null or _place <> _edge").select("doc_id", *LEVELS, "n_tokens", (F.col("full") + F.when((F.col("part") > 0) & (F.col("_edge").isNull() | (F.col("_place") < F.col("_edge"))), 1).otherwise(0)).alias("n_copies"))
     zero = rows.filter("n_tokens = 0").select("doc_id", *LEVELS, "n_tokens", F.lit(0).cast("long").alias("n_copies"))
     return inner.unionAll(outer).unionAll(zero)
 

@@ -8,9 +8,10 @@
    word shapes and statistics; it alone scores the documents.
 
 Defined results: null or empty text, or text without a word, scores 0 and is
-rejected; repeated rows repeat; an empty table gives an empty table; other
-columns are kept by ``keep_good`` and ignored by ``score``. Human labels are
-never read.
+rejected; a score of exactly 0.5 is good; repeated rows repeat; very long texts
+are described piece by piece, as a whole; an empty table gives an empty table;
+other columns are kept by ``keep_good`` and ignored by ``score``. Human labels
+are never read.
 """
 
 from __future__ import annotations
@@ -27,14 +28,15 @@ from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
 #: About so many documents, chosen by a hash of the id, train the scorer.
 TRAIN_ROWS = 10_000
-#: Dimensions of the hashed feature space.
-DIMENSIONS = 1 << 14
+#: Dimensions of the hashed feature space; a sampled document sends at most so
+#: many features of six bytes to the driver.
+DIMENSIONS = 1 << 12
 #: Share of bad documents from which EM starts, and labellers that call 30 % of
 #: the bad documents bad and 98 % of the good ones good.
 START_BAD, START_VOTES = 0.15, (0.3, 0.98)
-#: Each labeller looks for one kind of fault: it is taken to call bad between a
-#: tenth and four tenths of the bad documents, and at most 1 % of the good ones.
-BOUNDS = ((0.1, 0.4), (0.0, 0.01))
+#: A labeller calls at most so many of the good documents that it votes on bad;
+#: how many of the bad ones it finds is estimated freely.
+MOST_FALSE = 0.01
 THRESHOLD = 0.5
 
 _CLASS = np.full(256, ord("a"), np.uint8)
@@ -229,13 +231,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
                 order = np.argsort(row, kind="stable")
                 row, col, value = row[order], col[order], value[order]
                 cut = np.searchsorted(row, np.arange(hi - lo + 1))
-                yield pa.RecordBatch.from_arrays([pa.array(votes[pick].tolist(), pa.list_(pa.int64())), pa.array([col[cut[k] : cut[k + 1]] for k in pick], pa.list_(pa.int64())), pa.array([value[cut[k] : cut[k + 1]] for k in pick], pa.list_(pa.float64())), pa.array(np.ones(len(pick), np.int64))], ["votes", "cols", "vals", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int64())), pa.nulls(len(seen), pa.list_(pa.int64())), pa.nulls(len(seen), pa.list_(pa.float64())), pa.array(list(seen.values()), pa.int64())], ["votes", "cols", "vals", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(votes[pick].tolist(), pa.list_(pa.int64())), pa.array([col[cut[k] : cut[k + 1]].astype(np.int16) for k in pick], pa.list_(pa.int16())), pa.array([value[cut[k] : cut[k + 1]].astype(np.float32) for k in pick], pa.list_(pa.float32())), pa.array(np.ones(len(pick), np.int64))], ["votes", "cols", "vals", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int64())), pa.nulls(len(seen), pa.list_(pa.int16())), pa.nulls(len(seen), pa.list_(pa.float32())), pa.array(list(seen.values()), pa.int64())], ["votes", "cols", "vals", "n"])
 
-    found = rows.mapInArrow(vote, "votes array<long>, cols array<long>, vals array<double>, n long").toArrow()
+    found = rows.mapInArrow(vote, "votes array<long>, cols array<short>, vals array<float>, n long").toArrow()
     votes = np.array(found["votes"].to_pylist(), np.int64).reshape(-1, len(LABELLERS))
     sampled = np.asarray(found["cols"].is_valid())
-    model = fit_label_model(votes[~sampled], np.asarray(found["n"]).astype(float)[~sampled], 1 - START_BAD, start=START_VOTES, bounds=BOUNDS)
+    model = fit_label_model(votes[~sampled], np.asarray(found["n"]).astype(float)[~sampled], 1 - START_BAD, start=START_VOTES, most_false=MOST_FALSE)
     part = found.filter(found["cols"].is_valid())
     target = model.posterior(votes[sampled])
     cols, values = part["cols"].combine_chunks(), part["vals"].combine_chunks()

@@ -10,8 +10,9 @@ outside the vocabulary, so merges never cross those places: a text is counted
 word by word and equal words are counted once per worker (bounded memo).
 
 Defined results: a null text counts as empty; an empty text has 0 tokens;
-repeated rows give repeated rows; an empty table gives an empty table; other
-columns of the input are ignored.
+repeated rows give repeated rows; a very long text is counted in parts cut at
+such places; ties of rank go to the leftmost pair; an empty table gives an empty
+table; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ LIMIT = 4096
 #: Words that a worker remembers (about 100 bytes each) before it starts anew.
 MEMO_WORDS = 500_000
 MARK = "▁"
+#: Characters of a long text that are split into words at a time, and the words
+#: from which runs are cut where no piece of the vocabulary can lie across.
+PART, LONG_RUN = 1 << 18, 512
+_CUT = re.compile(f"(?<=[^ {MARK}\n]) |\n")
 
 
 class Memo(dict):
@@ -55,11 +60,23 @@ class MergeCounter:
         sp = SentencePieceProcessor(model_file=model_path)
         pieces = [(sp.get_score(i), sp.id_to_piece(i)) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         self.rank = {piece: k for k, (_, piece) in enumerate(sorted(pieces, key=lambda x: -x[0]))}
+        self.pairs = {piece[k : k + 2] for piece in self.rank for k in range(len(piece) - 1)}
         self.splits = not any(MARK in piece.lstrip(MARK) or "\n" in piece for piece in self.rank)
         self.tail, self.word = Memo(self.merge, ""), Memo(self.merge, MARK)
 
     def merge(self, symbols: str) -> int:
         """Tokens of one run of symbols."""
+        if len(symbols) < LONG_RUN:
+            return self._merge(symbols)
+        # two neighbours that no piece holds are never merged, nor are their runs
+        total, first, pairs = 0, 0, self.pairs
+        for k in range(1, len(symbols)):
+            if symbols[k - 1 : k + 1] not in pairs:
+                total += self._merge(symbols[first:k])
+                first = k
+        return total + self._merge(symbols[first:])
+
+    def _merge(self, symbols: str) -> int:
         rank, n = self.rank, len(symbols)
         alive: list[str | None] = list(symbols)
         total = sum(1 if c in rank else len(c.encode()) for c in symbols)
@@ -90,12 +107,18 @@ class MergeCounter:
             return 0
         if not self.splits:
             return self.merge(MARK + text.replace(" ", MARK))
-        first, *rest = text.split("\n")
-        total = self._line(MARK + first) + len(rest)  # a line end is one byte, thus one token
-        for line in rest:
-            total += self._line(line)
+        total = at = 0
+        while at < len(text):
+            cut = _CUT.search(text, at + PART) if len(text) - at > PART else None
+            stop = cut.start() if cut else len(text)
+            total += self._lines((MARK if at == 0 else "") + text[at:stop])
+            at = stop
         return total
 
+    def _lines(self, text: str) -> int:
+        lines = text.split("\n")
+        return len(lines) - 1 + sum(map(self._line, lines))  # a line end is one byte, thus one token
+
     def _line(self, line: str) -> int:
         if not line:
             return 0

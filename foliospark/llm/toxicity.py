@@ -9,13 +9,14 @@
    labels of a bounded sample; it alone scores the documents.
 
 Defined results: null or empty text has no term and gets the score of the
-intercept; an empty table gives an empty table; repeated rows repeat; other
-columns are ignored. Without labelled rows the fixed insult list remains.
+intercept; a score of exactly 0.5 is toxic; a very long text is read in pieces,
+as a whole; a document with several labels is toxic if one says so; an empty
+table gives an empty table; repeated rows repeat; other columns are ignored.
+Without labelled rows the fixed insult list remains.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, bucket, mix, small_batches, table, text_chunks, unit_hash
+from foliospark.llm.common import WordBatch, bucket, mix, small_batches, table, text_chunks, unit_hash, word_pieces
 from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
-#: Bounds of the training: about so many toxic rows propose terms, so many
-#: terms are looked at, kept, and so many rows train the linear classifier.
-TOXIC_ROWS, CANDIDATES, TERMS, LINEAR_ROWS = 10_000, 40_000, 6_000, 20_000
+#: Bounds of the training (parameters of ``fit``): about so many labelled toxic
+#: rows propose terms, and so many rows train the linear classifier.
+TOXIC_ROWS, LINEAR_ROWS = 10_000, 20_000
 #: A term must be in so many toxic rows (or this share of them), and so many
 #: times as frequent in toxic as in clean rows.
 LEAST_ROWS, LEAST_SHARE, LEAST_LIFT, STRONG_LIFT = 3, 0.001, 12.0, 50.0
@@ -81,19 +82,45 @@ class Terms:
     kinds: np.ndarray
     lifts: np.ndarray
 
-    def hits(self, batch: WordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (row, term index) pairs."""
-        rows, found = [], []
-        for row, h in term_hashes(batch):
-            if len(self.hashes) and len(h):
-                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-                ok = self.hashes[at] == h
-                rows.append(row[ok])
-                found.append(at[ok])
-        if not rows:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        key = np.unique(np.concatenate(rows) * np.int64(len(self.hashes)) + np.concatenate(found))
-        return key // len(self.hashes), key % len(self.hashes)
+    def hits(self, words: WordBatch, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, term index) of words from ``begin`` to ``end``; pairs repeat."""
+        rows, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for row, h in term_hashes(words) if len(self.hashes) else ():
+            row, h = row[begin:end], h[begin:end]
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+            ok = self.hashes[at] == h
+            rows.append(row[ok])
+            found.append(at[ok])
+        return np.concatenate(rows), np.concatenate(found)
+
+
+class Reading:
+    """What is found in the rows of an Arrow array of texts: distinct (row, term)
+    pairs, and with ``votes`` what the other voters look at."""
+
+    def __init__(self, texts: pa.Array, terms: Terms, votes: bool = False):
+        self.rows, most = len(texts), np.int64(max(len(terms.hashes), 1))
+        self.n_words, self.listed, self.upper, self.marks, self.size = (np.zeros(self.rows, np.int64) for _ in range(5))
+        keys, insults = [np.empty(0, np.int64)], hash_words(INSULTS)
+        for piece in word_pieces(texts):
+            words, new = piece.words, slice(piece.begin, piece.end)
+            row, term = terms.hits(words, piece.begin, piece.end)
+            keys.append(np.unique((row + piece.lo) * most + term))
+            if not votes:
+                continue
+            here, doc = slice(piece.lo, piece.hi), words.doc
+            first = np.clip(words.first, piece.begin, piece.end)
+            self.n_words[here] += np.diff(first)
+            self.listed[here] += np.bincount(doc[new], np.isin(term_hashes(words)[0][1][new], insults), words.rows).astype(np.int64)
+            lo = np.append(words.starts, len(words.data))[first[:-1]]
+            hi = np.maximum(np.append(0, words.ends)[first[1:]], lo)
+            some = np.diff(first) > 0
+            self.size[here] += np.where(some, hi - lo, 0)
+            for total, is_one in ((self.upper, (words.raw >= 65) & (words.raw <= 90)), (self.marks, words.raw == 33)):
+                counted = np.concatenate([[0], np.cumsum(is_one)])
+                total[here] += np.where(some, counted[hi] - counted[lo], 0)
+        key = np.unique(np.concatenate(keys))
+        self.row, self.term = key // most, key % most
 
 
 @dataclass
@@ -103,66 +130,55 @@ class ToxicityModel:
     bias: float
     label_model: LabelModel
 
-    def scores(self, batch: WordBatch) -> np.ndarray:
-        row, term = self.terms.hits(batch)
-        z = self.bias + np.bincount(row, self.weights[term], batch.rows)
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        found = Reading(texts, self.terms)
+        z = self.bias + np.bincount(found.row, self.weights[found.term], found.rows)
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def votes_of(batch: WordBatch, terms: Terms) -> np.ndarray:
+def votes_of(found: Reading, terms: Terms) -> np.ndarray:
     """A row of votes (0 abstain, 1 clean, 2 toxic) for each text."""
-    n_words = np.diff(batch.first)
-    row, term = terms.hits(batch)
     voters = []
-    quiet = np.where(n_words > 0, 1, 0)
+    quiet = np.where(found.n_words > 0, 1, 0)
     for kind in range(1 + len(PREFIXES)):
         for strong in (False, True):
             of = (terms.kinds == kind) & ((terms.lifts >= STRONG_LIFT) == strong)
-            hit = np.bincount(row, of[term], batch.rows) > 0
+            hit = np.bincount(found.row, of[found.term], found.rows) > 0
             voters.append(np.where(hit, 2, quiet))
-    listed = np.isin(term_hashes(batch)[0][1], hash_words(INSULTS))
-    voters.append(np.where(np.bincount(batch.doc, listed, batch.rows) > 0, 2, quiet))
-    upper = np.concatenate([[0], np.cumsum((batch.raw >= 65) & (batch.raw <= 90))])
-    marks = np.concatenate([[0], np.cumsum(batch.raw == 33)])
-    lo = np.append(batch.starts, len(batch.data))[batch.first[:-1]]
-    hi = np.append(0, batch.ends)[batch.first[1:]]
-    size = np.maximum(hi - lo, 1)
-    for counted, loud, calm in ((upper, 0.5, 0.3), (marks, 0.05, 0.01)):
-        share = np.where(n_words > 0, (counted[np.maximum(hi, lo)] - counted[lo]) / size, 0)
-        voters.append(np.where(n_words < 5, 0, np.where(share > loud, 2, np.where(share < calm, 1, 0))))
+    voters.append(np.where(found.listed > 0, 2, quiet))
+    for counted, loud, calm in ((found.upper, 0.5, 0.3), (found.marks, 0.05, 0.01)):
+        share = counted / np.maximum(found.size, 1)
+        voters.append(np.where(found.n_words < 5, 0, np.where(share > loud, 2, np.where(share < calm, 1, 0))))
     return np.stack(voters, axis=1).astype(np.int64)
 
 
-def _batches(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, WordBatch]]:
-    for lo, hi in text_chunks(batch.column(column)):
-        yield lo, hi, WordBatch(batch.column(column).slice(lo, hi - lo))
-
-
-def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
+def induce_terms(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS) -> tuple[Terms, float]:
     """Terms from rows (i, t, y); and the share of toxic rows.
 
-    Toxic rows propose terms; the proposals are then counted over all labelled
-    rows. Both tables of counts are bounded by CANDIDATES times the batches.
+    About ``toxic_rows`` toxic rows propose every term that enough of them hold
+    (fewer terms than these rows have words); all proposals are then counted
+    over all labelled rows.
     """
     totals = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     none = Terms(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0))
     if not n1:
         return none, 0.05
-    fraction = min(1.0, TOXIC_ROWS / n1)
+    fraction = min(1.0, toxic_rows / n1)
     toxic = labelled.filter((F.col("y") == 1) & (unit_hash(F.col("i"), seed=7) < fraction))
     least = max(LEAST_ROWS, int(LEAST_SHARE * n1 * fraction))
 
     def propose(batches):
         for batch in batches:
-            for _, _, words in _batches(batch, 0):
-                hashes = term_hashes(words)
+            for piece in word_pieces(batch.column(0), 1):
+                hashes, new = term_hashes(piece.words), slice(piece.begin, piece.end)
                 doc, own = hashes[0]
                 before, after = np.zeros(len(own), np.uint64), np.zeros(len(own), np.uint64)
                 before[1:] = np.where(doc[1:] == doc[:-1], own[:-1], 0)
                 after[:-1] = np.where(doc[1:] == doc[:-1], own[1:], 0)
-                beside = mix(before + after * np.uint64(0x9E3779B97F4A7C15))
+                beside = mix(before + after * np.uint64(0x9E3779B97F4A7C15))[new]
                 for kind, (_, h) in enumerate(hashes):
+                    h = h[new]
                     order = np.lexsort((beside, h))
                     h, p = h[order], beside[order]
                     fresh = np.ones(len(h), bool)
@@ -171,7 +187,7 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
 
     # a term's support is the number of different pairs of words beside it: copies
     # of a passage are no evidence
-    proposed = toxic.select("t").mapInArrow(propose, "h long, kind int, p long").distinct().groupBy("h", "kind").agg(F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "h").limit(CANDIDATES).toPandas()
+    proposed = toxic.select("t").mapInArrow(propose, "h long, kind int, p long").distinct().groupBy("h", "kind").agg(F.count("*").alias("n")).filter(F.col("n") >= least).toPandas()
     if proposed.empty:
         return none, n1 / (n1 + n0)
     order = np.argsort(proposed["h"].to_numpy().view(np.uint64))
@@ -184,9 +200,8 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
         total = np.zeros((2, len(known.hashes)), np.int64)
         for batch in batches:
             y = np.asarray(batch.column(1)).astype(np.int64)
-            for lo, _, words in _batches(batch, 0):
-                row, term = known.hits(words)
-                np.add.at(total, (y[lo + row], term), 1)
+            found = Reading(batch.column(0), known)
+            np.add.at(total, (y[found.row], found.term), 1)
         keep = np.flatnonzero(total.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(keep), pa.array(total[0, keep]), pa.array(total[1, keep])], ["k", "n0", "n1"])
 
@@ -199,11 +214,10 @@ def induce_terms(labelled: DataFrame) -> tuple[Terms, float]:
     expected = np.zeros(len(order))
     expected[counted["k"].to_numpy()] = (c0 + 0.5) * n1 / (n0 + 1)
     keep = np.flatnonzero((lift >= LEAST_LIFT) & (support >= LEAST_ROWS) & (contexts >= np.minimum(LEAST_CONTEXTS * support * fraction, ENOUGH_CONTEXTS)) & (support - expected >= LEAST_Z * np.sqrt(expected + 0.5)))
-    keep = np.sort(keep[np.argsort(-lift[keep] * np.sqrt(support[keep]), kind="stable")[:TERMS]])
     return Terms(candidates.hashes[keep], candidates.kinds[keep], lift[keep]), n1 / (n1 + n0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_rows: int = TOXIC_ROWS, linear_rows: int = LINEAR_ROWS) -> ToxicityModel:
     """Learn from the rows of ``labels`` joined with ``docs``; ``docs`` without
     a label still vote. The caller holds rows out of both."""
     small_batches(docs.sparkSession)
@@ -211,26 +225,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("i")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
     n = marks.count()
     labelled = rows.join(F.broadcast(marks) if n <= 1_000_000 else marks, "i").select("i", "t", F.when(F.col("y") > 0, 1).otherwise(0).alias("y"))
-    terms, share = induce_terms(labelled)
+    terms, share = induce_terms(labelled, toxic_rows)
     extra = np.setdiff1d(hash_words(INSULTS), terms.hashes)
     order = np.argsort(np.concatenate([terms.hashes, extra]), kind="stable")
     terms = Terms(np.concatenate([terms.hashes, extra])[order], np.concatenate([terms.kinds, np.zeros(len(extra), np.int64)])[order], np.concatenate([terms.lifts, np.full(len(extra), LEAST_LIFT)])[order])
     total = rows.count()
-    fraction = min(1.0, LINEAR_ROWS / max(total, 1))
+    fraction = min(1.0, linear_rows / max(total, 1))
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def vote(batches):
         seen: dict[tuple, list] = {}
         for batch in batches:
             inside = np.asarray(batch.column(1)).astype(bool) if batch.num_rows else np.empty(0, bool)
-            for lo, hi, words in _batches(batch, 0):
-                votes = votes_of(words, shared.value)
-                row, term = shared.value.hits(words)
+            for lo, hi in text_chunks(batch.column(0)):
+                found = Reading(batch.column(0).slice(lo, hi - lo), shared.value, votes=True)
+                votes, row, term = votes_of(found, shared.value), found.row, found.term
                 keys, which, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
                 for key, c in zip(keys.tolist(), counts.tolist(), strict=True):
                     seen.setdefault(tuple(key), [0])[0] += c
                 pick = np.flatnonzero(inside[lo:hi])
-                cut = np.searchsorted(row, np.arange(words.rows + 1))
+                cut = np.searchsorted(row, np.arange(found.rows + 1))
                 yield pa.RecordBatch.from_arrays([pa.array(keys[which.ravel()[pick]].tolist(), pa.list_(pa.int64())), pa.array([term[cut[k] : cut[k + 1]].tolist() for k in pick], pa.list_(pa.int64())), pa.array(np.full(len(pick), -1, np.int64))], ["votes", "terms", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int64())), pa.array([None] * len(seen), pa.list_(pa.int64())), pa.array([v[0] for v in seen.values()], pa.int64())], ["votes", "terms", "n"])
 
@@ -260,8 +274,8 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
     def run(batches):
         for batch in batches:
-            for lo, hi, words in _batches(batch, 2):
-                s = shared.value.scores(words)
+            for lo, hi in text_chunks(batch.column(2)):
+                s = shared.value.scores(batch.column(2).slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (bucket(F.col(id_col), 5) == 0).alias("held_out"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+from foliospark.llm import edit_fingerprint as E
 from foliospark.llm.edit_fingerprint import compare_with_edited, fingerprint, fingerprints, likeness, near_copies
 
 
@@ -62,3 +63,50 @@ def test_near_copies_without_a_common_first(spark, monkeypatch):
     got = {r.doc_id: r.class_id for r in near_copies(spark.createDataFrame(rows, "doc_id long, fingerprint string")).collect()}
     assert likeness(rows[1][1], rows[2][1]) >= 0.8 > likeness(rows[0][1], rows[1][1])
     assert got == {k: (2 if k == 3 else k) for k, _ in rows}
+
+
+def plain_walk(text):
+    out, at, j, steps = "", 0, 0, set(E.STEPS[:2000].tolist())
+    while at < len(text):
+        code = max((ord(text[at] if text[at] != "\0" else " ") * 2654435761 % 2**32) >> 24, 1)
+        if j in steps:
+            out += "0123456789abcdef"[E._NIBBLE[code]]
+        at += int(E._MOVES[j % E.PERIOD, code])
+        j += 1
+    return out
+
+
+def test_fingerprints_equal_a_plain_walk(monkeypatch):
+    monkeypatch.setattr(E, "SLICE", 7)
+    some = [*texts(25, 8), "", "é😀 x\0y" * 30, "a" * 20]
+    assert fingerprints(some) == [plain_walk(t) for t in some]
+
+
+def test_near_copies_against_all_pairs(spark):
+    rnd = random.Random(12)
+    rows = []
+    for base in [t for t in texts(150, 13) if len(t) > 60]:
+        rows.append(base)
+        for _ in range(rnd.choice([0, 1, 3])):
+            copy = list(base)
+            for _ in range(rnd.choice([1, 3, len(base) // 40, len(base) // 12])):
+                copy[rnd.randrange(len(copy))] = rnd.choice("QRSTUVW")
+            rows.append("".join(copy) + rnd.choice(["", "", " and more" * rnd.randint(1, 9)]))
+    prints = fingerprints(rows)
+    alike = [(a, b) for a in range(len(rows)) for b in range(a) if likeness(prints[a], prints[b]) >= 0.8]
+    got = {r.doc_id: r.class_id for r in near_copies(spark.createDataFrame(list(enumerate(prints)), "doc_id long, fingerprint string")).collect()}
+    assert len(alike) > 40 and sum(got[a] == got[b] for a, b in alike) >= 0.9 * len(alike)
+    # no class holds more than links join
+    parent = list(range(len(rows)))
+    for a, b in alike:
+        x, y = a, b
+        while parent[x] != x:
+            x = parent[x]
+        while parent[y] != y:
+            y = parent[y]
+        parent[max(x, y)] = min(x, y)
+
+    def top(x):
+        return x if parent[x] == x else top(parent[x])
+
+    assert all(top(k) == top(c) for k, c in got.items())

@@ -1,9 +1,11 @@
 import itertools
+import math
 
 import numpy as np
 
 from foliospark.llm.common import bucket
-from foliospark.llm.language_id import MODEL, UNKNOWN, Lattice, fit, identify
+from foliospark.llm import language_id
+from foliospark.llm.language_id import MODEL, UNKNOWN, Lattice, fit, has_letter, identify
 from pyspark.sql import functions as F
 
 TEXTS = {"en": "the house and the garden with a tree", "de": "das haus und der garten mit einem baum", "fr": "la maison et le jardin avec un arbre"}
@@ -43,3 +45,33 @@ def test_no_labels_and_empty_table(spark):
     docs = spark.createDataFrame([(1, "hello", None)], "doc_id long, text string, lang string")
     assert identify(docs, fit(docs)).first().lang_pred == "und"
     assert identify(docs.limit(0), fit(docs.limit(0), MODEL)).collect() == []
+
+
+def test_expected_counts_equal_enumeration(monkeypatch):
+    monkeypatch.setattr(language_id, "STRIDE", 3)
+    pieces = {"▁": 0, "a": 1, "b": 2, "▁a": 3, "ab": 4, "▁ab": 5, "bab": 6}
+    p = [0.3, 0.2, 0.1, 0.15, 0.1, 0.1, 0.05]
+    for word in ("ab", "babab", "axbab", "ababbabab"):
+        marked, mass, want = "▁" + word, 0.0, np.zeros(7)
+        for cuts in itertools.product((0, 1), repeat=len(marked) - 1):
+            at = [0, *(k + 1 for k, c in enumerate(cuts) if c), len(marked)]
+            parts = [marked[x:y] for x, y in itertools.pairwise(at)]
+            if all(x in pieces or x == "x" for x in parts):
+                weight = math.prod(p[pieces[x]] if x in pieces else UNKNOWN for x in parts)
+                mass += weight
+                for x in parts:
+                    if x in pieces:
+                        want[pieces[x]] += weight
+        got = np.zeros(7)
+        Lattice(pieces).expected(word, 2.0, p, got)
+        assert np.allclose(got, 2.0 * want / mass)
+
+
+def test_long_words_have_expected_counts_too():
+    got = np.zeros(3)
+    Lattice({"▁": 0, "a": 1, "b": 2}).expected("x" * 500 + "ab" * 500, 1.0, [0.3, 0.2, 0.1], got)
+    assert np.allclose(got, [1, 500, 500])
+
+
+def test_letters():
+    assert has_letter("½ é") and has_letter("中") and not has_letter("½ ² 3 _ !") and not has_letter("")

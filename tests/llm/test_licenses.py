@@ -52,3 +52,53 @@ def test_wrapped_sentences_and_words_before(spark):
     rows = [(1, MIT), (2, BSD), (3, GPL), (4, "This file is released under the MIT License."), (5, "This file is not released under the MIT License."), (6, "licensed under\n\nthe MIT license"), (7, "All rights reserved\nreleased under the MIT License\nx")]
     got = {r.doc_id: r.licenses for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: "MIT", 2: "BSD-2-Clause", 3: "GPL-3.0-or-later", 4: "MIT", 5: "", 6: "", 7: "MIT,Proprietary"}
+
+
+MIT_END = """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_END = """#
+# THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+# AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+# IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+# DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+# FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+# DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+# SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+# CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+# OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+# OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+ISC = """// Permission to use, copy, modify, and/or distribute this software for any
+// purpose with or without fee is hereby granted, provided that the above
+// copyright notice and this permission notice appear in all copies.
+//
+// THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+// WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+// MERCHANTABILITY AND FITNESS.
+"""
+
+
+def test_whole_notices_and_odd_rows(spark):
+    rows = [(1, MIT + MIT_END), (2, BSD + BSD_END), (3, APACHE), (4, ISC), (5, "// SPDX-License-Identifier: GPL-2.0-or-later"), (5, "// SPDX-License-Identifier: GPL-2.0-or-later"), (None, "x\n" * 200_000 + MIT), (6, "words and more words. " * 50_000)]
+    got = scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = [(str(r.doc_id), r.licenses, r.unmatched) for r in got]
+    assert sorted(found) == sorted([("1", "MIT", ""), ("2", "BSD-2-Clause", ""), ("3", "Apache-2.0", ""), ("4", "ISC", ""), ("5", "GPL-2.0-or-later", ""), ("5", "GPL-2.0-or-later", ""), ("None", "MIT", ""), ("6", "", "")])

@@ -3,6 +3,7 @@ import random
 import sentencepiece
 from public_tokenizers import path
 
+from foliospark.llm import token_counts
 from foliospark.llm.token_counts import MODEL, count_tokens, counter_for
 
 ODD = ["", " ", "  ", "a  b", "\n", "\n\n a", "▁", "▁▁ ▁x", "日本語 テスト", "<s> hi </s> <unk> <0x0A>", "a\tb", "x" * 5000, "  " * 50, "🙂🙂 ok", "\x00 a"]
@@ -25,3 +26,14 @@ def test_rows_nulls_repeats_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     assert count_tokens(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_texts_in_parts_equal_the_library(monkeypatch):
+    monkeypatch.setattr(token_counts, "PART", 5)
+    monkeypatch.setattr(token_counts, "LONG_RUN", 3)
+    sp = sentencepiece.SentencePieceProcessor(model_file=path(MODEL))
+    rnd = random.Random(2)
+    texts = ODD + ["".join(rnd.choice("ab ▁\n.é日  th") for _ in range(rnd.randint(0, 90))) for _ in range(2000)]
+    texts += ["".join(rnd.choice(["the", "ing", " ", "\n", "日本", "x", "  "]) for _ in range(60)) for _ in range(500)]
+    counter = token_counts.MergeCounter(path(MODEL))
+    assert [counter.count(t) for t in texts] == [len(x) for x in sp.encode(texts)]

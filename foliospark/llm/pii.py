@@ -15,8 +15,7 @@ a term to its first letters, if those reveal less than the threshold allows,
 else it is removed.
 
 Defined results: null text counts as empty and has no spans; ``sanitise`` keeps
-a null text null; repeated rows repeat, and count as one unit each text and id;
-spans that begin together are ordered by kind; very long texts are scanned
+a null text null; repeated rows repeat, and count each, as near copies do; spans that begin together are ordered by kind; very long texts are scanned
 whole, and counted unit by unit; an empty table gives an empty table; other
 columns are ignored by ``find`` and kept by ``sanitise``. Offsets are code
 points, ends exclusive.
@@ -158,81 +157,106 @@ def _small(df: DataFrame) -> DataFrame:
 def entity_units(docs: DataFrame, base: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``x, e, words``: units with an entity that occurs in enough rows, and
     their terms in order."""
-    found = base.filter(F.size("_base") > 0).dropDuplicates(["_h"]).select("_h", F.explode(_protected("_base")).alias("e"))
+    found = base.filter(F.size("_base") > 0).select("_h", F.explode(_protected("_base")).alias("e"))
     often = materialize(found.groupBy("e").agg(F.count("*").alias("c")).filter(F.col("c") >= LEAST_CONTEXTS).select("e"), "pii-often")
     wanted = materialize(found.join(_small(often), "e", "left_semi").select("_h").distinct(), "pii-wanted")
     # a text whose hash is wanted by chance has entities of its own, or none
-    texts = may_hold(_rows(docs, id_col, text_col), wanted, "_h").dropDuplicates(["_h"])
+    texts = may_hold(_rows(docs, id_col, text_col), wanted, "_h")
     units = texts.select("_h", F.posexplode(_units(F.col("_t"))).alias("k", "s")).select(F.xxhash64("_h", "k").alias("x"), "s")
     named = with_spans(units, "s").filter(F.size("_base") > 0).select("x", F.explode(_protected("_base")).alias("e"), _terms(F.col("s")).alias("words"))
     return materialize(named.join(_small(often), "e", "left_semi"), "pii-units")
 
 
-def supported(units: DataFrame) -> DataFrame:
-    """``e, term, n_te``: pairs seen in LEAST_CONTEXTS different surroundings.
+def _value(n_te, n_t, n_e, total: int) -> Column:
+    """Disclosure from counts of units."""
+    n = F.lit(float(max(total, 2)))
+    p = lambda c: F.least(F.col(c) / n, F.lit(1 - 1e-9))
+    return F.log(p(n_te) / (p(n_t) * p(n_e))) / -F.log(p(n_e))
+
+
+def hopeful_pairs(units: DataFrame, total: int, least: float) -> DataFrame:
+    """``e, term, n_te, n_e`` of terms in enough units of an entity that may
+    disclose it: the units with any entity bound a term's count from below."""
+    counted = units.select("e", F.explode(F.array_distinct("words")).alias("term")).groupBy("e", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= LEAST_CONTEXTS)
+    counted = materialize(counted, "pii-counted")
+    # one entity of each unit stands for it
+    one = units.join(units.groupBy("x").agg(F.min("e").alias("e")), ["x", "e"])
+    known = _small(materialize(counted.select("term").distinct(), "pii-known"))
+    low = one.select(F.explode(F.array_distinct("words")).alias("term")).join(known, "term").groupBy("term").agg(F.count("*").alias("n_low"))
+    n_e = units.groupBy("e").agg(F.count("*").alias("n_e"))
+    return counted.join(n_e, "e").join(low, "term").filter(_value("n_te", "n_low", "n_e", total) >= least).drop("n_low")
 
-    That many pairs of neighbours of the term must differ, and that many units:
-    a unit counts 1 / m if half of its runs of three terms are in m or more units
+
+def supported(units: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that are seen in LEAST_CONTEXTS different surroundings.
+
+    So many pairs of neighbours of the term must differ, and so many units: a
+    unit counts 1 / m if half of its runs of three terms are in m or more units
     of the entity, so m near copies count as about one, and neither they nor a
     full vocabulary lessen what others count.
     """
-    least = lambda c: F.col(c) >= LEAST_CONTEXTS
-    terms = units.select("e", "x", F.explode(F.array_distinct("words")).alias("term"))
-    counted = terms.groupBy("e", "term").agg(F.count("*").alias("n_te")).filter(least("n_te"))
     beside = F.transform("words", lambda w, k: F.struct(w.alias("term"), F.xxhash64(F.get("words", k - 1), F.get("words", k + 1)).alias("c")))
-    spots = units.select("e", F.explode(F.array_distinct(beside)).alias("s")).select("e", "s.term", "s.c").distinct()
-    varied = spots.groupBy("e", "term").agg(F.count("*").alias("n")).filter(least("n"))
-    pairs = materialize(counted.join(varied.select("e", "term"), ["e", "term"]), "pii-counted")
+    spots = units.select("e", F.explode(F.array_distinct(beside)).alias("s")).select("e", "s.term", "s.c").join(_small(pairs.select("e", "term")), ["e", "term"], "left_semi").distinct()
+    varied = spots.groupBy("e", "term").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_CONTEXTS)
+    pairs = materialize(pairs.join(varied.select("e", "term"), ["e", "term"]), "pii-varied")
     some = units.join(_small(materialize(pairs.select("e").distinct(), "pii-seen")), "e", "left_semi")
     runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))), lambda k: F.xxhash64(F.get("words", k), F.get("words", k + 1), F.get("words", k + 2)))
     grams = materialize(some.select("e", "x", F.explode(F.array_distinct(runs)).alias("g")), "pii-grams")
     shared = grams.groupBy("e", "g").agg(F.count("*").alias("m"))
     often = grams.join(shared, ["e", "g"]).groupBy("e", "x").agg(F.sort_array(F.collect_list("m")).alias("m"))
     weights = often.select("e", "x", (1 / F.get("m", F.floor((F.size("m") - 1) / 2).cast("int"))).alias("weight"))
-    support = terms.join(pairs.select("e", "term"), ["e", "term"]).join(weights, ["e", "x"]).groupBy("e", "term").agg(F.sum("weight").alias("support"))
+    terms = some.select("e", "x", F.explode(F.array_distinct("words")).alias("term")).join(_small(pairs.select("e", "term")), ["e", "term"], "left_semi")
+    support = terms.join(weights, ["e", "x"]).groupBy("e", "term").agg(F.sum("weight").alias("support"))
     return pairs.join(support.filter(F.col("support") >= LEAST_CONTEXTS - 1e-9).select("e", "term"), ["e", "term"])
 
 
-def _valued(pairs: DataFrame, units: DataFrame, texts: DataFrame, form) -> DataFrame:
+def _valued(pairs: DataFrame, texts: DataFrame, total: int, form) -> DataFrame:
     """``term, disclosure`` (the largest over entities) of pairs ``e, term,
-    n_te``; ``form`` makes the terms that count out of a unit's words."""
+    n_te, n_e``; ``form`` makes the terms that count out of a unit's words."""
     candidates = _small(materialize(pairs.select("term").distinct(), "pii-candidates"))
     every = texts.select(F.explode(_units(F.col("_t"))).alias("s"))
     n_t = every.select(F.explode(F.array_distinct(form(_terms(F.col("s"))))).alias("term")).join(candidates, "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    n_e = units.groupBy("e").agg(F.count("*").alias("n_e"))
-    # units of all texts: whole words by UNIT_WORDS
-    total = texts.agg(F.sum(F.ceil(F.regexp_count("_t", F.lit(r"[^\x20\x09-\x0D]+")) / UNIT_WORDS)).alias("n")).first()["n"] or 0
-    n = F.lit(float(max(total, 2)))
-    p = lambda c: F.least(F.col(c) / n, F.lit(1 - 1e-9))
-    value = F.log(p("n_te") / (p("n_t") * p("n_e"))) / -F.log(p("n_e"))
-    return pairs.join(n_e, "e").join(n_t, "term").groupBy("term").agg(F.max(value).alias("disclosure"))
+    return pairs.join(n_t, "term").groupBy("term").agg(F.max(_value("n_te", "n_t", "n_e", total)).alias("disclosure"))
+
+
+def _total(texts: DataFrame) -> int:
+    """Units of all texts: whole words by UNIT_WORDS."""
+    words = F.regexp_count("_t", F.lit(r"[^\x20\x09-\x0D]++"))
+    return texts.agg(F.sum(F.ceil(words / UNIT_WORDS)).alias("n")).first()["n"] or 0
+
+
+def disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: DataFrame | None = None, least: float = DISCLOSURE) -> DataFrame:
+    """``term, disclosure`` of the terms with enough support that reach ``least``."""
+    return _disclosures(docs, id_col, text_col, base, least)[0]
 
 
-def disclosures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``term, disclosure`` of all terms with enough support, with the pairs and
-    units they come from. Each text of an id counts once."""
+def _disclosures(docs: DataFrame, id_col: str, text_col: str, base: DataFrame | None, least: float) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Also the pairs and units that the values come from, and all units."""
     base = base_table(docs, id_col, text_col) if base is None else base
-    units = entity_units(docs, base, id_col, text_col)
-    pairs = materialize(supported(units), "pii-pairs")
+    units, texts = entity_units(docs, base, id_col, text_col), _rows(docs, id_col, text_col)
+    none = docs.sparkSession.createDataFrame([], "term string, disclosure double")
+    if units.isEmpty():
+        return none, units, units, 0
+    total = _total(texts)
+    pairs = materialize(hopeful_pairs(units, total, least), "pii-hopeful")
+    pairs = materialize(supported(units, pairs), "pii-pairs") if not pairs.isEmpty() else pairs
     if pairs.isEmpty():
-        return docs.sparkSession.createDataFrame([], "term string, disclosure double"), pairs, units
-    texts = _rows(docs, id_col, text_col).dropDuplicates(["_h"])
-    return materialize(_valued(pairs, units, texts, lambda words: words), "pii-disclosures"), pairs, units
+        return none, pairs, units, total
+    return materialize(_valued(pairs, texts, total, lambda words: words).filter(F.col("disclosure") >= least), "pii-disclosures"), pairs, units, total
 
 
 def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: DataFrame | None = None) -> DataFrame:
     """``term, disclosure, shown``: the terms to be sanitised, and the general
     form that takes a term's place ('' if that reveals too much as well)."""
-    values, pairs, units = disclosures(docs, id_col, text_col, base)
-    high = materialize(values.filter(F.col("disclosure") >= DISCLOSURE), "pii-high")
+    high, pairs, units, total = _disclosures(docs, id_col, text_col, base, DISCLOSURE)
     if high.isEmpty():
         return high.withColumn("shown", F.lit(""))
     stems = lambda words: F.transform(F.filter(words, lambda w: F.length(w) > STEM), lambda w: F.substring(w, 1, STEM))
     long = high.filter(F.length("term") > STEM).withColumn("stem", F.substring("term", 1, STEM))
-    asked = pairs.join(long.select("term", "stem"), "term").select("e", F.col("stem").alias("term")).distinct()
+    asked = pairs.join(long.select("term", "stem"), "term").select("e", F.col("stem").alias("term"), "n_e").distinct()
     seen = units.select("e", "x", F.explode(F.array_distinct(stems(F.col("words")))).alias("term"))
-    counted = materialize(seen.join(asked, ["e", "term"]).groupBy("e", "term").agg(F.count("*").alias("n_te")), "pii-stems")
-    general = _valued(counted, units, _rows(docs, id_col, text_col).dropDuplicates(["_h"]), stems).select(F.col("term").alias("stem"), F.col("disclosure").alias("_general"))
+    counted = materialize(seen.join(asked, ["e", "term"]).groupBy("e", "term", "n_e").agg(F.count("*").alias("n_te")), "pii-stems")
+    general = _valued(counted, _rows(docs, id_col, text_col), total, stems).select(F.col("term").alias("stem"), F.col("disclosure").alias("_general"))
     ladder = long.join(general, "stem", "left").filter(F.col("_general") < DISCLOSURE).select("term", F.concat("stem", F.lit("*")).alias("shown"))
     return materialize(high.join(ladder, "term", "left").select("term", "disclosure", F.coalesce("shown", F.lit("")).alias("shown")), "pii-terms")
 

@@ -101,9 +101,8 @@ def brute_disclosures(rows):
     def terms(text):
         return [w for w in re.findall(r"\w+", re.sub(PATTERNS["email"], " ", text).lower()) if w.isalpha() and len(w) >= 4]
 
-    texts = {(i, t) for i, t in rows}
-    rows_of = collections.Counter(e for _, t in texts for e in protected(t))
-    units = [(protected(u), terms(u)) for _, t in texts for u in cut(t)]
+    rows_of = collections.Counter(e for _, t in rows for e in protected(t))
+    units = [(protected(u), terms(u)) for _, t in rows for u in cut(t)]
     n, n_t = max(len(units), 2), collections.Counter(w for _, ws in units for w in set(ws))
     best = {}
     for e in (e for e, c in rows_of.items() if c >= 3):
@@ -132,9 +131,11 @@ def test_disclosures_equal_brute_force(spark, monkeypatch):
         rows.append((k % 140, " ".join(text)))
     rows += rows[:20]
     want = brute_disclosures(rows)
-    got = {r.term: r.disclosure for r in disclosures(spark.createDataFrame(rows, "doc_id long, text string"))[0].collect()}
+    got = {r.term: r.disclosure for r in disclosures(spark.createDataFrame(rows, "doc_id long, text string"), least=-99.0).collect()}
     assert len(want) > 20 and got.keys() == want.keys()
     assert all(abs(got[t] - want[t]) < 1e-9 for t in want)
+    some = {r.term for r in disclosures(spark.createDataFrame(rows, "doc_id long, text string"), least=0.1).collect()}
+    assert some == {t for t, x in want.items() if x >= 0.1} and 0 < len(some) < len(want)
 
 
 def test_terms_are_generalised_where_that_hides_enough(spark):

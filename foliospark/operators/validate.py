@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from foliospark.functions import jsonx as J
-from foliospark.functions.text import trim_all
 
 #: Anchors that open safely, bare addresses, dates.
 ANCHOR_A = r"""(?i)<a\s[^>]*href=["']https?://[^"']+["'][^>]*target=["']_blank["'][^>]*rel=["'][^"']*noopener[^"']*noreferrer[^"']*["'][^>]*>"""
@@ -24,61 +23,60 @@ MOST_CHARTS = 4
 NONE = "array<string>"
 
 
-#: The texts of the issues; {} stands for an index or the date.
+#: The text of each rule's issue; {} stands for an index, the date or
+#: a value.
 MESSAGES = {
-    "top_block_pills_number_empty": "top_block.pills[{}].number is empty.",
-    "top_block_pills_description_empty": "top_block.pills[{}].description is empty.",
-    "top_block_pills_accent_color_empty": "top_block.pills[{}].accent_color is empty.",
-    "top_block_pills_object": "top_block.pills[{}] is not an object.",
-    "no_incorrect_version_field_expected": "Missing or incorrect version field (expected 1).",
-    "no_metadata_object": "Missing metadata object.",
-    "no_metadata_title": "Missing metadata.title.",
-    "no_metadata_filename_slug": "Missing metadata.filename_slug.",
-    "no_metadata_date_created": "Missing metadata.date_created.",
-    "metadata_date_created_equal": "metadata.date_created must equal {}.",
-    "metadata_filename_slug_match__authorsurname_short": "metadata.filename_slug must match {}_authorsurname_short-title_explainer.",
-    "no_hero_object": "Missing hero object.",
-    "no_hero_headline": "Missing hero.headline.",
-    "no_hero_headline_html": "Missing hero.headline_html.",
-    "no_hero_subtitle": "Missing hero.subtitle.",
-    "no_hero_publication_date": "Missing hero.publication_date.",
-    "hero_publication_date_use_format": 'hero.publication_date must use the format "Published Month Year".',
-    "no_top_block": "Missing top_block.",
-    "no_top_block_pills_empty": "top_block.pills is empty or missing.",
-    "top_block_pills_contain_between": "top_block.pills must contain between 2 and 6 pills.",
-    "top_block_body_empty_takeaway": "top_block.body is empty (takeaway).",
-    "top_block_kind_pills_takeaway": 'top_block.kind must be "pills" or "takeaway".',
-    "sections_list_items_object": "sections[{}].list.items[{}] is not an object.",
-    "sections_list_items_body": "sections[{}].list.items[{}].body is empty.",
-    "no_sections_label": "sections[{}] missing label.",
-    "sections_paragraphs_structured_list": "sections[{}] must include paragraphs or a structured list.",
-    "sections_contains_empty_paragraph": "sections[{}] contains empty paragraph entries.",
-    "sections_paragraphs_html_align_with": "sections[{}].paragraphs_html must align with paragraphs length.",
-    "sections_list_ordered_boolean": "sections[{}].list.ordered must be boolean.",
-    "sections_list_items_contain": "sections[{}].list.items must contain at least 1 item.",
-    "sections_object": "sections[{}] is not an object.",
-    "end_takeaway_omitted_when_top_block": 'end_takeaway must be omitted when top_block.kind is "takeaway".',
-    "end_takeaway_present_when_top_block": 'end_takeaway must be present when top_block.kind is "pills".',
-    "no_empty_sections_array": "Missing or empty sections array.",
-    "charts_datasets_data_ordinal": "charts[{}].datasets[{}].data is an ordinal sequence (",
-    "bar_height_encoding_rank": ") - bar height is encoding rank order, not magnitude. Move to a numbered list or prose, or replace with measured values.",
-    "charts_datasets_data_two": "charts[{}].datasets[{}].data is a two-value share-of-whole (",
-    "sums_f_move_top_block": " sums to ~%.2f). Move to top_block.pills - a proportion is not a chart.",
-    "charts_title_empty": "charts[{}].title is empty.",
-    "charts_caption_empty": "charts[{}].caption is empty.",
-    "charts_config_json_config_raw": "charts[{}] must include config_json or config_raw.",
-    "charts_array_when_present": "charts must be an array when present.",
-    "charts_contain_more_than": "charts must not contain more than 4 entries.",
-    "chart_object_when_present": "chart must be an object when present.",
-    "image_object_when_present": "image must be an object when present.",
-    "image_source_figure_empty": "image.source_figure is empty.",
-    "image_caption_empty": "image.caption is empty.",
-    "references_clickable_external_anchor": 'references[{}] must include a clickable external anchor with target="_blank" and rel="noopener noreferrer".',
-    "references_contains_bare_url": "references[{}] contains a bare URL outside an anchor tag.",
-    "references_empty": "references[{}] is empty.",
-    "no_references_array": "Missing references array.",
-    "references_contain_primary_source": "references must contain the primary source citation.",
-    "output_json_object": "Output is not a JSON object.",
+    "V1": "Output is not a JSON object.",
+    "V2": "Missing or incorrect version field (expected 1).",
+    "V3": "Missing metadata object.",
+    "V4": "Missing metadata.title.",
+    "V5": "Missing metadata.filename_slug.",
+    "V6": "Missing metadata.date_created.",
+    "V7": "metadata.date_created must equal {}.",
+    "V8": "metadata.filename_slug must match {}_authorsurname_short-title_explainer.",
+    "V9": "Missing hero object.",
+    "V10": "Missing hero.headline.",
+    "V11": "Missing hero.headline_html.",
+    "V12": "Missing hero.subtitle.",
+    "V13": "Missing hero.publication_date.",
+    "V14": 'hero.publication_date must use the format "Published Month Year".',
+    "V15": "Missing top_block.",
+    "V16": "top_block.pills is empty or missing.",
+    "V17": "top_block.pills must contain between 2 and 6 pills.",
+    "V18": "top_block.pills[{}] is not an object.",
+    "V19": "top_block.pills[{}].number is empty.",
+    "V20": "top_block.pills[{}].description is empty.",
+    "V21": "top_block.pills[{}].accent_color is empty.",
+    "V22": "top_block.body is empty (takeaway).",
+    "V23": 'top_block.kind must be "pills" or "takeaway".',
+    "V24": "Missing or empty sections array.",
+    "V25": "sections[{}] is not an object.",
+    "V26": "sections[{}] missing label.",
+    "V27": "sections[{}] must include paragraphs or a structured list.",
+    "V28": "sections[{}] contains empty paragraph entries.",
+    "V29": "sections[{}].paragraphs_html must align with paragraphs length.",
+    "V30": "sections[{}].list.ordered must be boolean.",
+    "V31": "sections[{}].list.items must contain at least 1 item.",
+    "V32": "sections[{}].list.items[{}] is not an object.",
+    "V33": "sections[{}].list.items[{}].body is empty.",
+    "V34": 'end_takeaway must be omitted when top_block.kind is "takeaway".',
+    "V35": 'end_takeaway must be present when top_block.kind is "pills".',
+    "V36": "charts must be an array when present.",
+    "V37": "charts must not contain more than 4 entries.",
+    "V38": "charts[{}].title is empty.",
+    "V39": "charts[{}].caption is empty.",
+    "V40": "charts[{}] must include config_json or config_raw.",
+    "V41": "charts[{}].datasets[{}].data is an ordinal sequence ({}) - bar height is encoding rank order, not magnitude. Move to a numbered list or prose, or replace with measured values.",
+    "V42": "charts[{}].datasets[{}].data is a two-value share-of-whole ({} sums to ~{}). Move to top_block.pills - a proportion is not a chart.",
+    "V43": "chart must be an object when present.",
+    "V44": "image must be an object when present.",
+    "V45": "image.source_figure is empty.",
+    "V46": "image.caption is empty.",
+    "V47": "Missing references array.",
+    "V48": "references must contain the primary source citation.",
+    "V49": "references[{}] is empty.",
+    "V50": 'references[{}] must include a clickable external anchor with target="_blank" and rel="noopener noreferrer".',
+    "V51": "references[{}] contains a bare URL outside an anchor tag.",
 }
 
 #: The lines around the issues in a repair request; {} is the date.
@@ -107,7 +105,7 @@ def _each(array: Column, check) -> Column:
 
 
 def _at(path: str, *parts) -> Column:
-    """``path`` with each ``{}`` filled by an index column."""
+    """``path`` with each ``{}`` filled by a column."""
     pieces = path.split("{}")
     out = [F.lit(pieces[0])]
     for part, piece in zip(parts, pieces[1:], strict=True):
@@ -148,28 +146,28 @@ def _top(v: Column, date: str) -> list[Column]:
     no_date = J.falsy(published)
 
     def pill(p: Column, i: Column) -> Column:
-        inside = _when_all(_issue(J.blank(J.get(p, "number")), _at(MESSAGES["top_block_pills_number_empty"], i)), _issue(J.blank(J.get(p, "description")), _at(MESSAGES["top_block_pills_description_empty"], i)), _issue(J.falsy(J.get(p, "accent_color")), _at(MESSAGES["top_block_pills_accent_color_empty"], i)))
-        return F.when(J.is_kind(p, "object"), inside).otherwise(F.array(_at(MESSAGES["top_block_pills_object"], i)))
+        inside = _when_all(_issue(J.blank(J.get(p, "number")), _at(MESSAGES["V19"], i)), _issue(J.blank(J.get(p, "description")), _at(MESSAGES["V20"], i)), _issue(J.falsy(J.get(p, "accent_color")), _at(MESSAGES["V21"], i)))
+        return F.when(J.is_kind(p, "object"), inside).otherwise(F.array(_at(MESSAGES["V18"], i)))
 
     head = _when_all(
-        _issue(~F.coalesce(J.number(v["version"]) == 1, F.lit(False)), MESSAGES["no_incorrect_version_field_expected"]),
-        _issue(~in_meta, MESSAGES["no_metadata_object"]),
-        _issue(in_meta & J.falsy(J.get(meta, "title")), MESSAGES["no_metadata_title"]),
-        _issue(in_meta & J.falsy(slug), MESSAGES["no_metadata_filename_slug"]),
-        _issue(in_meta & J.falsy(created), MESSAGES["no_metadata_date_created"]),
-        _issue(in_meta & (J.text(created) != date), MESSAGES["metadata_date_created_equal"].replace("{}", date)),
-        _issue(in_meta & ~J.text(slug).rlike(f"^{date}_[a-z0-9]+_[a-z0-9-]+_explainer$"), MESSAGES["metadata_filename_slug_match__authorsurname_short"].replace("{}", date)),
-        _issue(~in_hero, MESSAGES["no_hero_object"]),
-        _issue(in_hero & J.falsy(J.get(hero, "headline")), MESSAGES["no_hero_headline"]),
-        _issue(in_hero & J.falsy(J.get(hero, "headline_html")), MESSAGES["no_hero_headline_html"]),
-        _issue(in_hero & J.falsy(J.get(hero, "subtitle")), MESSAGES["no_hero_subtitle"]),
-        _issue(in_hero & no_date, MESSAGES["no_hero_publication_date"]),
-        _issue(in_hero & ~no_date & ~F.coalesce(J.text(published).rlike(PUBLISHED), F.lit(False)), MESSAGES["hero_publication_date_use_format"]),
-        _issue(~in_top, MESSAGES["no_top_block"]),
-        _issue(by_pills & (n_pills == 0), MESSAGES["no_top_block_pills_empty"]),
-        _issue(by_pills & (n_pills > 0) & ~n_pills.between(*PILLS), MESSAGES["top_block_pills_contain_between"]),
+        _issue(~F.coalesce(J.number(v["version"]) == 1, F.lit(False)), MESSAGES["V2"]),
+        _issue(~in_meta, MESSAGES["V3"]),
+        _issue(in_meta & J.falsy(J.get(meta, "title")), MESSAGES["V4"]),
+        _issue(in_meta & J.falsy(slug), MESSAGES["V5"]),
+        _issue(in_meta & J.falsy(created), MESSAGES["V6"]),
+        _issue(in_meta & (J.text(created) != date), MESSAGES["V7"].replace("{}", date)),
+        _issue(in_meta & ~J.text(slug).rlike(f"^{date}_[a-z0-9]+_[a-z0-9-]+_explainer$"), MESSAGES["V8"].replace("{}", date)),
+        _issue(~in_hero, MESSAGES["V9"]),
+        _issue(in_hero & J.falsy(J.get(hero, "headline")), MESSAGES["V10"]),
+        _issue(in_hero & J.falsy(J.get(hero, "headline_html")), MESSAGES["V11"]),
+        _issue(in_hero & J.falsy(J.get(hero, "subtitle")), MESSAGES["V12"]),
+        _issue(in_hero & no_date, MESSAGES["V13"]),
+        _issue(in_hero & ~no_date & ~F.coalesce(J.text(published).rlike(PUBLISHED), F.lit(False)), MESSAGES["V14"]),
+        _issue(~in_top, MESSAGES["V15"]),
+        _issue(by_pills & (n_pills == 0), MESSAGES["V16"]),
+        _issue(by_pills & (n_pills > 0) & ~n_pills.between(*PILLS), MESSAGES["V17"]),
     )
-    rest = _when_all(_issue(takeaway & J.falsy(J.get(top, "body")), MESSAGES["top_block_body_empty_takeaway"]), _issue(in_top & ~by_pills & ~takeaway, MESSAGES["top_block_kind_pills_takeaway"]))
+    rest = _when_all(_issue(takeaway & J.falsy(J.get(top, "body")), MESSAGES["V22"]), _issue(in_top & ~by_pills & ~takeaway, MESSAGES["V23"]))
     return [head, F.when(by_pills, _each(J.items(pills), pill)).otherwise(F.array().cast(NONE)), rest]
 
 
@@ -177,7 +175,7 @@ def _sections(v: Column) -> list[Column]:
     sections = J.items(v["sections"])
 
     def item(x: Column, i: Column, k: Column) -> Column:
-        bad = F.when(~J.is_kind(x, "object"), _at(MESSAGES["sections_list_items_object"], i, k)).when(J.blank(J.get(x, "body")), _at(MESSAGES["sections_list_items_body"], i, k))
+        bad = F.when(~J.is_kind(x, "object"), _at(MESSAGES["V32"], i, k)).when(J.blank(J.get(x, "body")), _at(MESSAGES["V33"], i, k))
         return F.array_compact(F.array(bad))
 
     def section(s: Column, i: Column) -> Column:
@@ -185,23 +183,23 @@ def _sections(v: Column) -> list[Column]:
         some, has_list = F.size(paragraphs) > 0, J.is_kind(J.get(s, "list"), "object")
         entries = J.items(J.get(listed, "items"))
         inside = _when_all(
-            _issue(J.falsy(J.get(s, "label")), _at(MESSAGES["no_sections_label"], i)),
-            _issue(~some & ~has_list, _at(MESSAGES["sections_paragraphs_structured_list"], i)),
-            _issue(F.exists(paragraphs, J.blank), _at(MESSAGES["sections_contains_empty_paragraph"], i)),
-            _issue(J.is_kind(rich, "array") & some & (F.size(J.items(rich)) != F.size(paragraphs)), _at(MESSAGES["sections_paragraphs_html_align_with"], i)),
-            _issue(has_list & ~J.is_kind(J.get(listed, "ordered"), "boolean"), _at(MESSAGES["sections_list_ordered_boolean"], i)),
-            _issue(has_list & (F.size(entries) == 0), _at(MESSAGES["sections_list_items_contain"], i)),
+            _issue(J.falsy(J.get(s, "label")), _at(MESSAGES["V26"], i)),
+            _issue(~some & ~has_list, _at(MESSAGES["V27"], i)),
+            _issue(F.exists(paragraphs, J.blank), _at(MESSAGES["V28"], i)),
+            _issue(J.is_kind(rich, "array") & some & (F.size(J.items(rich)) != F.size(paragraphs)), _at(MESSAGES["V29"], i)),
+            _issue(has_list & ~J.is_kind(J.get(listed, "ordered"), "boolean"), _at(MESSAGES["V30"], i)),
+            _issue(has_list & (F.size(entries) == 0), _at(MESSAGES["V31"], i)),
         )
         full = F.concat(inside, F.when(has_list, _each(entries, lambda x, k: item(x, i, k))).otherwise(F.array().cast(NONE)))
-        return F.when(J.is_kind(s, "object"), full).otherwise(F.array(_at(MESSAGES["sections_object"], i)))
+        return F.when(J.is_kind(s, "object"), full).otherwise(F.array(_at(MESSAGES["V25"], i)))
 
     top, end = v["top_block"], v["end_takeaway"]
     kind = F.when(J.is_kind(top, "object"), J.text(J.get(top, "kind")))
     ends = _when_all(
-        _issue((kind == "takeaway") & ~J.falsy(end), MESSAGES["end_takeaway_omitted_when_top_block"]),
-        _issue((kind == "pills") & (~J.is_kind(end, "object") | J.falsy(J.get(end, "body"))), MESSAGES["end_takeaway_present_when_top_block"]),
+        _issue((kind == "takeaway") & ~J.falsy(end), MESSAGES["V34"]),
+        _issue((kind == "pills") & (~J.is_kind(end, "object") | J.falsy(J.get(end, "body"))), MESSAGES["V35"]),
     )
-    return [_when_all(_issue(F.size(sections) == 0, MESSAGES["no_empty_sections_array"])), _each(sections, section), ends]
+    return [_when_all(_issue(F.size(sections) == 0, MESSAGES["V24"])), _each(sections, section), ends]
 
 
 def _charts(v: Column) -> list[Column]:
@@ -214,43 +212,42 @@ def _charts(v: Column) -> list[Column]:
 
     def told(data: Column, shown: Column, d: Column, i: Column) -> Column:
         total = F.get(data, F.lit(0)) + F.get(data, F.lit(1))
-        ordinal = F.concat(_at(MESSAGES["charts_datasets_data_ordinal"], i, d), shown, F.lit(MESSAGES["bar_height_encoding_rank"]))
-        share = F.concat(_at(MESSAGES["charts_datasets_data_two"], i, d), shown, F.format_string(MESSAGES["sums_f_move_top_block"], total))
-        return _when_all(_issue(is_ordinal(data), ordinal), _issue(is_share(data), share))
+        share = _at(MESSAGES["V42"], i, d, shown, F.format_string("%.2f", total))
+        return _when_all(_issue(is_ordinal(data), _at(MESSAGES["V41"], i, d, shown)), _issue(is_share(data), share))
 
     def chart(c: Column, i: Column) -> Column:
         sets = J.items(F.try_variant_get(c, "$.config_json.data.datasets", "variant"))
         numbers = F.filter(F.transform(sets, lambda s: F.filter(J.items(J.get(s, "data")), lambda x: J.is_kind(x, "number"))), lambda a: F.size(a) > 0)
         own = _when_all(
-            _issue(J.blank(J.get(c, "title")), _at(MESSAGES["charts_title_empty"], i)),
-            _issue(J.blank(J.get(c, "caption")), _at(MESSAGES["charts_caption_empty"], i)),
-            _issue(J.get(c, "config_json").isNull() & J.blank(J.get(c, "config_raw")), _at(MESSAGES["charts_config_json_config_raw"], i)),
+            _issue(J.blank(J.get(c, "title")), _at(MESSAGES["V38"], i)),
+            _issue(J.blank(J.get(c, "caption")), _at(MESSAGES["V39"], i)),
+            _issue(J.get(c, "config_json").isNull() & J.blank(J.get(c, "config_raw")), _at(MESSAGES["V40"], i)),
         )
         return F.concat(own, _each(numbers, lambda a, d: dataset(a, d, i)))
 
-    before = _when_all(_issue(listed.isNotNull() & ~J.is_kind(listed, "array"), MESSAGES["charts_array_when_present"]), _issue(F.size(J.items(listed)) > MOST_CHARTS, MESSAGES["charts_contain_more_than"]))
+    before = _when_all(_issue(listed.isNotNull() & ~J.is_kind(listed, "array"), MESSAGES["V36"]), _issue(F.size(J.items(listed)) > MOST_CHARTS, MESSAGES["V37"]))
     is_image = J.is_kind(image, "object")
     after = _when_all(
-        _issue(single.isNotNull() & ~J.is_kind(single, "object"), MESSAGES["chart_object_when_present"]),
-        _issue(image.isNotNull() & ~is_image, MESSAGES["image_object_when_present"]),
-        _issue(is_image & J.blank(J.get(image, "source_figure")), MESSAGES["image_source_figure_empty"]),
-        _issue(is_image & J.blank(J.get(image, "caption")), MESSAGES["image_caption_empty"]),
+        _issue(single.isNotNull() & ~J.is_kind(single, "object"), MESSAGES["V43"]),
+        _issue(image.isNotNull() & ~is_image, MESSAGES["V44"]),
+        _issue(is_image & J.blank(J.get(image, "source_figure")), MESSAGES["V45"]),
+        _issue(is_image & J.blank(J.get(image, "caption")), MESSAGES["V46"]),
     )
     return [before, _each(charts, chart), after]
 
 
 def reference_issues(ref: Column, blank: Column, i: Column) -> Column:
     bad = _when_all(
-        _issue(~safe_anchor(ref), _at(MESSAGES["references_clickable_external_anchor"], i)),
-        _issue(bare_url(ref), _at(MESSAGES["references_contains_bare_url"], i)),
+        _issue(~safe_anchor(ref), _at(MESSAGES["V50"], i)),
+        _issue(bare_url(ref), _at(MESSAGES["V51"], i)),
     )
-    return F.when(blank, F.array(_at(MESSAGES["references_empty"], i))).otherwise(bad)
+    return F.when(blank, F.array(_at(MESSAGES["V49"], i))).otherwise(bad)
 
 
 def _references(v: Column) -> list[Column]:
     refs = v["references"]
     is_list = J.is_kind(refs, "array")
-    before = _when_all(_issue(~is_list, MESSAGES["no_references_array"]), _issue(is_list & (F.size(J.items(refs)) == 0), MESSAGES["references_contain_primary_source"]))
+    before = _when_all(_issue(~is_list, MESSAGES["V47"]), _issue(is_list & (F.size(J.items(refs)) == 0), MESSAGES["V48"]))
     return [before, _each(J.items(refs), lambda r, i: reference_issues(J.text(r), J.blank(r), i))]
 
 
@@ -261,7 +258,7 @@ def issues(v: Column, expected_date: str) -> Column:
 
     keys = ("version", "metadata", "hero", "top_block", "sections", "end_takeaway", "charts", "chart", "image", "references")
     fields = F.struct(*(J.get(v, k).alias(k) for k in keys))
-    return F.when(J.is_kind(v, "object"), J.let(fields, parts)).otherwise(F.array(F.lit(MESSAGES["output_json_object"])))
+    return F.when(J.is_kind(v, "object"), J.let(fields, parts)).otherwise(F.array(F.lit(MESSAGES["V1"])))
 
 
 def validation(v: Column, expected_date: str) -> Column:
@@ -277,4 +274,4 @@ def repair_instruction(found: Column, expected_date: str) -> Column:
     return F.array_join(lines, "\n")
 
 
-__all__ = ["issues", "validation", "repair_instruction", "safe_anchor", "bare_url", "is_ordinal", "is_share", "trim_all"]
+__all__ = ["issues", "validation", "repair_instruction", "safe_anchor", "bare_url", "is_ordinal", "is_share"]

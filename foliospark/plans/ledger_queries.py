@@ -234,7 +234,7 @@ def crop_pixels(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", figures.crop_pixels(F.col("b"), F.lit(612.0)).alias("c")).filter("c is not null").select("p_partkey", "c.*")
 
 
-_PAGES = ["substr(text, 1, 200) || CASE WHEN doc_id % 3 = 0 THEN ' see Figure 3 for' ELSE ' Figure 30. x' END", "'see fig. 3' || CASE WHEN doc_id % 4 = 0 THEN chr(10) || '  Fig.  3 : cap' ELSE ' and' END", "CASE WHEN doc_id % 2 = 0 THEN 'x' || chr(10) || 'Figure 3. The end' ELSE 'none' END"]
+_PAGES = ["text || CASE WHEN doc_id % 3 = 0 THEN ' see Figure 3 for' ELSE ' Figure 30. x' END", "'see fig. 3' || CASE WHEN doc_id % 4 = 0 THEN chr(10) || '  Fig.  3 : cap' ELSE ' and' END", "CASE WHEN doc_id % 2 = 0 THEN 'x' || chr(10) || 'Figure 3. The end' ELSE 'none' END"]
 
 
 @query(f"""WITH p AS (SELECT doc_id, page, CASE page WHEN 1 THEN {_PAGES[0]} WHEN 2 THEN {_PAGES[1]} ELSE {_PAGES[2]} END AS t FROM documents CROSS JOIN (SELECT unnest([1, 2, 3]) AS page)),
@@ -246,12 +246,12 @@ def figure_locate(spark: SparkSession, d: str) -> DataFrame:
     return figures.locate_page(pages, "doc_id", "page", "t", F.lit("Fig. 3"))
 
 
-@query("""WITH w AS (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) - 1 AS seq FROM (SELECT doc_id, list_concat(string_split(text, ' ')[1:30], CASE doc_id % 4 WHEN 0 THEN ['Figure', '2:'] WHEN 1 THEN ['fig.', '2'] WHEN 2 THEN ['Figure', '20'] ELSE ['x', '2', 'FIG', '2,b'] END) AS l FROM documents)),
+@query("""WITH w AS (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) - 1 AS seq FROM (SELECT doc_id, list_concat(string_split(text, ' '), CASE doc_id % 4 WHEN 0 THEN ['Figure', '2:'] WHEN 1 THEN ['fig.', '2'] WHEN 2 THEN ['Figure', '20'] ELSE ['x', '2', 'FIG', '2,b'] END) AS l FROM documents)),
   n AS (SELECT *, lead(word) OVER (PARTITION BY doc_id ORDER BY seq) AS next_ FROM w)
   SELECT doc_id, min(seq)::INTEGER AS seq FROM n WHERE regexp_matches(word, '(?i)^(figure|fig\\.?)$') AND regexp_matches(next_, '(?i)^2([.:,]|$)') GROUP BY doc_id""")
 def caption_pair(spark: SparkSession, d: str) -> DataFrame:
     tail = F.expr("CASE doc_id % 4 WHEN 0 THEN array('Figure', '2:') WHEN 1 THEN array('fig.', '2') WHEN 2 THEN array('Figure', '20') ELSE array('x', '2', 'FIG', '2,b') END")
-    words = table(spark, d, "documents").select("doc_id", F.posexplode(F.concat(F.slice(F.split("text", " "), 1, 30), tail)).alias("seq", "word"))
+    words = table(spark, d, "documents").select("doc_id", F.posexplode(F.concat(F.split("text", " "), tail)).alias("seq", "word"))
     return figures.caption_words(words, ["doc_id"], "seq", "word", F.lit("2"))
 
 

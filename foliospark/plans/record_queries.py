@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import jsonx as J
+from foliospark.functions.text import trim_all
 from foliospark.operators import normalize, validate
 from foliospark.plans.registry import query, table
 
@@ -169,7 +170,7 @@ _REFS = """CASE page_id % 5 WHEN 0 THEN '<a href="' || url || '" target="_blank"
 def validate_refs(spark: SparkSession, d: str) -> DataFrame:
     ref = F.expr(_REFS.replace("HREF=''' || url || '''", "HREF=\\'' || url || '\\'"))
     rows = table(spark, d, "pages").select("page_id", ref.alias("r"))
-    blank = F.length(validate.trim_all(F.col("r"))) == 0
+    blank = F.length(trim_all(F.col("r"))) == 0
     return rows.select("page_id", validate.safe_anchor(F.col("r")).alias("safe"), validate.bare_url(F.col("r")).alias("bare"), F.array_join(validate.reference_issues(F.col("r"), blank, F.lit(0)), "; ").alias("issues"))
 
 

@@ -15,23 +15,33 @@ from foliospark.operators import lanes, ledger
 from foliospark.operators.validate import repair_instruction
 from foliospark.plans.registry import query, table
 
+#: What the registered SQL shares: outer white space goes; entities are decoded.
 SPACE = r"'^\s+|\s+$'"
-_DECODE = "replace(replace(replace(replace(replace(replace({}, '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', '''')"
 
 
 def _trim(x: str) -> str:
     return f"regexp_replace({x}, {SPACE}, '', 'g')"
 
 
-_TAGLESS = "regexp_replace(regexp_replace(regexp_replace(substr(html, 1, 600000), '(?i)<script[^>]*>[\\s\\S]*?</script>|<style[^>]*>[\\s\\S]*?</style>', ' ', 'g'), '<!--[\\s\\S]*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+def _decoded(x: str) -> str:
+    return f"""replace(replace(replace(replace(replace(replace({x}, '&nbsp;', ' '), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', '''')"""
 
 
-@query(f"SELECT page_id, substr({_trim('regexp_replace(' + _DECODE.format(_TAGLESS) + chr(44) + ' ' + chr(39) + chr(92) + 's{2,}' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}, 1, 200000) AS body FROM pages")
+@query(rf"""
+WITH s AS (SELECT page_id, regexp_replace(substr(html, 1, 600000), '(?i)<script[^>]*>[\s\S]*?</script>|<style[^>]*>[\s\S]*?</style>', ' ', 'g') AS h FROM pages),
+  t AS (SELECT page_id, regexp_replace(regexp_replace(h, '<!--[\s\S]*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g') AS h FROM s),
+  d AS (SELECT page_id, regexp_replace({_decoded("h")}, '\s{{2,}}', ' ', 'g') AS h FROM t)
+SELECT page_id, substr({_trim("h")}, 1, 200000) AS body FROM d
+""")
 def strip_html(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", T.page_text(F.col("html")).alias("body"))
 
 
-@query(f"SELECT page_id, {_trim(_DECODE.format(chr(114) + 'egexp_replace(html, ' + chr(39) + '<[^>]+>' + chr(39) + ', ' + chr(39) * 2 + ', ' + chr(39) + 'g' + chr(39) + ')'))} AS body FROM pages")
+@query(f"""
+WITH t AS (SELECT page_id, regexp_replace(html, '<[^>]+>', '', 'g') AS h FROM pages),
+  d AS (SELECT page_id, {_decoded("h")} AS h FROM t)
+SELECT page_id, {_trim("h")} AS body FROM d
+""")
 def html_to_plain(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", T.html_to_plain(F.col("html")).alias("body"))
 
@@ -95,10 +105,9 @@ def focus_directives(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT n_nationkey, coalesce(CASE WHEN n_nationkey % 3 = 0 THEN 'env-' || n_name END, CASE WHEN n_nationkey % 2 = 0 THEN 'file-' || n_name END, 'default') AS model,
-  CASE WHEN n_nationkey % 4 = 0 THEN n_nationkey * 100 WHEN n_nationkey % 5 = 0 THEN 2048 ELSE 8192 END::BIGINT AS max_tokens FROM nation
-  WHERE n_nationkey > 0""")
+  CASE WHEN n_nationkey % 4 = 0 THEN n_nationkey * 100 WHEN n_nationkey % 5 = 0 THEN 2048 ELSE 8192 END::BIGINT AS max_tokens FROM nation""")
 def config_coalesce(spark: SparkSession, d: str) -> DataFrame:
-    base = table(spark, d, "nation").filter("n_nationkey > 0")
+    base = table(spark, d, "nation")
     env = base.filter("n_nationkey % 3 = 0").select("n_nationkey", F.concat(F.lit("env-"), "n_name").alias("env_model"))
     limit = base.select("n_nationkey", F.when(F.col("n_nationkey") % 4 == 0, F.concat((F.col("n_nationkey") * 100).cast("string"), F.lit(".7"))).when(F.col("n_nationkey") % 7 == 0, "-3").otherwise("many").alias("env_limit"))
     file = base.filter("n_nationkey % 2 = 0").select("n_nationkey", F.concat(F.lit("file-"), "n_name").alias("file_model"))

@@ -24,11 +24,13 @@ def json_candidate(raw: Column) -> Column:
 def parse_strict(text: Column) -> Column:
     """VARIANT of exactly one JSON value, else null.
 
-    The parser alone would accept text after the value; inside brackets that
-    text makes the array invalid or longer than one.
+    The parser alone would accept text after the value. Inside brackets that
+    text makes the array invalid or longer than one, unless it closes them; then
+    it is invalid as a member of an object.
     """
     wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
-    return let(wrapped, lambda x: F.when(F.size(x) == 1, F.get(x, F.lit(0))))
+    member = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    return let(wrapped, lambda x: F.when((F.size(x) == 1) & member.isNotNull(), F.get(x, F.lit(0))))
 
 
 def extract_json(raw: Column) -> Column:
@@ -45,12 +47,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-_KINDS = {"object": "^OBJECT", "array": "^ARRAY", "string": "^STRING$", "boolean": "^BOOLEAN$", "null": "^VOID$", "number": "^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"}
+_SHALLOW = {"object": "struct<>", "array": "array<variant>"}
+_SCALARS = {"string": "^STRING$", "boolean": "^BOOLEAN$", "null": "^VOID$", "number": "^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)"}
+
+
+def _inner(v: Column) -> Column:
+    return is_kind(v, "object") | is_kind(v, "array")
 
 
 def is_kind(v: Column, name: str) -> Column:
-    """Whether a value is an ``object array string number boolean null``."""
-    return F.coalesce(F.schema_of_variant(v), F.lit("")).rlike(_KINDS[name])
+    """Whether a value is an ``object array string number boolean null``.
+
+    Objects and arrays are told by their head; the schema, which would go through
+    all that is in them, is taken of other values only.
+    """
+    if name in _SHALLOW:
+        return F.try_variant_get(v, "$", _SHALLOW[name]).isNotNull()
+    return F.when(_inner(v), F.lit(False)).otherwise(F.coalesce(F.schema_of_variant(v), F.lit("")).rlike(_SCALARS[name]))
 
 
 def text(v: Column) -> Column:
@@ -68,7 +81,7 @@ def items(v: Column) -> Column:
 
 def falsy(v: Column) -> Column:
     """Absent, null, '', 0 or false."""
-    return F.coalesce(F.to_json(v), F.lit("null")).rlike(r'^(null|""|-?0(\.0*)?(E.*)?|false)$')
+    return F.when(_inner(v), F.lit(False)).otherwise(F.coalesce(F.to_json(v), F.lit("null")).rlike(r'^(null|""|-?0(\.0*)?(E.*)?|false)$'))
 
 
 def blank(v: Column) -> Column:

@@ -18,10 +18,10 @@ def pipeline_stub(spark: SparkSession, d: str) -> DataFrame:
     return done.select("custom_id", "missing", "input_tokens", "output_tokens", "error", F.length("text").alias("n_chars"))
 
 
-@query("SELECT 'r' || event_id % 500 AS custom_id, max(CASE WHEN event_id % 3 = 0 THEN 'errored' ELSE 'succeeded' END) AS outcome FROM events GROUP BY ALL")
+@query("SELECT 'r' || event_id % 500 AS custom_id, arg_max(CASE WHEN event_id % 3 = 0 THEN 'errored' ELSE 'succeeded' END, event_id) AS outcome FROM events GROUP BY ALL")
 def landing_stream(spark: SparkSession, d: str) -> DataFrame:
     base = fresh_path(spark, "landing")
-    events = table(spark, d, "events").select(F.concat(F.lit("r"), (F.col("event_id") % 500).cast("string")).alias("custom_id"), F.when(F.col("event_id") % 3 == 0, "errored").otherwise("succeeded").alias("outcome"))
+    events = table(spark, d, "events").select(F.concat(F.lit("r"), (F.col("event_id") % 500).cast("string")).alias("custom_id"), F.when(F.col("event_id") % 3 == 0, "errored").otherwise("succeeded").alias("outcome"), F.col("event_id").cast("bigint").alias("seq"))
     events.write.parquet(f"{base}/in")
-    landing.follow(spark, f"{base}/in", "custom_id string, outcome string", f"{base}/out", f"{base}/state")
+    landing.follow(spark, f"{base}/in", "custom_id string, outcome string, seq bigint", f"{base}/out", f"{base}/state")
     return landing.current(spark, f"{base}/out")

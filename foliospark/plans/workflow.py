@@ -39,21 +39,36 @@ def stub_repair(requests: pd.DataFrame) -> pd.DataFrame:
 def call_model(requests: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     """``keys`` and the model's result for rows of ``system, prompt``.
 
-    A batch that raises gives error rows; other batches are not affected.
+    Where a batch raises, its rows are sent one by one: a row that fails gives
+    an error row and affects no other.
     """
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in requests.schema if f.name in keys) + ", " + RESULT
 
+    def answers(rows: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return model(rows).reset_index(drop=True)
+        except Exception as error:  # noqa: BLE001  an item's failure is a result
+            if len(rows) == 1:
+                return pd.DataFrame({"text": None, "input_tokens": 0, "output_tokens": 0, "error": str(error)}, index=[0])
+            return pd.concat([answers(rows.iloc[k : k + 1]) for k in range(len(rows))], ignore_index=True)
+
     def run(frames):
         for frame in frames:
-            try:
-                out = model(frame[["system", "prompt"]]).reset_index(drop=True)
-            except Exception as error:  # noqa: BLE001  an item's failure is a result
-                out = pd.DataFrame({"text": None, "input_tokens": 0, "output_tokens": 0, "error": str(error)}, index=range(len(frame)))
-            yield pd.concat([frame[keys].reset_index(drop=True), out], axis=1)
+            yield pd.concat([frame[keys].reset_index(drop=True), answers(frame[["system", "prompt"]])], axis=1)
 
     return requests.select(*keys, "system", "prompt").mapInPandas(run, schema)
 
 
+#: Fixed value: how the id of a batch starts that is worked on when it is polled.
+DEFERRED = "codexbatch_"
+
+
+def polled(requests: DataFrame, model: Model) -> DataFrame:
+    """Answers of the deferred batches among ``custom_id, batch_id, system,
+    prompt``: nothing ran when they were submitted; others wait for results."""
+    return call_model(requests.filter(F.col("batch_id").startswith(DEFERRED)), model, ["custom_id", "batch_id"])
+
+
 def repair(records: DataFrame, expected_date: str, model: Model, store: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``records`` (with ``text``) and ``ok, issues, repairs`` after at most two
     repairs. Each pass sends only rows that failed; ``store`` writes a pass's

@@ -2,7 +2,8 @@
 
 Results arrive as Parquet files. Every micro-batch changes the state of its
 requests; the sink is keyed by request and idempotent, so a batch that runs
-again after a crash changes nothing.
+again after a crash changes nothing. Of several results of a request the last
+one counts.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 
 def follow(spark: SparkSession, landing: str, schema: str, out: str, checkpoint: str) -> None:
     """Take in everything that has landed and stop. ``schema`` must hold
-    ``custom_id, outcome``; each batch goes to ``out/batch=<id>``."""
+    ``custom_id, outcome``, and ``seq`` for the order of arrival within a batch
+    (else the order of reading holds); each batch goes to ``out/batch=<id>``."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        last = batch.groupBy("custom_id").agg(F.max("outcome").alias("outcome"))
+        ordered = batch if "seq" in batch.columns else batch.withColumn("seq", F.monotonically_increasing_id())
+        last = ordered.groupBy("custom_id").agg(F.max_by("outcome", "seq").alias("outcome"))
         last.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     stream = spark.readStream.schema(schema).parquet(landing)

@@ -186,6 +186,20 @@ def usd(x: Column) -> Column:
     return F.format_string("$%.4f", x)
 
 
+def iso_date(stamp: Column) -> Column:
+    """The date of an ISO timestamp."""
+    return F.substring(stamp, 1, 10)
+
+
+def merged(base: Column, over: Column) -> Column:
+    """Entries of two maps; those of ``over`` win unless they are null."""
+    return F.map_zip_with(base, over, lambda _, x, y: F.coalesce(y, x))
+
+
+def without_keys(entries: Column, *keys: str) -> Column:
+    return F.map_filter(entries, lambda k, _: ~k.isin(*keys))
+
+
 def positive_int(text: Column, fallback: Column) -> Column:
     value = text.try_cast("double")
     return F.when(value > 0, F.floor(value)).otherwise(fallback)

@@ -153,6 +153,12 @@ def has_embedded(images: DataFrame, keys: list[str]) -> DataFrame:
     return images.filter((F.col("type") == "image") & (F.col("width") >= EMBEDDED_WIDTH) & (F.col("height") >= EMBEDDED_HEIGHT)).select(*keys).distinct()
 
 
+def largest_image(images: DataFrame, keys: list[str]) -> DataFrame:
+    """``path`` of the largest extracted image (columns ``path, size``) of each
+    key; the first by name among equals."""
+    return images.groupBy(*keys).agg(F.min(F.struct((-F.col("size")).alias("_order"), "path")).alias("_x")).select(*keys, F.col("_x.path").alias("path"))
+
+
 def find_pages(asks: DataFrame, pages: DataFrame) -> DataFrame:
     """``pdf, label, page_hint, page``: a hinted page must exist and is taken as
     it is; otherwise the page is located by caption or mention."""
@@ -201,3 +207,13 @@ def derive_crops(asks: DataFrame, pages: DataFrame, words: DataFrame, images: Da
     tiers = has_embedded(images, keys).withColumn("tier", F.lit("embedded"))
     boxed = edges.withColumn("box", box).filter("box is not null").join(tiers, keys, "left")
     return boxed.select("pdf", "label", "page", F.coalesce("tier", F.lit("vector")).alias("tier"), "box", crop_pixels(F.col("box"), F.col("page_width")).alias("pixels"))
+
+
+def gated_images(wanted: DataFrame, crops: DataFrame, density: DataFrame, key: str) -> DataFrame:
+    """Which records keep their image: ``wanted`` (key, source_figure, pdf) asks
+    for one by directive; it goes if there is no directive, no PDF, no crop, or
+    a crop that is mostly text. An embedded image is not measured."""
+    made = crops.select(key, "tier").join(density.select(key, "mostly_text"), key, "left")
+    joined = wanted.join(made, key, "left")
+    reason = F.when(F.col("source_figure").isNull(), "no directive").when(F.col("pdf").isNull(), "no PDF").when(F.col("tier").isNull(), "no crop").when((F.col("tier") != "embedded") & F.coalesce("mostly_text", F.lit(False)), "mostly text")
+    return joined.select(key, reason.isNull().alias("kept"), reason.alias("reason"))

@@ -18,6 +18,11 @@ def fan_out(docs: DataFrame, id_col: str = "custom_id") -> DataFrame:
     return docs.withColumn("lane", F.explode(F.array(*(F.lit(x) for x in LANES)))).withColumn("lane_id", lane_id(F.col(id_col), F.col("lane")))
 
 
+def enabled(setting: Column) -> Column:
+    """Whether lanes are on: not set, or set to anything but 0, false, no."""
+    return ~F.lower(F.coalesce(setting, F.lit("1"))).isin("0", "false", "no")
+
+
 def lane_body(texts: dict[str, Column]) -> Column:
     return F.concat_ws("\n\n", *(F.concat(F.lit(f"## {x}\n"), F.coalesce(texts[x], F.lit(MISSING))) for x in LANES))
 

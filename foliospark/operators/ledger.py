@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_PROVIDER = "claude"
@@ -38,6 +38,11 @@ def grand_total(status: DataFrame) -> DataFrame:
     return sums.withColumn("saving_usd", F.col("standard_usd") - F.col("effective_usd")).filter("effective_usd > 0")
 
 
+def lanes_present(requests: DataFrame, *keys: str) -> DataFrame:
+    """Whether any request of a batch is a lane."""
+    return requests.groupBy(*keys).agg(F.bool_or(F.col("type") == "lane").alias("lanes"))
+
+
 def cost_summary(requests: DataFrame, *keys: str) -> DataFrame:
     """Cost of the requests that have usage; batches without any give no row."""
     return requests.filter("input_tokens is not null").groupBy(*keys).agg(F.sum("batch_cost_usd").alias("effective_usd"), F.sum("standard_cost_usd").alias("standard_usd"), F.sum("saving_usd").alias("saving_usd"))
@@ -79,14 +84,34 @@ def listing(batches: DataFrame, seq: str) -> DataFrame:
     return batches.orderBy(F.col(seq).desc())
 
 
-def file_cache_action(inputs: DataFrame, cache: DataFrame, key: str = "filename") -> DataFrame:
-    """``reuse`` where the cached content hash is the same, else ``upload``."""
-    joined = inputs.join(cache.select(key, F.col("sha256").alias("_cached"), "file_id"), key, "left")
+def ended(batches: DataFrame, remote: DataFrame, key: str = "batch_id") -> DataFrame:
+    """Batches after a poll: those whose remote state has ended are no longer
+    processing. ``remote`` has the key and ``status``; others stay as they are."""
+    joined = batches.join(remote.select(key, F.col("status").alias("_remote")), key, "left")
+    done = (F.col("status") == "processing") & F.coalesce(F.col("_remote") == "ended", F.lit(False))
+    return joined.withColumn("status", F.when(done, "ended").otherwise(F.col("status"))).drop("_remote")
+
+
+def resumed(batches: DataFrame, requests: DataFrame, batch_id: str) -> DataFrame:
+    """The requests of one batch that wait for results, if it is processing: what
+    another process takes up again with nothing but the id."""
+    open_ = batches.filter((F.col("batch_id") == batch_id) & (F.col("status") == "processing")).select("batch_id")
+    return requests.filter((F.col("batch_id") == batch_id) & (F.col("result") == "pending")).join(open_, "batch_id", "left_semi")
+
+
+def file_cache_action(inputs: DataFrame, cache: DataFrame, key: str = "filename", remote: DataFrame | None = None) -> DataFrame:
+    """``reuse`` where the cached content hash is the same and the file is still
+    among those of ``remote`` (file_id), else ``upload``."""
+    cached = cache.select(key, F.col("sha256").alias("_cached"), "file_id")
+    if remote is not None:
+        cached = cached.join(remote.select("file_id").distinct(), "file_id", "left_semi")
+    joined = inputs.join(cached, key, "left")
     same = F.coalesce(F.col("_cached") == F.col("sha256"), F.lit(False))
     return joined.withColumn("action", F.when(same, "reuse").otherwise("upload")).withColumn("file_id", F.when(same, F.col("file_id"))).drop("_cached")
 
 
 def at_most_once(rows: DataFrame, seq: str, *keys: str) -> DataFrame:
     """The last row of each key (same name: the later write wins)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(seq).desc())
-    return rows.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
+    rest = [c for c in rows.columns if c not in keys]
+    top = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(seq, *(c for c in rest if c != seq))).alias("_top"))
+    return top.select(*(F.col(c) if c in keys else F.col(f"_top.{c}") for c in rows.columns))

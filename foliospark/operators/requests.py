@@ -41,6 +41,30 @@ def message_content(page: Column, url: Column, data: Column, instruction: Column
     return F.when(paged, F.array(block("text", _filled(PAGE_BLOCK, url, page, instruction), empty))).otherwise(F.array(document, block("text", instruction, empty)))
 
 
+def batch_payload(requests: DataFrame) -> DataFrame:
+    """``value``: the JSON of each request (custom_id, model, max_tokens, system,
+    content) of the message provider; its system text is marked for caching."""
+    def block(b: Column) -> Column:
+        by_url = b["source"]["type"] == "url"
+        inline = b["source"]["type"] == "base64"
+        source = F.when(b["source"].isNotNull(), F.struct(b["source"]["type"].alias("type"), F.when(by_url, b["source"]["value"]).alias("url"), F.when(inline, F.lit("application/pdf")).alias("media_type"), F.when(inline, b["source"]["value"]).alias("data")))
+        return F.struct(b["type"].alias("type"), source.alias("source"), b["text"].alias("text"))
+
+    system = F.array(F.struct(F.lit("text").alias("type"), F.col("system").alias("text"), F.struct(F.lit("ephemeral").alias("type")).alias("cache_control")))
+    messages = F.array(F.struct(F.lit("user").alias("role"), F.transform("content", block).alias("content")))
+    params = F.struct(F.col("model"), F.col("max_tokens"), system.alias("system"), messages.alias("messages"))
+    return requests.select(F.to_json(F.struct("custom_id", params.alias("params"))).alias("value"))
+
+
+def input_items(pdfs: DataFrame, urls: DataFrame, pages: DataFrame) -> DataFrame:
+    """One relation of inputs, PDFs first: ``part, custom_id, input, kind, body,
+    focus``. ``pdfs`` has ``custom_id, filename, focus``, ``urls`` ``custom_id,
+    url, focus``; ``body`` is the text of a fetched page (``pages``: url, body)."""
+    local = pdfs.select(F.lit(0).alias("part"), "custom_id", F.col("filename").alias("input"), F.lit("local_pdf").alias("kind"), "focus")
+    remote = urls.join(pages.select("url", "body"), "url", "left").select(F.lit(1).alias("part"), "custom_id", F.col("url").alias("input"), F.lit("url").alias("kind"), "body", "focus")
+    return local.unionByName(remote, allowMissingColumns=True)
+
+
 def response_content(file_id: Column, kind: Column, url: Column, path: Column, instruction: Column) -> Column:
     """Content blocks of the response provider: the uploaded file or a reference
     to the source, then the instruction. Page texts are not used here."""

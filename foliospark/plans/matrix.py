@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliospark.plans import flow_queries, ledger_queries, record_queries, text_queries  # noqa: F401
+from foliospark.plans import flow_queries, ledger_queries, record_queries, request_queries, source_queries, text_queries  # noqa: F401
 from foliospark.plans.registry import ORACLES, QUERIES, Query
 
 

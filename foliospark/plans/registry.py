@@ -10,13 +10,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Queries that run a stand-in at a plug point, thus Python.
+PLUG_POINTS: set[str] = set()
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, plug_point: bool = False) -> Callable[[Query], Query]:
     """Register a query under its function's name; ``sql`` is its oracle."""
 
     def add(f: Query) -> Query:
         QUERIES[f.__name__] = f
+        if plug_point:
+            PLUG_POINTS.add(f.__name__)
         if sql:
             ORACLES[f.__name__] = sql
         return f

@@ -22,7 +22,7 @@ def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
     (not below it; the extension in any case)."""
     files = spark.read.format("binaryFile").load(folder).withColumn("filename", F.element_at(F.split("path", "/"), -1))
     found = files.filter(T.is_pdf_name(F.col("filename")))
-    encoded = F.regexp_replace(F.base64("content"), r"[\r\n]", "")
+    encoded = F.translate(F.base64("content"), "\r\n", "")
     return found.select("filename", T.pdf_custom_id(F.col("filename")).alias("custom_id"), F.sha2("content", 256).alias("sha256"), F.round(F.length("content") / 1024).cast("bigint").alias("size_kb"), encoded.alias("base64"))
 
 
@@ -127,10 +127,23 @@ def tabular_words(texts: DataFrame, keys: list[str], tsv: str = "tsv") -> DataFr
     lines = texts.select(*keys, F.posexplode(F.split(tsv, "\n")).alias("seq", "l")).filter("seq > 0").withColumn("c", F.split("l", "\t"))
     cell = lambda k: F.get("c", F.lit(k)).try_cast("double")
     words = lines.filter((F.size("c") >= WORD_COLUMNS) & (F.get("c", F.lit(0)) == "5"))
-    text = T.trim_all(F.array_join(F.slice("c", WORD_COLUMNS, 1000), "\t"))
+    text = T.trim_all(F.array_join(F.slice("c", F.lit(WORD_COLUMNS), F.size("c")), "\t"))
     return words.select(*keys, "seq", cell(6).alias("x_min"), cell(7).alias("y_min"), F.coalesce(cell(6) + cell(8), F.lit(0.0)).alias("x_max"), text.alias("text")).filter("y_min is not null and text <> ''")
 
 
+def layout_words(texts: DataFrame, keys: list[str], markup: str = "markup") -> DataFrame:
+    """Words with the size of their page, of ``<page width= height=>`` markup
+    with ``<word xMin= yMin= xMax= yMax=>`` inside; none if the size is not
+    positive."""
+    page = r'<page[^>]*width="([\d.]+)"[^>]*height="([\d.]+)"'
+    word = r'<word[^>]*xMin="([\d.]+)"[^>]*yMin="([\d.]+)"[^>]*xMax="([\d.]+)"[^>]*yMax="([\d.]+)"[^>]*>([^<]*)</word>'
+    side = lambda k: F.regexp_extract(markup, page, k).try_cast("double")
+    sized = texts.select(*keys, markup, side(1).alias("width"), side(2).alias("height")).filter("width > 0 and height > 0")
+    words = sized.select(*keys, "width", "height", F.posexplode(F.regexp_extract_all(markup, F.lit(word), F.lit(0))).alias("seq", "w"))
+    number = lambda k: F.regexp_extract("w", word, k).try_cast("double")
+    return words.select(*keys, "width", "height", "seq", number(1).alias("x_min"), number(2).alias("y_min"), number(3).alias("x_max"), number(4).alias("y_max"), T.trim_all(F.regexp_extract("w", word, 5)).alias("text"))
+
+
 def page_size(info: Column) -> Column:
     """Struct (width, height) of ``Page size: w x h pts``; null if not positive."""
     pattern = r"(?i)Page size:\s*([\d.]+)\s+x\s+([\d.]+)\s+pts"
@@ -145,6 +158,20 @@ def image_list(texts: DataFrame, keys: list[str], listing: str = "listing") -> D
     return lines.select(*keys, whole(0).alias("page"), F.get("c", F.lit(2)).alias("type"), whole(3).alias("width"), whole(4).alias("height")).filter("page is not null")
 
 
+def output_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``filename`` of the JSON results in a folder, by name; dot files are none."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)
+    names = [x.getPath().getName() for x in found if x.isFile()]
+    return spark.createDataFrame([(x,) for x in names if x.endswith(".json") and not x.startswith(".")], "filename string").orderBy("filename")
+
+
+def single_record(spark: SparkSession, path: str) -> DataFrame:
+    """``v``: the VARIANT of one JSON file."""
+    return spark.read.text(path, wholetext=True).select(J.parse_strict(F.col("value")).alias("v"))
+
+
 def model_config(spark: SparkSession, path: str) -> DataFrame:
     """``provider, key, value`` of a configuration file; broken: no rows."""
     v = spark.read.text(path, wholetext=True).select(J.parse_strict(F.col("value")).alias("v"))

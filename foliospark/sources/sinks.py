@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import jsonx as J
 from foliospark.functions import text as T
-from foliospark.operators.ledger import at_most_once, upsert
+from foliospark.operators.ledger import DEFAULT_PROVIDER, at_most_once, upsert
+from foliospark.session import materialize
+
+
+def parsed_results(results: DataFrame) -> DataFrame:
+    """``custom_id, seq, text, v``: the VARIANT of each text, null if it is none."""
+    return results.select("custom_id", "seq", "text").withColumn("v", J.extract_json(F.col("text")))
 
 
 def split_results(results: DataFrame, today: str) -> tuple[DataFrame, DataFrame]:
-    """(saved, dead) of rows ``custom_id, text, seq``. Saved rows have a file
-    name and pretty JSON, one per name (the last wins); dead rows did not parse
-    and keep their raw text."""
-    parsed = results.withColumn("v", J.extract_json(F.col("text")))
+    """(saved, dead) of rows ``custom_id, text, seq`` or of ``parsed_results``.
+    Saved rows have a file name and pretty JSON, one per name (the last wins);
+    dead rows did not parse and keep their raw text."""
+    parsed = results if "v" in results.columns else parsed_results(results)
     good = parsed.filter("v is not null")
     slug = F.try_variant_get("v", "$.metadata.filename_slug", "string")
     named = good.select("custom_id", "seq", T.output_filename(F.coalesce(slug, F.lit("")), F.col("custom_id"), today).alias("name"), F.to_json("v", {"pretty": "true"}).alias("json"))
@@ -26,7 +34,7 @@ def split_results(results: DataFrame, today: str) -> tuple[DataFrame, DataFrame]
 def write_results(results: DataFrame, folder: str, today: str, staging: str | None = None) -> None:
     """Write ``folder/saved`` and ``folder/dead`` as tables keyed by file name,
     and what was saved to ``staging`` too, if that is given."""
-    saved, dead = split_results(results, today)
+    saved, dead = split_results(materialize(parsed_results(results), "parsed-results"), today)
     saved.write.mode("overwrite").parquet(f"{folder}/saved")
     dead.write.mode("overwrite").parquet(f"{folder}/dead")
     if staging:
@@ -52,7 +60,7 @@ def save_ledger(ledger: DataFrame, changes: DataFrame, folder: str, *keys: str)
 
 
 def data_url(content: Column, mime: str = "image/jpeg") -> Column:
-    return F.concat(F.lit(f"data:{mime};base64,"), F.regexp_replace(F.base64(content), r"[\r\n]", ""))
+    return F.concat(F.lit(f"data:{mime};base64,"), F.translate(F.base64(content), "\r\n", ""))
 
 
 def patched_image(records: DataFrame, images: DataFrame, key: str) -> DataFrame:
@@ -67,6 +75,37 @@ def patched_image(records: DataFrame, images: DataFrame, key: str) -> DataFrame:
     return joined.withColumns(columns).drop("_source_figure", "_caption", "_alt_text", "_src")
 
 
+def put_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """One small file, such as a notice for a dashboard, by Hadoop's file system."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
+def put_job(spark: SparkSession, folder: str, batch: dict, inputs: list[str], output: str) -> bool:
+    """``<id>.json`` that tells a dashboard of a batch; whether it was written.
+    The dashboard is optional, so a folder that fails changes nothing."""
+    job = {"type": "explainer", "batchId": batch["id"], "provider": batch.get("provider") or DEFAULT_PROVIDER, "model": batch.get("model"), "laneModel": batch.get("lane_model"), "synthesisModel": batch.get("synthesis_model"), "papers": inputs, "outputDir": output, "submittedAt": batch.get("submitted_at")}
+    try:
+        put_file(spark, f"{folder}/{batch['id']}.json", json.dumps({k: v for k, v in job.items() if v is not None}, indent=2).encode())
+    except Exception:  # noqa: BLE001  best effort
+        return False
+    return True
+
+
+def remove_job(spark: SparkSession, folder: str, batch_id: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{folder}/{batch_id}.json")
+    try:
+        return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, False)
+    except Exception:  # noqa: BLE001  best effort
+        return False
+
+
 def export_summary(exports: DataFrame) -> DataFrame:
     """One row: exported, failed, and the failures."""
     return exports.agg(F.count_if("ok").alias("n_ok"), F.count_if(~F.col("ok")).alias("n_failed"), F.array_sort(F.collect_list(F.when(~F.col("ok"), F.concat_ws(": ", "path", "error")))).alias("failures"))

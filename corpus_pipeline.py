@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.llm import decontamination, mixing, ngram_join, pii, quality
-from foliospark.llm.common import materialize, table
+from foliospark.llm.common import discard, materialize, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,5 +55,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages; each result is written to the shared folder and read back."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

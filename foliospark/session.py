@@ -46,18 +46,35 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clear_tables(spark: SparkSession) -> int:
     """Delete the tables that this process wrote, once results that read them
     have been written elsewhere. Gives their number."""
-    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), len(_GIVEN)
+    n = len(_GIVEN)
     while _GIVEN:
-        path = jvm.org.apache.hadoop.fs.Path(_GIVEN.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _GIVEN.pop())
     return n
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again: what was
+    made of them has been written."""
+    for frame in frames:
+        path = vars(frame).get("table_path")
+        if path:
+            _delete(frame.sparkSession, path)
+            if path in _GIVEN:
+                _GIVEN.remove(path)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    made = df.sparkSession.read.schema(df.schema).parquet(path)
+    made.table_path = path
+    return made

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.session import materialize  # noqa: F401  (its users import it from here)
+from foliospark.session import discard, materialize  # noqa: F401  (their users import them from here)
 
 #: Ids are sent to every executor only up to this count (about 100 MB as a hash
 #: relation of longs); beyond it the same join shuffles instead.
@@ -51,28 +51,41 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def _marked(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Adds ``_may``: whether the key may be among ``ids`` (false: it is not).
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until ``df`` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def _marked(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """Adds a column (its name comes too): whether the key may be among ``ids``
+    (false: it is not).
 
     A bitmap of eight or more bits an id, made by aggregation, is broadcast; it
     never exceeds FILTER_BITS, so rows are never shuffled to be told apart.
     """
-    size = 1 << 15
-    while size < FILTER_BITS and size < 8 * ids.count():
+    size, n = 1 << 15, ids.count()
+    while size < FILTER_BITS and size < 8 * n:
         size *= 2
-    place = F.pmod(F.xxhash64(key), F.lit(size))
-    one = ids.select(place.alias("_p")).groupBy(F.expr("_p div 32768").alias("_word")).agg(F.bitmap_construct_agg(F.expr("_p % 32768")).alias("_bits"))
-    joined = df.withColumn("_p", place).withColumn("_word", F.expr("_p div 32768")).join(F.broadcast(one), "_word", "left")
-    byte = F.conv(F.hex(F.expr("substring(_bits, cast(_p % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    bit = F.expr("cast(_p % 8 as int)")
-    return joined.withColumn("_may", F.coalesce(F.getbit(byte, bit) == 1, F.lit(False)) & F.col(key).isNotNull()).drop("_p", "_word", "_bits")
+    may, place, word, bits = unused(df, "_may", "_place", "_word", "_bits")
+    at = F.pmod(F.xxhash64(key), F.lit(size))
+    one = ids.select(at.alias(place)).groupBy(F.expr(f"{place} div 32768").alias(word)).agg(F.bitmap_construct_agg(F.expr(f"{place} % 32768")).alias(bits))
+    joined = df.withColumn(place, at).withColumn(word, F.expr(f"{place} div 32768")).join(F.broadcast(one), word, "left")
+    byte = F.conv(F.hex(F.expr(f"substring({bits}, cast({place} % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr(f"cast({place} % 8 as int)")
+    return joined.withColumn(may, F.coalesce(F.getbit(byte, bit) == 1, F.lit(False)) & F.col(key).isNotNull()).select(*df.columns, may), may
 
 
 def may_hold(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key is in ``ids``, and some others; no shuffle."""
     if ids.count() <= BROADCAST_IDS:
-        return df.join(F.broadcast(ids.select(key)), key, "left_semi")
-    return _marked(df, ids, key).filter("_may").drop("_may")
+        return df.join(F.broadcast(ids.select(key)), key, "left_semi").select(*df.columns)
+    marked, may = _marked(df, ids, key)
+    return marked.filter(F.col(may)).drop(may)
 
 
 def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -80,9 +93,9 @@ def without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     broadcast, only rows that a bitmap cannot rule out are shuffled."""
     if ids.count() <= BROADCAST_IDS:
         return df.join(F.broadcast(ids.select(key)), key, "left_anti").select(*df.columns)
-    marked = _marked(df, ids, key)
-    rest = marked.filter("_may").join(ids.select(key), key, "left_anti")
-    return marked.filter("not _may").select(*df.columns).unionAll(rest.select(*df.columns))
+    marked, may = _marked(df, ids, key)
+    rest = marked.filter(F.col(may)).join(ids.select(key), key, "left_anti")
+    return marked.filter(~F.col(may)).select(*df.columns).unionAll(rest.select(*df.columns))
 
 
 def join_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:

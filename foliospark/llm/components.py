@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import materialize
+from foliospark.llm.common import discard, materialize
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -30,6 +30,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         large = large.filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").unionAll(least.select("a", F.col("m").alias("b")))
-        edges = materialize(small.distinct(), name)
+        old, edges = edges, materialize(small.distinct(), name)
+        discard(old)
+    # the last table stays: the result reads it
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import BROADCAST_IDS, WordBatch, materialize, mix, small_batches, table, window_hash, word_pieces
+from foliospark.llm.common import WordBatch, materialize, mix, small_batches, table, unused, window_hash, without, word_pieces
 from foliospark.llm.toxicity import trimmed
 
 WINDOW, LEAST_WORDS = 5, 3
@@ -218,9 +218,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without a leak, with all their columns."""
-    bad = materialize(_leaks(docs, items, id_col, text_col, "item_id", "text").select(F.col("doc_id").alias("_id"), F.col("own").alias("_own")).distinct(), "leaks")
-    listed = F.broadcast(bad) if bad.count() <= BROADCAST_IDS else bad
-    return docs.join(listed, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (_own_key(id_col, text_col) == F.col("_own")), "left_anti").select(*docs.columns)
+    # an id, or what tells rows without one apart, as one key
+    named = lambda doc_id, own: F.coalesce(doc_id.cast("string"), F.concat(F.lit("h"), own.cast("string")))
+    (key,) = unused(docs, "_key")
+    bad = materialize(_leaks(docs, items, id_col, text_col, "item_id", "text").select(named(F.col("doc_id"), F.col("own")).alias(key)).distinct(), "leaks")
+    keyed = docs.withColumn(key, named(F.col(id_col).cast("long"), _own_key(id_col, text_col)))
+    return without(keyed, bad, key).select(*docs.columns)
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

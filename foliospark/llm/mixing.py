@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import materialize, table, text_or_empty
+from foliospark.llm.common import discard, materialize, table, text_or_empty
 
 LEVELS = ("domain", "language", "origin")
 #: Production parameters: budget as parts of all tokens (of 1000), most epochs,
@@ -121,7 +121,8 @@ def plan_copies(docs: DataFrame, weights=None, budget_parts: int = BUDGET_PARTS,
         sums = inside.groupBy(*LEVELS, "part", "_before", "_place").agg(F.sum("n_tokens").alias("n"))
         upto = F.col("_before") + F.sum("n").over(Window.partitionBy(*LEVELS).orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
         cut = sums.withColumn("_upto", upto).filter("_upto > part and _upto - n <= part")
-        edges = materialize(cut.groupBy(*LEVELS, "part").agg(F.min(F.struct(F.col("_place").alias("p"), (F.col("_upto") - F.col("n")).alias("b"))).alias("x")).select(*LEVELS, "part", F.col("x.p").alias("_edge"), F.col("x.b").alias("_before")), f"mix-edge-{k}")
+        old, edges = edges, materialize(cut.groupBy(*LEVELS, "part").agg(F.min(F.struct(F.col("_place").alias("p"), (F.col("_upto") - F.col("n")).alias("b"))).alias("x")).select(*LEVELS, "part", F.col("x.p").alias("_edge"), F.col("x.b").alias("_before")), f"mix-edge-{k}")
+        discard(old)
     marked = placed.withColumn("_place", F.shiftright("_at", 48 - DIGIT_BITS * DIGITS)).join(edges.drop("part"), list(LEVELS), "left")
     ends = marked.filter("_place = _edge").withColumn("_sum", F.col("_before") + F.sum("n_tokens").over(Window.partitionBy(*LEVELS).orderBy("_at", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, 0)))
     inner = ends.select("doc_id", *LEVELS, "n_tokens", (F.col("full") + F.when(F.col("_sum") <= F.col("part"), 1).otherwise(0)).alias("n_copies"))

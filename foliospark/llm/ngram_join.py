@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import join_ids, materialize, may_hold, mix, small_batches, table, text_chunks, window_hash, without, word_hashes
+from foliospark.llm.common import discard, join_ids, materialize, may_hold, mix, small_batches, table, text_chunks, unused, window_hash, without, word_hashes
 from foliospark.llm.components import connected_components
 
 WIDTH, PERCENT = 5, 80
@@ -259,7 +259,8 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, first: DataFrame
     """
     pairs = materialize(pairs, "pairs")
     rows = first.filter("is_doc").select("doc_id", F.col("key").alias("sig"), "n", "bits")
-    maps = join_ids(rows, _ends(pairs), "doc_id").withColumnRenamed("doc_id", "node").join(nodes.select("node", "sig"), ["node", "sig"], "left_semi")
+    wanted = _ends(pairs)
+    maps = join_ids(rows, wanted, "doc_id").withColumnRenamed("doc_id", "node").join(nodes.select("node", "sig"), ["node", "sig"], "left_semi")
     maps = materialize(maps.dropDuplicates(["node", "sig"]).drop("sig"), "bitmaps")
     both = pairs.join(maps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x")), "a").join(maps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y")), "b")
     apart = _apart(F.col("x"), F.col("y"))
@@ -272,7 +273,9 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, first: DataFrame
     both = hopeful.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     linked = both.filter(F.lit(100) * shared >= F.lit(PERCENT) * (F.size("sa") + F.size("sb") - shared))
-    return materialize(linked.select("a", "b").distinct(), "links")
+    links = materialize(linked.select("a", "b").distinct(), "links")
+    discard(pairs, wanted, maps, hopeful, ends, sets)
+    return links
 
 
 def _sized(pairs: DataFrame) -> DataFrame:
@@ -299,10 +302,10 @@ def _blocks(rows: DataFrame, size: Column, node: str) -> DataFrame:
     return rows.withColumn("k", F.greatest(F.ceil(size / BLOCK), F.lit(1)).cast("int")).withColumn("i", F.pmod(F.xxhash64(node), F.col("k")).cast("int"))
 
 
-def rest_pairs(postings: DataFrame, members: DataFrame, total: int) -> DataFrame:
+def rest_pairs(postings: DataFrame, members: DataFrame, total: int, made: list[DataFrame]) -> DataFrame:
     """Pairs (a, na, b, nb) of nodes that are in different parts, and in one
     group or in two groups that share a prefix shingle and pass the size and
-    position filters.
+    position filters. Tables that it reads are added to ``made``.
 
     Pairs of groups are found first and expanded then. Both the groups of a
     shingle and the nodes of a group meet block by block.
@@ -310,7 +313,9 @@ def rest_pairs(postings: DataFrame, members: DataFrame, total: int) -> DataFrame
     groups = materialize(members.groupBy("g").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("size")), "group-parts")
     held = postings.join(groups.select("g", "lo", "hi"), "g")
     torn = held.groupBy("h").agg(F.count("*").alias("c"), F.min("lo").alias("first"), F.max("hi").alias("final")).filter("first <> final").select("h", "c")
-    held = materialize(_blocks(spread(held, materialize(torn, "torn"), total), F.col("c"), "g"), "held")
+    torn = materialize(torn, "torn")
+    held = materialize(_blocks(spread(held, torn, total), F.col("c"), "g"), "held")
+    made += [groups, torn, held]
     # every two blocks of a shingle meet once, in the piece (lesser, greater)
     pieces = held.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("h", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), "g", "n", "pos", "lo", "hi", "i")
     x, y = (pieces.select("h", "p", "q", *(F.col(c).alias(f"{c}{k}") for c in ("g", "n", "pos", "lo", "hi", "i"))) for k in (1, 2))
@@ -359,7 +364,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         postings = postings_of(whole, summary, sc.broadcast(None)).join(many, "h", "left_semi")
     postings = materialize(postings.groupBy("h", "g", "n", "pos").agg(F.lit(1).alias("one")).drop("one"), "postings")
     total = postings.count()
-    postings = materialize(postings.join(postings.groupBy("g").agg(F.count("*").alias("w")), "g").join(leaders.select("g", "leader"), "g"), "led-postings")
+    bare = postings
+    postings = materialize(bare.join(bare.groupBy("g").agg(F.count("*").alias("w")), "g").join(leaders.select("g", "leader"), "g"), "led-postings")
 
     central = materialize(postings.groupBy("h").agg(F.count("*").alias("c"), F.max(F.struct("w", "g", "leader", "n")).alias("top")), "central")
     stars = spread(postings, central, total).filter("g <> top.g").select(F.col("top.leader").alias("a"), F.col("top.n").cast("long").alias("na"), F.col("leader").alias("b"), F.col("n").cast("long").alias("nb"))
@@ -370,13 +376,19 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = materialize(connected_components(links), "parts")
 
     members = materialize(nodes.join(parts, "node", "left").select("node", "n", "g", F.coalesce("component", "node").alias("part")), "members")
-    more = verify(_sized(rest_pairs(postings, members, total)), whole, nodes, first)
+    made = [bare, postings, central, leaders, members]
+    more = verify(_sized(rest_pairs(postings, members, total, made)), whole, nodes, first)
+    discard(*made)
     if more.isEmpty():
         final = parts
     else:
         final = materialize(connected_components(links.unionAll(more)), "final")
+        discard(parts)
+    discard(links, more)
     named = nodes.join(final, "node", "left").select("sig", F.coalesce("component", "node").alias("component"))
-    return rows.join(named, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    out = rows.join(named, "sig", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    out.reads = [first, keys, final]
+    return out
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,13 +397,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Rows without an id come after all others (by a hash of their text, of which
     one row stays). Rows of one id stay or go together.
     """
+    (key,) = unused(docs, "_key")
     some = F.col(id_col).isNull() & F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    named = docs.filter(~some).withColumn("_key", F.col(id_col).cast("long"))
-    unnamed = docs.filter(some).withColumn("_key", F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(F.col(text_col).cast("string")), 3)).dropDuplicates(["_key"])
+    named = docs.filter(~some).withColumn(key, F.col(id_col).cast("long"))
+    unnamed = docs.filter(some).withColumn(key, F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(F.col(text_col).cast("string")), 3)).dropDuplicates([key])
     keyed = named.unionByName(unnamed)
-    linked = link_documents(keyed, "_key", text_col)
-    gone = materialize(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("_key")).distinct(), "copies")
-    return without(keyed, gone, "_key").select(*docs.columns)
+    linked = link_documents(keyed, key, text_col)
+    gone = materialize(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct(), "copies")
+    discard(*linked.reads)
+    return without(keyed, gone, key).select(*docs.columns)
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions.jsonx import let
-from foliospark.llm.common import BROADCAST_IDS, materialize, may_hold, table, text_or_empty
+from foliospark.llm.common import BROADCAST_IDS, discard, materialize, may_hold, table, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: The contract's patterns with possessive quantifiers, and with a start only
@@ -164,7 +164,9 @@ def entity_units(docs: DataFrame, base: DataFrame, id_col: str = "doc_id", text_
     texts = may_hold(_rows(docs, id_col, text_col), wanted, "_h")
     units = texts.select("_h", F.posexplode(_units(F.col("_t"))).alias("k", "s")).select(F.xxhash64("_h", "k").alias("x"), "s")
     named = with_spans(units, "s").filter(F.size("_base") > 0).select("x", F.explode(_protected("_base")).alias("e"), _terms(F.col("s")).alias("words"))
-    return materialize(named.join(_small(often), "e", "left_semi"), "pii-units")
+    units = materialize(named.join(_small(often), "e", "left_semi"), "pii-units")
+    discard(often, wanted)
+    return units
 
 
 def _value(n_te, n_t, n_e, total: int) -> Column:
@@ -258,7 +260,9 @@ def revealing_terms(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counted = materialize(seen.join(asked, ["e", "term"]).groupBy("e", "term", "n_e").agg(F.count("*").alias("n_te")), "pii-stems")
     general = _valued(counted, _rows(docs, id_col, text_col), total, stems).select(F.col("term").alias("stem"), F.col("disclosure").alias("_general"))
     ladder = long.join(general, "stem", "left").filter(F.col("_general") < DISCLOSURE).select("term", F.concat("stem", F.lit("*")).alias("shown"))
-    return materialize(high.join(ladder, "term", "left").select("term", "disclosure", F.coalesce("shown", F.lit("")).alias("shown")), "pii-terms")
+    terms = materialize(high.join(ladder, "term", "left").select("term", "disclosure", F.coalesce("shown", F.lit("")).alias("shown")), "pii-terms")
+    discard(pairs, units, counted)
+    return terms
 
 
 def with_all_spans(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -31,3 +31,25 @@ def test_stages_on_a_small_corpus(spark, tmp_path):
     assert "[EMAIL]" in clean[4000].text and clean[4000].n_chars == len(clean[4000].text) and clean[7].text == rows[7][1]
     assert seen["mixing"] and set(seen["mixing"]) <= set(clean)
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(seen["mixing"])
+
+
+def test_odd_rows_and_extra_columns(spark, tmp_path):
+    import random
+
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(2, 8))) for _ in range(2000)]
+    prose = lambda n: " ".join(rnd.choice(words) + rnd.choice(["", "", "", "."]) for _ in range(n))
+    rows = [(k, prose(60), "en", f"src{k % 4}") for k in range(120)]
+    rows += [(1, rows[1][1], "en", "src1"), (None, prose(50), None, None), (None, rows[5][1], "en", "src1"), (500, None, "en", None), (501, "", None, "src1"), (502, prose(120_000), "en", "src2")]
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), "x", 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, _key string, n int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = [r.doc_id for r in got]
+    assert set(ids) <= {*range(120), None, 502} and ids.count(None) <= 1 and len(ids) > 40 and all(r._key == "x" and r.n == 7 for r in got)
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

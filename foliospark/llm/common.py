@@ -12,8 +12,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from typing import NamedTuple
 
@@ -51,6 +52,25 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def frugal(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``, whose worker gives freed memory back when a
+    task ends: workers stay for later tasks, beside stages that need none."""
+
+    def tidy(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim is not None:
+                trim(0)
+
+    return tidy
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until ``df`` has no such column."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, materialize, mix, small_batches, table, unused, window_hash, without, word_pieces
+from foliospark.llm.common import WordBatch, frugal, materialize, mix, small_batches, table, unused, window_hash, without, word_pieces
 from foliospark.llm.toxicity import trimmed
 
 WINDOW, LEAST_WORDS = 5, 3
@@ -140,7 +140,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(at), pa.int64()), pa.array((at - p.begin + p.before).astype(np.int64)), pa.array(h.view(np.int64)), pa.array([width] * len(at), pa.int32()), t.all_slots(at, width, form)], ["item_id", "item_pos", "w", "width", "item_slots"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("t")).filter("item_id is not null and t is not null")
-    return rows.mapInArrow(run, "item_id long, item_pos long, w long, width int, item_slots array<string>")
+    return rows.mapInArrow(frugal(run), "item_id long, item_pos long, w long, width int, item_slots array<string>")
 
 
 def _own_key(id_col: str, text_col: str) -> Column:
@@ -168,7 +168,7 @@ def document_windows(docs: DataFrame, widths: list[int], known: np.ndarray | Non
                     yield pa.RecordBatch.from_arrays([*(batch.column(k).take(of) for k in range(3)), pa.array(place), pa.array(h.view(np.int64)), t.all_slots(at, width, form)], ["doc_id", "own", "row", "pos", "w", "doc_slots"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _own_key(id_col, text_col).alias("own"), F.xxhash64(F.col(text_col).cast("string")).alias("row"), F.col(text_col).cast("string").alias("t")).filter("t is not null")
-    return rows.mapInArrow(run, "doc_id long, own long, row long, pos long, w long, doc_slots array<string>")
+    return rows.mapInArrow(frugal(run), "doc_id long, own long, row long, pos long, w long, doc_slots array<string>")
 
 
 def _leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import materialize, small_batches, table
+from foliospark.llm.common import frugal, materialize, small_batches, table
 from foliospark.llm.components import connected_components
 
 SEED = 424242
@@ -158,7 +158,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints([t or "" for t in batch.column(1).to_pylist()]), pa.string())], ["doc_id", "fingerprint"])
 
     small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).mapInArrow(frugal(run), "doc_id long, fingerprint string")
 
 
 def band_places(octaves: int) -> list[list[int]]:
@@ -204,7 +204,7 @@ def near_copies(prints: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("fingerprint").alias("fa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("fingerprint").alias("fb")), "b")
-        return both.select("a", "b", "fa", "fb").mapInArrow(check, "a long, b long")
+        return both.select("a", "b", "fa", "fb").mapInArrow(frugal(check), "a long, b long")
 
     links = materialize(verified(pairs), "print-links")
     parts = connected_components(links, "prints")
@@ -302,7 +302,7 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             )
 
     small_batches(docs.sparkSession)
-    return with_successor(docs, id_col, text_col).select("bucket", "ahead", "doc_id", "t").mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return with_successor(docs, id_col, text_col).select("bucket", "ahead", "doc_id", "t").mapInArrow(frugal(run), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
 def op8_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

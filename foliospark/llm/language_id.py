@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bucket, materialize, small_batches, table, text_chunks, text_parts, unit_hash
+from foliospark.llm.common import bucket, frugal, materialize, small_batches, table, text_chunks, text_parts, unit_hash
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -275,7 +275,7 @@ def fit(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: s
                         yield from told()
         yield from told()
 
-    totals = sample.mapInArrow(count, "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n"))
+    totals = sample.mapInArrow(frugal(count), "l string, w string, n long").groupBy("l", "w").agg(F.sum("n").alias("n"))
     totals = materialize(totals.repartition(sc.defaultParallelism), "lang-words")
     langs, size = sorted(shares), max(load_pieces(model).values(), default=0) + 1
     probs = np.full((size, len(langs)), 1.0 / size)
@@ -304,7 +304,7 @@ def expected_counts(totals: DataFrame, lm: LanguageModel) -> DataFrame:
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(c[at])], ["l", "piece", "c"])
 
-    return totals.select("l", "w", "n").mapInArrow(run, "l string, piece int, c double").groupBy("l", "piece").agg(F.sum("c").alias("c"))
+    return totals.select("l", "w", "n").mapInArrow(frugal(run), "l string, piece int, c double").groupBy("l", "piece").agg(F.sum("c").alias("c"))
 
 
 _SCORERS: dict[int, Scorer] = {}
@@ -327,7 +327,7 @@ def identify(docs: DataFrame, lm: LanguageModel, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (bucket(F.col(id_col), 4) == 2).alias("held_out"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(frugal(run), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import discard, join_ids, materialize, may_hold, mix, small_batches, table, text_chunks, unused, window_hash, without, word_hashes
+from foliospark.llm.common import discard, frugal, join_ids, materialize, may_hold, mix, small_batches, table, text_chunks, unused, window_hash, without, word_hashes
 from foliospark.llm.components import connected_components
 
 WIDTH, PERCENT = 5, 80
@@ -172,7 +172,7 @@ def describe(docs: DataFrame) -> DataFrame:
         if held:
             yield repeated(held, seen)
 
-    return docs.mapInArrow(run, "doc_id long, n long, key long, is_doc boolean, bits array<long>")
+    return docs.mapInArrow(frugal(run), "doc_id long, n long, key long, is_doc boolean, bits array<long>")
 
 
 def prefix_rows(docs: DataFrame, summary) -> DataFrame:
@@ -189,7 +189,7 @@ def prefix_rows(docs: DataFrame, summary) -> DataFrame:
             some = np.flatnonzero(s.n > 0)
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(some), bool)), _i64(s.signature[some]), batch.column(0).take(pa.array(some)), pa.array(s.n[some].astype(np.int64)), _i64(group[some])], ["is_doc", "key", "v", "n", "g"])
 
-    return docs.mapInArrow(run, "is_doc boolean, key long, v long, n long, g long")
+    return docs.mapInArrow(frugal(run), "is_doc boolean, key long, v long, n long, g long")
 
 
 def postings_of(docs: DataFrame, summary, known) -> DataFrame:
@@ -207,7 +207,7 @@ def postings_of(docs: DataFrame, summary, known) -> DataFrame:
                 row, position, h = row[hit], position[hit], h[hit]
             yield pa.RecordBatch.from_arrays([_i64(h), _i64(group[row]), pa.array(s.n[row].astype(np.int32)), pa.array(position.astype(np.int32))], ["h", "g", "n", "pos"])
 
-    return docs.mapInArrow(run, "h long, g long, n int, pos int")
+    return docs.mapInArrow(frugal(run), "h long, g long, n int, pos int")
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(s.first.astype(np.int32)), _i64(s.hash))
             yield pa.RecordBatch.from_arrays([_i64(s.signature), lists], ["sig", "s"])
 
-    return docs.mapInArrow(run, "sig long, s array<long>")
+    return docs.mapInArrow(frugal(run), "sig long, s array<long>")
 
 
 def bitmaps_of(docs: DataFrame, wide_from: int = WIDE_FROM) -> DataFrame:
@@ -230,7 +230,7 @@ def bitmaps_of(docs: DataFrame, wide_from: int = WIDE_FROM) -> DataFrame:
             s = Shingles(batch.column(1))
             yield pa.RecordBatch.from_arrays([_i64(s.signature), pack_bits(s, wide_from)], ["sig", "bits"])
 
-    return docs.mapInArrow(run, "sig long, bits array<long>")
+    return docs.mapInArrow(frugal(run), "sig long, bits array<long>")
 
 
 def _folded(bits: Column) -> Column:

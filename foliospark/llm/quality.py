@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import mix, small_batches, table, text_chunks, unit_hash, window_hash, word_pieces
+from foliospark.llm.common import frugal, mix, small_batches, table, text_chunks, unit_hash, window_hash, word_pieces
 from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
 #: About so many documents, chosen by a hash of the id, train the scorer.
@@ -234,7 +234,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_r
                 yield pa.RecordBatch.from_arrays([pa.array(votes[pick].tolist(), pa.list_(pa.int64())), pa.array([col[cut[k] : cut[k + 1]].astype(np.int16) for k in pick], pa.list_(pa.int16())), pa.array([value[cut[k] : cut[k + 1]].astype(np.float32) for k in pick], pa.list_(pa.float32())), pa.array(np.ones(len(pick), np.int64))], ["votes", "cols", "vals", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int64())), pa.nulls(len(seen), pa.list_(pa.int16())), pa.nulls(len(seen), pa.list_(pa.float32())), pa.array(list(seen.values()), pa.int64())], ["votes", "cols", "vals", "n"])
 
-    found = rows.mapInArrow(vote, "votes array<long>, cols array<short>, vals array<float>, n long").toArrow()
+    found = rows.mapInArrow(frugal(vote), "votes array<long>, cols array<short>, vals array<float>, n long").toArrow()
     votes = np.array(found["votes"].to_pylist(), np.int64).reshape(-1, len(LABELLERS))
     sampled = np.asarray(found["cols"].is_valid())
     model = fit_label_model(votes[~sampled], np.asarray(found["n"]).astype(float)[~sampled], 1 - START_BAD, start=START_VOTES, most_false=MOST_FALSE)
@@ -258,7 +258,7 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(s), pa.array(s >= THRESHOLD)], ["doc_id", "score", "good"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, score double, good boolean")
+    return rows.mapInArrow(frugal(run), "doc_id long, score double, good boolean")
 
 
 def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
@@ -272,7 +272,7 @@ def keep_good(docs: DataFrame, model: QualityModel, text_col: str = "text") -> D
                 part = batch.slice(lo, hi - lo)
                 yield part.filter(pa.array(shared.value.scores(part.column(at)) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

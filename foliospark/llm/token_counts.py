@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import small_batches, table, text_or_empty
+from foliospark.llm.common import frugal, small_batches, table, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -154,7 +154,7 @@ def count_tokens(docs: DataFrame, model: str = MODEL, limit: int = LIMIT, id_col
 
     small_batches(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text_or_empty(text_col)).cast("long").alias("n_bytes"), text_or_empty(text_col).alias("text"))
-    return picked.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return picked.mapInArrow(frugal(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

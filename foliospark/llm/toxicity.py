@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WordBatch, bucket, mix, small_batches, table, text_chunks, unit_hash, word_pieces
+from foliospark.llm.common import WordBatch, bucket, frugal, mix, small_batches, table, text_chunks, unit_hash, word_pieces
 from foliospark.llm.label_model import LabelModel, fit_label_model, fit_linear
 
 #: Bounds of the training (parameters of ``fit``): about so many labelled toxic
@@ -187,7 +187,7 @@ def induce_terms(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS) -> tuple[Ter
 
     # a term's support is the number of different pairs of words beside it: copies
     # of a passage are no evidence
-    proposed = toxic.select("t").mapInArrow(propose, "h long, kind int, p long").distinct().groupBy("h", "kind").agg(F.count("*").alias("n")).filter(F.col("n") >= least).toPandas()
+    proposed = toxic.select("t").mapInArrow(frugal(propose), "h long, kind int, p long").distinct().groupBy("h", "kind").agg(F.count("*").alias("n")).filter(F.col("n") >= least).toPandas()
     if proposed.empty:
         return none, n1 / (n1 + n0)
     order = np.argsort(proposed["h"].to_numpy().view(np.uint64))
@@ -205,7 +205,7 @@ def induce_terms(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS) -> tuple[Ter
         keep = np.flatnonzero(total.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(keep), pa.array(total[0, keep]), pa.array(total[1, keep])], ["k", "n0", "n1"])
 
-    counted = labelled.select("t", "y").mapInArrow(count, "k long, n0 long, n1 long").groupBy("k").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
+    counted = labelled.select("t", "y").mapInArrow(frugal(count), "k long, n0 long, n1 long").groupBy("k").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
     lift = np.zeros(len(order))
     c0, c1 = counted["n0"].to_numpy(), counted["n1"].to_numpy()
     lift[counted["k"].to_numpy()] = (c1 / n1) / ((c0 + 0.5) / (n0 + 1))
@@ -248,7 +248,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays([pa.array(keys[which.ravel()[pick]].tolist(), pa.list_(pa.int64())), pa.array([term[cut[k] : cut[k + 1]].tolist() for k in pick], pa.list_(pa.int64())), pa.array(np.full(len(pick), -1, np.int64))], ["votes", "terms", "n"])
         yield pa.RecordBatch.from_arrays([pa.array([list(k) for k in seen], pa.list_(pa.int64())), pa.array([None] * len(seen), pa.list_(pa.int64())), pa.array([v[0] for v in seen.values()], pa.int64())], ["votes", "terms", "n"])
 
-    voted = rows.select("t", (unit_hash(F.col("i"), seed=11) < fraction).alias("s")).mapInArrow(vote, "votes array<long>, terms array<long>, n long").groupBy("votes", "terms").agg(F.sum("n").alias("n")).toPandas()
+    voted = rows.select("t", (unit_hash(F.col("i"), seed=11) < fraction).alias("s")).mapInArrow(frugal(vote), "votes array<long>, terms array<long>, n long").groupBy("votes", "terms").agg(F.sum("n").alias("n")).toPandas()
     patterns = voted[voted["terms"].isna()]
     width = 2 * (1 + len(PREFIXES)) + 3
     votes = np.array(patterns["votes"].tolist(), np.int64).reshape(-1, width)
@@ -279,7 +279,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (bucket(F.col(id_col), 5) == 0).alias("held_out"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(frugal(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

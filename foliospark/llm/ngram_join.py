@@ -150,10 +150,14 @@ def describe(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n", "key", "is_doc", "bits"]
 
     def repeated(held: list, seen: set) -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(held), return_counts=True)
+        h = np.concatenate(held)
         held.clear()
         seen.clear()
-        h, n = h[n > 1], n[n > 1]
+        h.sort()
+        same = np.zeros(len(h) + 1, bool)  # whether a place repeats the one before it
+        np.equal(h[1:], h[:-1], out=same[1:-1])
+        first, last = np.flatnonzero(~same[:-1] & same[1:]), np.flatnonzero(same[:-1] & ~same[1:])
+        h, n = h[first], last - first + 1
         return pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.int64()), pa.array(n.astype(np.int64)), _i64(h), pa.array(np.zeros(len(h), bool)), pa.nulls(len(h), pa.list_(pa.int64()))], names)
 
     def run(batches):

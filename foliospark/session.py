@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings for a session of one's own; a given session is left as it is.
@@ -71,10 +73,37 @@ def discard(*frames: DataFrame) -> None:
                 _GIVEN.remove(path)
 
 
+#: Part of its largest heap from which the driver's JVM collects garbage after a table.
+HEAP_PART = 0.5
+
+
+def give_back(spark: SparkSession) -> None:
+    """Let the driver's JVM give freed memory back to the system.
+
+    Planning many queries leaves garbage that G1 keeps in a grown heap, and
+    freed native blocks (of the compiler, above all) that glibc keeps.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > HEAP_PART * runtime.maxMemory():
+        gc.collect()  # plans that only dropped frames hold
+        jvm.java.lang.System.gc()
+    try:
+        args = gateway.new_array(jvm.java.lang.Object, 4)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        args[2], args[3] = gateway.new_array(jvm.java.lang.Object, 0), gateway.new_array(jvm.java.lang.String, 0)
+        # the server's class is closed to reflection, its interface is not
+        methods = jvm.java.lang.Class.forName("javax.management.MBeanServerConnection").getMethods()
+        next(m for m in methods if m.getName() == "invoke").invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:  # JVMs without glibc or of earlier versions have no such command
+        pass
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
+    give_back(df.sparkSession)
     made = df.sparkSession.read.schema(df.schema).parquet(path)
     made.table_path = path
     return made

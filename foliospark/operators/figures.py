@@ -19,6 +19,13 @@ MOSTLY_TEXT = 0.30
 EMBEDDED_WIDTH, EMBEDDED_HEIGHT = 600, 300
 
 
+def sorted_join(df: DataFrame) -> DataFrame:
+    """``df`` for a join that must sort both sides. Both grow with the input, and
+    Spark takes the size of a table for that of its compressed files, so it would
+    send tables of many times its bound to the driver and broadcast them."""
+    return df.hint("merge")
+
+
 def bucket_rows(ys: Column) -> Column:
     """Row positions: a value is kept if it lies beyond the last kept one."""
     start = F.array().cast("array<double>")
@@ -54,7 +61,7 @@ def column_bins(words: DataFrame, keys: list[str], centre: Column, width: Column
     counts = inside.groupBy(*keys, F.floor(F.col("c") / BIN).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     pages = words.select(*keys, width.alias("w")).groupBy(*keys).agg(F.max("w").alias("w"))
     every = pages.select(*keys, F.explode(F.sequence(F.lit(0), (F.ceil(F.col("w") / BIN) - 1).cast("int"))).alias("bin"))
-    return every.join(counts, [*keys, "bin"], "left").select(*keys, "bin", F.coalesce("n", F.lit(0)).alias("n"))
+    return every.join(sorted_join(counts), [*keys, "bin"], "left").select(*keys, "bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def gutters(bins: DataFrame, keys: list[str], width: Column) -> DataFrame:
@@ -163,9 +170,9 @@ def find_pages(asks: DataFrame, pages: DataFrame) -> DataFrame:
     """``pdf, label, page_hint, page``: a hinted page must exist and is taken as
     it is; otherwise the page is located by caption or mention."""
     counted = pages.groupBy("pdf").agg(F.max("page").alias("n_pages"))
-    hinted = asks.filter("page_hint is not null").join(counted, "pdf").filter("page_hint between 1 and n_pages").select("pdf", "label", "page_hint", F.col("page_hint").alias("page"))
+    hinted = asks.filter("page_hint is not null").join(sorted_join(counted), "pdf").filter("page_hint between 1 and n_pages").select("pdf", "label", "page_hint", F.col("page_hint").alias("page"))
     free = asks.filter("page_hint is null").select("pdf", "label")
-    texts = free.join(pages.select("pdf", "page", "text"), "pdf").withColumn("_ask", F.struct("pdf", "label"))
+    texts = free.join(sorted_join(pages.select("pdf", "page", "text")), "pdf").withColumn("_ask", F.struct("pdf", "label"))
     located = locate_page(texts, "_ask", "page", "text", F.col("label"))
     found = located.select("_ask.pdf", "_ask.label", F.lit(None).cast("int").alias("page_hint"), "page")
     return hinted.unionByName(found)
@@ -182,21 +189,21 @@ def derive_crops(asks: DataFrame, pages: DataFrame, words: DataFrame, images: Da
     """
     keys = ["pdf", "page"]
     found = find_pages(asks, pages).filter(figure_token(F.col("label")) != "")
-    sized = found.join(pages.select(*keys, F.col("width").alias("page_width"), F.col("height").alias("page_height"), F.col("text").alias("page_text")), keys).filter("page_width > 0 and page_height > 0")
+    sized = found.join(sorted_join(pages.select(*keys, F.col("width").alias("page_width"), F.col("height").alias("page_height"), F.col("text").alias("page_text"))), keys).filter("page_width > 0 and page_height > 0")
     sized = sized.filter(F.col("page_hint").isNotNull() | ~is_code_or_prose(F.col("page_text"))).drop("page_text")
-    near = words.join(sized.select(*keys, "page_width").distinct(), keys)
-    asked = near.drop("page_width").join(sized.select(*keys, "label"), keys)
+    near = words.join(sorted_join(sized.select(*keys, "page_width").distinct()), keys)
+    asked = near.drop("page_width").join(sorted_join(sized.select(*keys, "label")), keys)
     captions = caption_words(asked, [*keys, "label"], "seq", "text", figure_token(F.col("label")))
-    placed = captions.join(words.select(*keys, "seq", F.col("y_min").alias("caption"), ((F.col("x_min") + F.col("x_max")) / 2).alias("centre")), [*keys, "seq"]).drop("seq")
+    placed = captions.join(sorted_join(words.select(*keys, "seq", F.col("y_min").alias("caption"), ((F.col("x_min") + F.col("x_max")) / 2).alias("centre"))), [*keys, "seq"]).drop("seq")
 
     many = near.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") >= LEAST_WORDS).select(*keys)
-    wide = near.join(many, keys)
+    wide = near.join(sorted_join(many), keys)
     centre = (F.col("x_min") + F.col("x_max")) / 2
-    bins = column_bins(wide, keys, centre, F.col("page_width")).join(sized.select(*keys, "page_width").distinct(), keys)
-    sides = column_bounds(wide, gutters(bins, keys, F.col("page_width")), keys, "x_min", "x_max").select(*keys, "left_min", "left_max", "right_min", "right_max")
+    bins = column_bins(wide, keys, centre, F.col("page_width")).join(sorted_join(sized.select(*keys, "page_width").distinct()), keys)
+    sides = column_bounds(wide, sorted_join(gutters(bins, keys, F.col("page_width"))), keys, "x_min", "x_max").select(*keys, "left_min", "left_max", "right_min", "right_max")
 
     ys = near.groupBy(*keys).agg(F.collect_list("y_min").alias("ys"))
-    joined = sized.join(placed, [*keys, "label"]).join(ys, keys).join(sides, keys, "left")
+    joined = sized.join(sorted_join(placed), [*keys, "label"]).join(sorted_join(ys), keys).join(sorted_join(sides), keys, "left")
     above = bucket_rows(F.filter("ys", lambda y: y < F.col("caption") - CAPTION_MARGIN))
     below = bucket_rows(F.filter("ys", lambda y: y > F.col("caption") + CAPTION_MARGIN))
     rows = joined.withColumns({"_above": above, "_below": below})
@@ -205,7 +212,7 @@ def derive_crops(asks: DataFrame, pages: DataFrame, words: DataFrame, images: Da
     edges = rows.withColumns({"_top": gap_above(F.col("_above"), F.col("caption")), "_bottom": gap_below(F.col("_below"), F.col("caption"), F.col("page_height")), "_l": pick("left_min", "right_min"), "_r": pick("left_max", "right_max")})
     box = crop_box(F.col("caption"), F.col("_top"), F.col("_bottom"), F.col("page_width"), F.col("page_height"), F.col("_l"), F.col("_r"), F.col("page_hint").isNotNull())
     tiers = has_embedded(images, keys).withColumn("tier", F.lit("embedded"))
-    boxed = edges.withColumn("box", box).filter("box is not null").join(tiers, keys, "left")
+    boxed = edges.withColumn("box", box).filter("box is not null").join(sorted_join(tiers), keys, "left")
     return boxed.select("pdf", "label", "page", F.coalesce("tier", F.lit("vector")).alias("tier"), "box", crop_pixels(F.col("box"), F.col("page_width")).alias("pixels"))
 
 
@@ -213,7 +220,7 @@ def gated_images(wanted: DataFrame, crops: DataFrame, density: DataFrame, key: s
     """Which records keep their image: ``wanted`` (key, source_figure, pdf) asks
     for one by directive; it goes if there is no directive, no PDF, no crop, or
     a crop that is mostly text. An embedded image is not measured."""
-    made = crops.select(key, "tier").join(density.select(key, "mostly_text"), key, "left")
-    joined = wanted.join(made, key, "left")
+    made = crops.select(key, "tier").join(sorted_join(density.select(key, "mostly_text")), key, "left")
+    joined = wanted.join(sorted_join(made), key, "left")
     reason = F.when(F.col("source_figure").isNull(), "no directive").when(F.col("pdf").isNull(), "no PDF").when(F.col("tier").isNull(), "no crop").when((F.col("tier") != "embedded") & F.coalesce("mostly_text", F.lit(False)), "mostly text")
     return joined.select(key, reason.isNull().alias("kept"), reason.alias("reason"))

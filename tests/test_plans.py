@@ -32,3 +32,8 @@ def test_scans_read_only_what_is_used(spark, name, columns):
 def test_shuffles(spark, name, most):
     text = plan(matrix.queries()[name](spark, DATA))
     assert len(re.findall(r"\bExchange hashpartitioning", text)) <= most
+
+
+@pytest.mark.parametrize("name", ["derived_crops", "column_histogram", "image_gate"])
+def test_tables_that_grow_are_not_broadcast(spark, name):
+    assert "Broadcast" not in plan(matrix.queries()[name](spark, DATA))

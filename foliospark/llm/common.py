@@ -12,9 +12,8 @@
 
 from __future__ import annotations
 
-import ctypes
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from hashlib import blake2b
 from typing import NamedTuple
 
@@ -24,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.batches import frugal, small_batches  # noqa: F401  (their users import them from here)
 from foliospark.session import discard, materialize  # noqa: F401  (their users import them from here)
 
 #: Ids are sent to every executor only up to this count (about 100 MB as a hash
@@ -34,43 +34,12 @@ FILTER_BITS = 1 << 30
 
 #: Bytes and rows of text that ``text_chunks`` puts into one numpy working set.
 CHUNK_BYTES, CHUNK_ROWS = 1 << 18, 2_000
-#: Rows and bytes of an Arrow batch on its way to a Python worker.
-BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let Arrow batches hold at most BATCH_ROWS rows and about BATCH_BYTES bytes
-    in this session (smaller settings stay): a Python worker holds two of them,
-    and texts can be long. The settings stay, as results are computed later."""
-    of_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        if not 0 < of_bytes(spark.conf.get(key)) <= most:
-            spark.conf.set(key, str(most))
-
-
-Batches = Iterator[pa.RecordBatch]
-
-
-def frugal(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """``run`` for ``mapInArrow``, whose worker gives freed memory back when a
-    task ends: workers stay for later tasks, beside stages that need none."""
-
-    def tidy(batches: Batches) -> Batches:
-        try:
-            yield from run(batches)
-        finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
-            if trim is not None:
-                trim(0)
-
-    return tidy
-
-
 def unused(df: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until ``df`` has no such column."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.batches import frugal, small_batches
 from foliospark.functions import jsonx as J
 from foliospark.operators import lanes, prompts, validate
 
@@ -26,7 +27,7 @@ RESULT = "text string, input_tokens bigint, output_tokens bigint, error string"
 
 def echo_model(requests: pd.DataFrame) -> pd.DataFrame:
     """A stand-in: the prompt as text, its words as tokens; never fails."""
-    n = requests["prompt"].fillna("").str.split().str.len()
+    n = [len(p.split()) for p in requests["prompt"].fillna("")]  # the words of one prompt at a time
     return pd.DataFrame({"text": requests["prompt"], "input_tokens": n, "output_tokens": n, "error": None})
 
 
@@ -39,9 +40,11 @@ def stub_repair(requests: pd.DataFrame) -> pd.DataFrame:
 def call_model(requests: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     """``keys`` and the model's result for rows of ``system, prompt``.
 
-    Where a batch raises, its rows are sent one by one: a row that fails gives
-    an error row and affects no other.
+    A frame holds at most the rows and bytes of ``small_batches``. Where one
+    raises, its rows are sent one by one: a row that fails gives an error row
+    and affects no other.
     """
+    small_batches(requests.sparkSession)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in requests.schema if f.name in keys) + ", " + RESULT
 
     def answers(rows: pd.DataFrame) -> pd.DataFrame:
@@ -56,7 +59,7 @@ def call_model(requests: DataFrame, model: Model, keys: list[str]) -> DataFrame:
         for frame in frames:
             yield pd.concat([frame[keys].reset_index(drop=True), answers(frame[["system", "prompt"]])], axis=1)
 
-    return requests.select(*keys, "system", "prompt").mapInPandas(run, schema)
+    return requests.select(*keys, "system", "prompt").mapInPandas(frugal(run), schema)
 
 
 #: Fixed value: how the id of a batch starts that is worked on when it is polled.

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.batches import frugal, small_batches
 from foliospark.functions.text import html_name
 from foliospark.sources.sinks import export_summary
 
@@ -22,6 +23,7 @@ Tool = Callable[[dict], dict]
 
 def apply_tool(rows: DataFrame, tool: Tool, keys: list[str], schema: str) -> DataFrame:
     """``keys``, the columns of ``schema`` and ``error`` for every row."""
+    small_batches(rows.sparkSession)
     names = [x.split()[0] for x in schema.split(",")]
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in keys)
     order = [f.name for f in rows.schema if f.name in keys]
@@ -37,7 +39,7 @@ def apply_tool(rows: DataFrame, tool: Tool, keys: list[str], schema: str) -> Dat
         for frame in frames:
             yield pd.DataFrame([one(r) for r in frame.to_dict("records")], columns=[*order, *names, "error"])
 
-    return rows.mapInPandas(run, f"{kept}, {schema}, error string")
+    return rows.mapInPandas(frugal(run), f"{kept}, {schema}, error string")
 
 
 def export_pages(paths: DataFrame, exporter: Tool) -> tuple[DataFrame, DataFrame]:

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliospark.batches import frugal, small_batches
 from foliospark.functions import jsonx as J
 from foliospark.functions import text as T
 
@@ -15,6 +16,8 @@ LEDGER = "custom_id string, batch_id string, type string, lane string, input str
 OUTPUT_LINES = "custom_id string, response struct<body: struct<output_text: string, output: array<struct<content: array<struct<text: string>>>>, usage: struct<input_tokens: bigint, output_tokens: bigint>>>, error struct<message: string>"
 #: Fixed value: fewest columns of a word line in the tabular word format.
 WORD_COLUMNS = 12
+#: Pages that a worker fetches, and so holds, at a time.
+FETCHED = 100
 
 
 def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,13 +49,18 @@ def with_focus(pdfs: DataFrame, notes: DataFrame) -> DataFrame:
 
 def fetched_pages(urls: DataFrame, fetch: Callable[[pd.Series], pd.DataFrame]) -> DataFrame:
     """``url, body`` of pages that are no PDFs. ``fetch`` gets URLs and gives
-    ``status, content_type, html``; a failed page has a null body."""
+    ``status, content_type, html`` for at most FETCHED of them; a failed page has
+    a null body."""
+    small_batches(urls.sparkSession)
+
     def run(frames):
         for frame in frames:
-            got = fetch(frame["url"]).reset_index(drop=True)
-            yield pd.concat([frame[["url"]].reset_index(drop=True), got[["status", "content_type", "html"]]], axis=1)
+            for k in range(0, len(frame), FETCHED):
+                some = frame["url"].iloc[k : k + FETCHED].reset_index(drop=True)
+                got = fetch(some).reset_index(drop=True)
+                yield pd.concat([some, got[["status", "content_type", "html"]]], axis=1)
 
-    pages = urls.filter(~F.col("is_pdf")).select("url").mapInPandas(run, "url string, status int, content_type string, html string")
+    pages = urls.filter(~F.col("is_pdf")).select("url").mapInPandas(frugal(run), "url string, status int, content_type string, html string")
     fine = F.col("status").between(200, 299) & ~F.coalesce(F.contains("content_type", F.lit("application/pdf")), F.lit(False))
     return pages.select("url", F.when(fine, T.page_text(F.col("html"))).alias("body"))
 

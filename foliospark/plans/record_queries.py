@@ -11,6 +11,7 @@ from foliospark.functions import jsonx as J
 from foliospark.functions.text import trim_all
 from foliospark.operators import normalize, validate
 from foliospark.plans.registry import query, table
+from foliospark.session import materialize
 
 DATE = "2026-01-02"
 _ANCHOR = '<a href="https://x.org/a" target="_blank" rel="noopener noreferrer">x</a>'
@@ -201,4 +202,4 @@ def repair_loop(spark: SparkSession, d: str) -> DataFrame:
 
     bad = [json.dumps(GOOD), json.dumps(_case("version", 2)), json.dumps(_case("sections", []))]
     rows = table(spark, d, "documents").select("doc_id", F.get(F.array(*(F.lit(x) for x in bad)), (F.col("doc_id") % 3).cast("int")).alias("text"))
-    return repair(rows, DATE, stub_repair).select("doc_id", "repairs", "ok")
+    return repair(rows, DATE, stub_repair, lambda df: materialize(df, "repairs")).select("doc_id", "repairs", "ok")

@@ -37,3 +37,7 @@ def test_shuffles(spark, name, most):
 @pytest.mark.parametrize("name", ["derived_crops", "column_histogram", "image_gate"])
 def test_tables_that_grow_are_not_broadcast(spark, name):
     assert "Broadcast" not in plan(matrix.queries()[name](spark, DATA))
+
+
+def test_repairs_are_stored_and_not_made_again(spark):
+    assert "MapInPandas" not in plan(matrix.queries()["repair_loop"](spark, DATA))
